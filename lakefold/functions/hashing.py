@@ -25,31 +25,44 @@ METADATA_COLUMNS = [INGESTION_TS, CONTENT_HASH]
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def canonical(c: Column, dtype: T.DataType) -> Column:
-    """Text-stable form of one column for hashing."""
+def ident(name: str) -> str:
+    """Quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def canonical_sql(name: str, dtype: T.DataType) -> str:
+    """SQL text of the text-stable form of one column for hashing."""
+    c = ident(name)
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return c.cast("string")
+        return f"CAST({c} AS STRING)"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, TS_TEXT)
+        return f'date_format({c}, "{TS_TEXT}")'
     if isinstance(dtype, T.DateType):
-        return F.date_format(c, "yyyy-MM-dd")
+        return f'date_format({c}, "yyyy-MM-dd")'
     if isinstance(dtype, T.BinaryType):
-        return F.base64(c)
+        return f"base64({c})"
     return c
 
 
-def hash_columns(df: DataFrame, exclude: Iterable[str] | None = None) -> list[str]:
+def hash_columns(schema: T.StructType, exclude: Iterable[str] | None = None) -> list[str]:
     skip = set(METADATA_COLUMNS) | set(exclude or [])
-    return sorted(c for c in df.columns if c not in skip)
+    return sorted(c for c in schema.fieldNames() if c not in skip)
+
 
+def content_hash_sql(schema: T.StructType, exclude: Iterable[str] | None = None) -> str:
+    types = {f.name: f.dataType for f in schema.fields}
+    fields = ", ".join(f"'{c}', {canonical_sql(c, types[c])}" for c in hash_columns(schema, exclude))
+    text = f"to_json(named_struct({fields}), map('ignoreNullFields', 'false'))"
+    return f"substring(sha2({text}, 256), 1, {HASH_LENGTH})"
 
-def content_hash_expr(df: DataFrame, exclude: Iterable[str] | None = None) -> Column:
-    """16-hex content hash over all columns except ``exclude`` and metadata."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    cols = hash_columns(df, exclude)
-    payload = F.struct(*[canonical(F.col(f"`{c}`"), types[c]).alias(c) for c in cols])
-    text = F.to_json(payload, {"ignoreNullFields": "false"})
-    return F.substring(F.sha2(text, 256), 1, HASH_LENGTH)
+
+def content_hash_expr(df: DataFrame, exclude: Iterable[str] | None = None, schema: T.StructType | None = None) -> Column:
+    """16-hex content hash over all columns except ``exclude`` and metadata.
+
+    Built as one SQL expression (parsed once in the JVM) rather than a tree
+    of Python column objects: the flight table hashes 94 columns.
+    """
+    return F.expr(content_hash_sql(schema or df.schema, exclude))
 
 
 def with_content_hash(df: DataFrame, exclude: Iterable[str] | None = None) -> DataFrame:
@@ -69,10 +82,10 @@ def add_metadata(
     ts = ingestion_ts or _dt.datetime.now(_dt.timezone.utc)
     if ts.tzinfo is None:  # naive instants are taken as UTC
         ts = ts.replace(tzinfo=_dt.timezone.utc)
-    hashed = with_content_hash(df.drop(*[c for c in METADATA_COLUMNS if c in df.columns]), hash_exclude)
-    cols = [c for c in hashed.columns if c != CONTENT_HASH]
-    return hashed.select(
-        *[F.col(f"`{c}`") for c in cols],
+    schema = df.schema
+    data = T.StructType([f for f in schema.fields if f.name not in METADATA_COLUMNS])
+    return df.select(
+        *[F.col(ident(f.name)) for f in data.fields],
         F.lit(ts).cast("timestamp").alias(INGESTION_TS),
-        F.col(CONTENT_HASH),
+        content_hash_expr(df, hash_exclude, data).alias(CONTENT_HASH),
     )

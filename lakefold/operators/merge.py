@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakefold.functions.hashing import ident
 from lakefold.schemas import CONTENT_HASH
 
 ACTION = "_action"
@@ -52,15 +53,18 @@ def dedup_latest(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = (
     Partial aggregation (``max_by``) keeps a hot key from becoming a single
     oversized task.
     """
-    others = [c for c in batch.columns if c not in keys]
+    cols = batch.columns
+    others = [c for c in cols if c not in keys]
     if not others:
         return batch.dropDuplicates(list(keys))
-    tie = [c for c in [CONTENT_HASH] if c in batch.columns and c not in order]
-    ordering = F.struct(*[_q(c) for c in list(order) + tie]) if (order or tie) else F.struct(*[_q(c) for c in others])
-    packed = F.max_by(F.struct(*[_q(c) for c in others]), ordering).alias("_row")
-    return batch.groupBy(*[_q(k) for k in keys]).agg(packed).select(
-        *[_q(k) for k in keys], *[F.col(f"_row.`{c}`").alias(c) for c in others]
-    ).select(*[_q(c) for c in batch.columns])
+    tie = [c for c in [CONTENT_HASH] if c in cols and c not in order]
+    rank_cols = list(order) + tie or others
+    packed = f"max_by(struct({', '.join(map(ident, others))}), struct({', '.join(map(ident, rank_cols))})) AS _row"
+    return (
+        batch.groupBy(*[_q(k) for k in keys])
+        .agg(F.expr(packed))
+        .selectExpr(*[ident(c) if c in keys else f"_row.{ident(c)} AS {ident(c)}" for c in cols])
+    )
 
 
 def merge_changes(
@@ -100,22 +104,21 @@ def merge_state(
     """
     if target is None:
         return batch.withColumn(ACTION, F.lit(INSERT))
-    cols = [c for c in target.columns]
+    cols = target.columns
     other = [c for c in cols if c not in keys]
-    t = target.select(*[_q(k) for k in keys], F.struct(*[_q(c) for c in other]).alias("_t"), F.lit(True).alias("_t_hit"))
-    b = batch.select(*[_q(k) for k in keys], F.struct(*[_q(c) for c in other]).alias("_b"), F.lit(True).alias("_b_hit"))
-    j = t.join(b, list(keys), "full")
+    packed = ", ".join(map(ident, other))
+    t = target.selectExpr(*map(ident, keys), f"struct({packed}) AS _t", "true AS _t_hit")
+    b = batch.selectExpr(*map(ident, keys), f"struct({packed}) AS _b", "true AS _b_hit")
+    h = ident(hash_col)
     action = (
-        F.when(F.col("_t_hit").isNull(), F.lit(INSERT))
-        .when(F.col("_b_hit").isNull(), F.lit(KEPT))
-        .when(~F.col(f"_b.`{hash_col}`").eqNullSafe(F.col(f"_t.`{hash_col}`")), F.lit(UPDATE))
-        .otherwise(F.lit(UNCHANGED))
+        f"CASE WHEN _t_hit IS NULL THEN '{INSERT}' WHEN _b_hit IS NULL THEN '{KEPT}' "
+        f"WHEN NOT (_b.{h} <=> _t.{h}) THEN '{UPDATE}' ELSE '{UNCHANGED}' END"
     )
-    j = j.withColumn(ACTION, action)
-    take_batch = F.col(ACTION).isin(INSERT, UPDATE)
-    return j.select(
-        *[_q(c) if c in keys else F.when(take_batch, F.col(f"_b.`{c}`")).otherwise(F.col(f"_t.`{c}`")).alias(c) for c in cols],
-        F.col(ACTION),
+    j = t.join(b, list(keys), "full").selectExpr("*", f"{action} AS {ACTION}")
+    take = f"{ACTION} IN ('{INSERT}', '{UPDATE}')"
+    return j.selectExpr(
+        *[ident(c) if c in keys else f"CASE WHEN {take} THEN _b.{ident(c)} ELSE _t.{ident(c)} END AS {ident(c)}" for c in cols],
+        ACTION,
     )
 
 

@@ -8,29 +8,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakefold import schemas as S
+from lakefold.functions.hashing import ident
 
 
-def _field(df: DataFrame, path: str) -> Column | None:
-    """Column for a dotted path if the frame has it, else None."""
+def _field(schema: T.StructType, path: str) -> str | None:
+    """SQL reference for a dotted path if the schema has it, else None.
+
+    Takes the schema (fetched once per frame): asking a frame for its schema
+    is a round trip to the JVM, which adds up over a hundred columns."""
     head, *rest = path.split(".")
-    if head not in df.columns:
+    if head not in schema.fieldNames():
         return None
-    dtype = df.schema[head].dataType
+    dtype = schema[head].dataType
     for part in rest:
         if not isinstance(dtype, T.StructType) or part not in dtype.fieldNames():
             return None
         dtype = dtype[part].dataType
-    return F.col(".".join(f"`{p}`" for p in path.split(".")))
+    return ".".join(ident(p) for p in path.split("."))
 
 
-def _typed(c: Column | None, dtype: T.DataType) -> Column:
-    """Cast to the declared type; ISO text that does not parse becomes null
+def _typed(ref: str | None, dtype: T.DataType) -> str:
+    """Cast to the declared type; text that does not parse becomes null
     (validation reports it).  Missing input gives a typed null, never void."""
-    if c is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, T.DateType):
-        return F.coalesce(c.try_cast(T.DateType()), F.try_to_date(c.cast("string")))
-    return c.try_cast(dtype)
+    if ref is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    return f"try_cast({ref} AS {dtype.simpleString()})"
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -39,7 +41,8 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     Absent columns become typed nulls (P13: an all-null column keeps its
     type; nothing is ever stored as the text "None" or as a void column).
     """
-    return df.select(*[_typed(_field(df, f.name), f.dataType).alias(f.name) for f in schema.fields])
+    have = df.schema
+    return df.selectExpr(*[f"{_typed(_field(have, f.name), f.dataType)} AS {ident(f.name)}" for f in schema.fields])
 
 
 def flatten_availability(records: DataFrame) -> DataFrame:
@@ -50,11 +53,12 @@ def flatten_availability(records: DataFrame) -> DataFrame:
     ``AvailabilityTrips`` are not selected.  One output row per input row.
     """
     route = {n for n, _ in S.ROUTE_FIELDS}
+    have = records.schema
     cols = []
     for f in S.AVAILABILITY.fields:
-        src = _field(records, f"Route.{f.name}") if f.name in route else _field(records, f.name)
-        cols.append(_typed(src, f.dataType).alias(f.name))
-    return records.select(*cols)
+        src = _field(have, f"Route.{f.name}") if f.name in route else _field(have, f.name)
+        cols.append(f"{_typed(src, f.dataType)} AS {ident(f.name)}")
+    return records.selectExpr(*cols)
 
 
 def flatten_hotels(details: DataFrame) -> DataFrame:

@@ -17,9 +17,7 @@ snapshots of the same tables are the base and the batch of a merge.
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakefold import schemas as S
@@ -43,54 +41,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _map_lookup(mapping: dict, c: Column) -> Column:
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return m[c]
+def case_sql(mapping: dict, expr: str) -> str:
+    whens = " ".join(f"WHEN {expr} = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"(CASE {whens} END)"
 
 
-def _cabin_aggs(k: int, cabin: str) -> list[Column]:
-    """Conditional aggregates for one cabin over line items of one order."""
+def _cabin_aggs(k: int, cabin: str) -> list[str]:
+    """Conditional aggregates (SQL text) for one cabin over one order's items."""
     out = []
-    line = F.col("l_linenumber") == F.lit(k)
     for variant in S.VARIANTS:
-        keep = line if variant == "Raw" else line & (F.col("l_returnflag") != F.lit("R"))
-        qty = F.when(keep, F.col("l_quantity"))
-        tax = F.when(keep, F.floor(F.col("l_extendedprice") * F.col("l_tax")).cast("int"))
-        sup = F.when(keep, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+        keep = f"l_linenumber = {k}" + ("" if variant == "Raw" else " AND l_returnflag <> 'R'")
+        tax = "CAST(floor(l_extendedprice * l_tax) AS INT)"
         p = f"{cabin}{variant}_"
         out += [
-            F.count_if(keep).cast("int").alias(p + "n"),
-            F.sum(qty).alias(p + "qty"),
-            F.min(qty).alias(p + "minqty"),
-            F.sum(tax).alias(p + "tax"),
-            F.min(tax).alias(p + "mintax"),
-            F.count_if(keep & (F.col("l_linestatus") == F.lit("O"))).cast("int").alias(p + "open"),
-            F.array_sort(F.collect_set(sup)).alias(p + "sups"),
-            F.min(F.when(keep, F.col("l_suppkey"))).alias(p + "minsup"),
+            f"CAST(count_if({keep}) AS INT) AS {p}n",
+            f"sum(CASE WHEN {keep} THEN l_quantity END) AS {p}qty",
+            f"min(CASE WHEN {keep} THEN l_quantity END) AS {p}minqty",
+            f"sum(CASE WHEN {keep} THEN {tax} END) AS {p}tax",
+            f"min(CASE WHEN {keep} THEN {tax} END) AS {p}mintax",
+            f"count_if({keep} AND l_linestatus = 'O') AS {p}open",
+            f"array_sort(collect_set(CASE WHEN {keep} THEN concat('S', CAST(l_suppkey AS STRING)) END)) AS {p}sups",
+            f"min(CASE WHEN {keep} THEN l_suppkey END) AS {p}minsup",
         ]
     return out
 
 
-def _cabin_columns() -> list[Column]:
-    """The 88 per-cabin columns + TaxesCurrency, from the aggregates."""
+def _cabin_columns() -> list[str]:
+    """The 88 per-cabin columns + TaxesCurrency (SQL text), from the aggregates."""
     cols = {}
     for cabin in S.CABINS:
         for variant in S.VARIANTS:
             p = f"{cabin}{variant}_"
-            n = F.coalesce(F.col(p + "n"), F.lit(0))
-            miles = F.coalesce(F.col(p + "qty"), F.lit(0.0)) * F.lit(1000)
-            cols[f"{cabin}Available{variant}"] = n > 0
-            cols[f"{cabin}MileageCost{variant}"] = miles.cast("int").cast("string") if variant == "" else miles.cast("int")
-            cols[f"{cabin}DirectMileageCost{variant}"] = (F.col(p + "minqty") * F.lit(1000)).cast("int")
-            cols[f"{cabin}TotalTaxes{variant}"] = F.coalesce(F.col(p + "tax"), F.lit(0)).cast("int")
-            cols[f"{cabin}DirectTotalTaxes{variant}"] = F.col(p + "mintax").cast("int")
+            n = f"coalesce({p}n, 0)"
+            miles = f"CAST(coalesce({p}qty, 0.0) * 1000 AS INT)"
+            cols[f"{cabin}Available{variant}"] = f"{n} > 0"
+            cols[f"{cabin}MileageCost{variant}"] = f"CAST({miles} AS STRING)" if variant == "" else miles
+            cols[f"{cabin}DirectMileageCost{variant}"] = f"CAST({p}minqty * 1000 AS INT)"
+            cols[f"{cabin}TotalTaxes{variant}"] = f"CAST(coalesce({p}tax, 0) AS INT)"
+            cols[f"{cabin}DirectTotalTaxes{variant}"] = f"CAST({p}mintax AS INT)"
             cols[f"{cabin}RemainingSeats{variant}"] = n
-            cols[f"{cabin}DirectRemainingSeats{variant}"] = F.coalesce(F.col(p + "open"), F.lit(0))
-            cols[f"{cabin}Airlines{variant}"] = F.coalesce(F.concat_ws(", ", F.col(p + "sups")), F.lit(""))
-            cols[f"{cabin}DirectAirlines{variant}"] = F.coalesce(F.concat(F.lit("S"), F.col(p + "minsup").cast("string")), F.lit(""))
-            cols[f"{cabin}Direct{variant}"] = n == 1
-    cols["TaxesCurrency"] = _map_lookup(STATUS_CURRENCY, F.col("o_orderstatus"))
-    return [cols[name].alias(name) for name in S.CABIN_COLUMNS]
+            cols[f"{cabin}DirectRemainingSeats{variant}"] = f"CAST(coalesce({p}open, 0) AS INT)"
+            cols[f"{cabin}Airlines{variant}"] = f"coalesce(concat_ws(', ', {p}sups), '')"
+            cols[f"{cabin}DirectAirlines{variant}"] = f"coalesce(concat('S', CAST({p}minsup AS STRING)), '')"
+            cols[f"{cabin}Direct{variant}"] = f"{n} = 1"
+    cols["TaxesCurrency"] = case_sql(STATUS_CURRENCY, "o_orderstatus")
+    return [f"{cols[name]} AS {name}" for name in S.CABIN_COLUMNS]
 
 
 def availability_records(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
@@ -104,10 +99,11 @@ def availability_records(spark: SparkSession, sf_dir: str, as_of: str | None = N
     orders = table(spark, sf_dir, "orders")
     items = table(spark, sf_dir, "lineitem")
     if as_of is not None:
-        cut = _dt.datetime.fromisoformat(as_of)
-        orders = orders.filter(F.col("o_orderdate") < F.lit(cut))
-        items = items.filter(F.col("l_shipdate") < F.lit(cut))
-    cabins = items.groupBy("l_orderkey").agg(*[a for k, c in enumerate(S.CABINS, 1) for a in _cabin_aggs(k, c)])
+        cut = F.lit(as_of).cast("timestamp_ntz")
+        orders = orders.filter(F.col("o_orderdate") < cut)
+        items = items.filter(F.col("l_shipdate") < cut)
+    aggs = [F.expr(a) for k, c in enumerate(S.CABINS, 1) for a in _cabin_aggs(k, c)]
+    cabins = items.groupBy("l_orderkey").agg(*aggs)
     nation = F.broadcast(table(spark, sf_dir, "nation"))
     region = F.broadcast(table(spark, sf_dir, "region"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
@@ -117,29 +113,26 @@ def availability_records(spark: SparkSession, sf_dir: str, as_of: str | None = N
         .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left")
         .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
     )
-    route_id = F.concat(F.lit("route-"), F.col("o_custkey").cast("string"))
-    source = _map_lookup(PRIORITY_PROGRAM, F.col("o_orderpriority"))
-    iso_day = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")
-    iso_ts = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    route = F.struct(
-        route_id.alias("ID"),
-        F.col("n_name").alias("OriginAirport"),
-        F.col("r_name").alias("OriginRegion"),
-        F.col("c_mktsegment").alias("DestinationAirport"),
-        F.when(F.col("c_acctbal") >= 0, F.lit("DOMESTIC")).otherwise(F.lit("INTERNATIONAL")).alias("DestinationRegion"),
-        F.dayofyear("o_orderdate").cast("int").alias("NumDaysOut"),
-        (F.col("c_nationkey") * 100 + F.col("n_regionkey") * 10).cast("int").alias("Distance"),
-        source.alias("Source"),
+    route_id = "concat('route-', CAST(o_custkey AS STRING))"
+    source = case_sql(PRIORITY_PROGRAM, "o_orderpriority")
+    iso_ts = "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+    route = (
+        f"named_struct('ID', {route_id}, 'OriginAirport', n_name, 'OriginRegion', r_name, "
+        "'DestinationAirport', c_mktsegment, "
+        "'DestinationRegion', CASE WHEN c_acctbal >= 0 THEN 'DOMESTIC' ELSE 'INTERNATIONAL' END, "
+        "'NumDaysOut', CAST(dayofyear(o_orderdate) AS INT), "
+        "'Distance', CAST(c_nationkey * 100 + n_regionkey * 10 AS INT), "
+        f"'Source', {source})"
     )
-    return j.select(
-        F.concat(F.lit("avail-"), F.col("o_orderkey").cast("string")).alias("ID"),
-        route_id.alias("RouteID"),
-        route.alias("Route"),
-        iso_day.alias("Date"),
-        iso_ts.alias("ParsedDate"),
+    return j.selectExpr(
+        "concat('avail-', CAST(o_orderkey AS STRING)) AS ID",
+        f"{route_id} AS RouteID",
+        f"{route} AS Route",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS Date",
+        f"{iso_ts} AS ParsedDate",
         *_cabin_columns(),
-        source.alias("Source"),
-        iso_ts.alias("CreatedAt"),
-        iso_ts.alias("UpdatedAt"),
-        F.lit(None).cast("string").alias("AvailabilityTrips"),
+        f"{source} AS Source",
+        f"{iso_ts} AS CreatedAt",
+        f"{iso_ts} AS UpdatedAt",
+        "CAST(NULL AS STRING) AS AvailabilityTrips",
     )

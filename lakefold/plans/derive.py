@@ -136,3 +136,93 @@ def availability_records(spark: SparkSession, sf_dir: str, as_of: str | None = N
         f"{iso_ts} AS UpdatedAt",
         "CAST(NULL AS STRING) AS AvailabilityTrips",
     )
+
+
+# --- hotels: one supplier = one hotel --------------------------------------
+HOTEL_SITE = "https://hotels.example.com/"
+
+
+def hotel_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hotel detail records (P2 input): supplier joined to its (fixed-size,
+    25-row) nation dimension, broadcast."""
+    sup = table(spark, sf_dir, "supplier")
+    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    j = sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left")
+    return j.selectExpr(
+        "s_suppkey AS nid",
+        "s_name AS name",
+        f"concat(regexp_replace('{HOTEL_SITE}', '/+$', ''), '/', regexp_replace(concat('/hotel/', CAST(s_suppkey AS STRING)), '^/+', '')) AS url",
+        f"concat('{HOTEL_SITE}', 'hotel/', CAST(s_suppkey AS STRING)) AS canonical_url",
+        "concat('H', CAST(s_suppkey AS STRING)) AS code",
+        "CAST(s_nationkey * 10 + 5 AS INT) AS num_rooms",
+        "n_name AS country",
+        "s_name AS title",
+        "CAST(NULL AS STRING) AS description",
+        "CAST(s_nationkey AS STRING) AS choice_points",
+        "concat('$', CAST(CAST(floor(s_acctbal) AS BIGINT) AS STRING)) AS average_rate",
+        "CAST(s_suppkey AS STRING) AS synxis_id",
+        "s_acctbal > 0 AS book_with_points",
+        "s_nationkey % 2 = 0 AS book_with_choice",
+    )
+
+
+def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rate per (user, points/cash, day) from events: purchases are the
+    points calendar, everything else the cash calendar.  A partial aggregate,
+    so a hot user is combined map-side."""
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy(
+        F.col("user_id"),
+        (F.col("event_type") == F.lit("purchase")).alias("is_points"),
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+    ).agg(F.min("value").alias("lo"), F.count_if(F.col("event_type") != F.lit("error")).alias("ok"))
+
+
+def calendar_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate calendars as landed JSON text, one per (hotel = user, kind).
+
+    Each calendar holds one entry per day, so the collected map is bounded by
+    the number of days, not by the number of events of a hot user."""
+    d = daily_rates(spark, sf_dir)
+    rate = F.expr(
+        "named_struct('lowestRate', CASE WHEN is_points THEN NULL ELSE lo END, "
+        "'lowestPointsRate', CASE WHEN is_points THEN CAST(floor(lo * 100) AS INT) END, "
+        "'available', ok > 0)"
+    )
+    cal = d.groupBy("user_id", "is_points").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("day"), rate))).alias("results"),
+        F.count(F.lit(1)).cast("int").alias("count"),
+    )
+    text = F.to_json(
+        F.struct(
+            F.col("count"),
+            F.when(~F.col("is_points"), F.lit("USD")).alias("currency_code"),
+            F.col("results"),
+        )
+    )
+    return cal.select(F.col("user_id").alias("nid"), "is_points", text.alias("text"))
+
+
+def page_texts(spark: SparkSession, sf_dir: str, page_size: int = 500) -> DataFrame:
+    """Events landed as API pages of ``page_size`` records (page = id div
+    size), each a JSON object {data, count, hasMore, moreURL, cursor}.  A page
+    is bounded by the page size."""
+    ev = table(spark, sf_dir, "events")
+    last = ev.agg(F.max(F.floor(F.col("event_id") / page_size))).scalar()  # scalar subquery
+    rec = F.struct("event_id", "user_id", "event_type", "value", "props")
+    pages = ev.groupBy(F.floor(F.col("event_id") / page_size).alias("page")).agg(
+        F.array_sort(F.collect_list(rec)).alias("data"), F.count(F.lit(1)).cast("int").alias("count")
+    )
+    pages = pages.withColumn("m", last)
+    return pages.select(
+        "page",
+        F.to_json(
+            F.struct(
+                "data",
+                "count",
+                (F.col("page") < F.col("m")).alias("hasMore"),
+                F.when(F.col("page") < F.col("m"), F.concat(F.lit("/page/"), (F.col("page") + 1).cast("string"))).alias("moreURL"),
+                (F.col("page") * page_size).alias("cursor"),
+            )
+        ).alias("text"),
+    )

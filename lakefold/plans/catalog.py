@@ -36,6 +36,7 @@ def load_all() -> None:
     from lakefold.plans import (  # noqa: F401
         q_flights,
         q_sources,
+        q_ops,
     )
 
 

@@ -37,6 +37,7 @@ def load_all() -> None:
         q_flights,
         q_sources,
         q_ops,
+        q_sql,
     )
 
 

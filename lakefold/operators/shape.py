@@ -45,12 +45,13 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.selectExpr(*[f"{_typed(_field(have, f.name), f.dataType)} AS {ident(f.name)}" for f in schema.fields])
 
 
-def flatten_availability(records: DataFrame) -> DataFrame:
+def flatten_availability(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested availability records -> the 94-column flight table.
 
     Route fields are lifted from the nested ``Route`` struct (a missing or
     null route gives null fields); ``Route.ID``, ``Route.Source`` and
     ``AvailabilityTrips`` are not selected.  One output row per input row.
+    ``keep`` carries extra columns (e.g. page and position) through.
     """
     route = {n for n, _ in S.ROUTE_FIELDS}
     have = records.schema
@@ -58,7 +59,7 @@ def flatten_availability(records: DataFrame) -> DataFrame:
     for f in S.AVAILABILITY.fields:
         src = _field(have, f"Route.{f.name}") if f.name in route else _field(have, f.name)
         cols.append(f"{_typed(src, f.dataType)} AS {ident(f.name)}")
-    return records.selectExpr(*cols)
+    return records.selectExpr(*cols, *map(ident, keep))
 
 
 def flatten_hotels(details: DataFrame) -> DataFrame:

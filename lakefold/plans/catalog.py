@@ -38,6 +38,7 @@ def load_all() -> None:
         q_sources,
         q_ops,
         q_sql,
+        q_tables,
     )
 
 

@@ -1,0 +1,108 @@
+"""End-to-end pipelines (K9, K10) over landed files, as Spark jobs.
+
+Flight pipeline (K10), for all programs and pages at once:
+  landed page files -> S1 read (declared schema) -> P5 validate (rejects
+  kept aside) -> P1 flatten -> P10-P12 metadata -> F13 page-chain cut ->
+  W1 latest version per key over all pages -> K3 merge into the table.
+The N page-by-page merges of a fetch loop become one fold + one merge.
+
+Hotel pipeline (K9):
+  hotel details -> P2 -> K3 merge (key nid) -> S8 read back the key column ->
+  J5 semi join with the calendars -> S7 -> P3 -> K3 merge (nid, date,
+  is_points), partitioned coarsely by kind and month (Q5).
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakefold import schemas as S
+from lakefold.functions.hashing import add_metadata
+from lakefold.operators import fold, select
+from lakefold.operators.shape import flatten_availability, flatten_hotel_availability, flatten_hotels
+from lakefold.operators.validate import availability_rules, split_valid, validate
+from lakefold.plans import derive
+from lakefold.session import ensure_checkpoint_dir
+from lakefold.sources import json_pages as J
+from lakefold.storage.table import ArchiveTable
+
+PAGE_SIZE = 5000
+RUN_STRIDE = 1_000_000  # cursor = run * RUN_STRIDE + page
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakefold/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def land_pages(records: DataFrame, path: str, snapshot: int, page_size: int = PAGE_SIZE) -> None:
+    """Write records as API page objects (JSON lines, one page per line).
+
+    Records are spread over pages by a hash of their ID; a page holds at
+    most ``page_size`` records on average, and is the unit that is collected,
+    so nothing larger than a page is ever gathered in one row."""
+    n_pages = records.agg(F.ceil(F.count(F.lit(1)) / page_size)).scalar()
+    page = F.pmod(F.xxhash64("ID"), F.greatest(n_pages, F.lit(1)))
+    cols = [F.col(f.name) for f in S.AVAILABILITY_RECORD.fields]
+    grouped = records.groupBy(page.alias("p")).agg(
+        F.collect_list(F.struct(*cols)).alias("data"), F.count(F.lit(1)).cast("int").alias("count")
+    )
+    last = grouped.agg(F.max("p")).scalar()
+    out = grouped.select(
+        "data", "count", (F.col("p") < last).alias("hasMore"), F.lit(None).cast("string").alias("moreURL"),
+        (F.lit(snapshot) * RUN_STRIDE + F.col("p")).cast("long").alias("cursor"),
+    )
+    out.write.mode("overwrite").json(path)
+
+
+def read_landed_records(spark: SparkSession, path: str) -> DataFrame:
+    """S1 over landed page files: one row per record with ``_page``/``_pos``."""
+    pages = J.read_json_files(spark, path, S.AVAILABILITY_PAGE, multiline=False)
+    return J.page_records(pages, "cursor")
+
+
+def flight_batch(records: DataFrame, ingestion_ts: _dt.datetime | None = None, max_pages: int | None = None,
+                 keys=None) -> tuple[DataFrame, DataFrame]:
+    """(folded batch ready to merge, rejects).  ``records`` come from
+    ``read_landed_records``."""
+    checked = validate(records, availability_rules())
+    valid, rejects = split_valid(checked)
+    # One fetch run per landing (cursor = run * 1e6 + page); the chain is cut per run.
+    pages = records.groupBy("_page").agg(F.count(F.lit(1)).alias("n_records"), F.min("_has_more").alias("has_more"))
+    pages = pages.withColumn("_run", F.floor(F.col("_page") / RUN_STRIDE))
+    cut = select.cut_page_chain(pages, ["_run"], "_page", max_pages=max_pages)
+    valid = valid.join(cut.filter("kept").select("_page"), "_page", "left_semi")
+    flat = flatten_availability(valid, keep=("_page", "_pos"))
+    hashed = add_metadata(flat, ingestion_ts, hash_exclude=["_page", "_pos"])
+    latest = fold.latest_per_key(hashed, keys or S.FLIGHT_KEYS, "_page", "_pos").drop("_page", "_pos")
+    return latest, rejects
+
+
+def run_flight_pipeline(spark: SparkSession, landed: str, table_path: str, keys=None,
+                        ingestion_ts: _dt.datetime | None = None, partition_by=None) -> dict:
+    """Every landed page of every program into the table, one job."""
+    records = read_landed_records(spark, landed)
+    batch, rejects = flight_batch(records, ingestion_ts, keys=keys)
+    t = ArchiveTable(spark, table_path)
+    stats = t.save(batch, "merge", keys or S.FLIGHT_KEYS, partition_by or S.FLIGHT_PARTITIONS, add_meta=False)
+    stats["rejects"] = rejects.count()
+    return stats
+
+
+def run_hotel_pipeline(spark: SparkSession, sf_dir: str, root: str, ingestion_ts: _dt.datetime | None = None) -> dict:
+    """K9 over the derived hotel inputs."""
+    hotels_t = ArchiveTable(spark, f"{root}/hotels")
+    h_stats = hotels_t.save(flatten_hotels(derive.hotel_details(spark, sf_dir)), "merge", S.HOTEL_KEYS, S.HOTEL_PARTITIONS,
+                            ingestion_ts=ingestion_ts)
+    nids = hotels_t.current(["nid"])  # S8: key column only
+    cals = derive.calendar_texts(spark, sf_dir).join(nids, "nid", "left_semi")  # J5
+    rows = flatten_hotel_availability(J.calendar_rows(cals, "text", "nid", F.col("is_points")))
+    rows = rows.withColumn("month", F.substring("date", 1, 7))
+    avail_t = ArchiveTable(spark, f"{root}/hotel_availability")
+    a_stats = avail_t.save(rows, "merge", S.HOTEL_AVAIL_KEYS, ["is_points", "month"], ingestion_ts=ingestion_ts,
+                           hash_exclude=["month"])
+    return {"hotels": h_stats, "availability": a_stats}

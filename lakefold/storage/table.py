@@ -29,7 +29,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,43 +197,38 @@ class ArchiveTable:
                 if prior:
                     base_keys_hash = self._state_of(prior, list(keys) + [CONTENT_HASH])
 
-        obs = Observation("save")
-        if mode == "merge":
-            bad = null_key(keys)
-            observed = df.observe(obs, F.count(F.lit(1)).alias("input_rows"), F.count_if(bad).alias("null_key_rows"))
-            clean = observed.filter(~bad)
-            deduped = dedup_latest(clean, keys, [c for c in ["_seq", "UpdatedAt"] if c in clean.columns])
-            tagged = merge_changes(base_keys_hash, deduped, keys)
-            obs2 = Observation("merge")
-            tagged = tagged.observe(obs2, F.count(F.lit(1)).alias("deduped_rows"), F.count_if(F.col(ACTION) == UNCHANGED).alias("unchanged"))
-            out = tagged.filter(F.col(ACTION).isin(INSERT, UPDATE))
-        else:
-            observed = df.observe(obs, F.count(F.lit(1)).alias("input_rows"))
-            out = observed.withColumn(ACTION, F.lit(INSERT))
-            obs2 = None
+        # The input is scanned once: it is persisted (memory, spilling to
+        # disk; lost blocks are recomputed from lineage), counted, then merged.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        tagged = None
+        try:
+            if mode == "merge":
+                bad = null_key(keys)
+                head = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("null_keys")).collect()[0]
+                stats["input_rows"], stats["null_key_rows"] = int(head["n"]), int(head["null_keys"])
+                clean = df.filter(~bad)
+                deduped = dedup_latest(clean, keys, [c for c in ["_seq", "UpdatedAt"] if c in clean.columns])
+                tagged = merge_changes(base_keys_hash, deduped, keys).persist(StorageLevel.MEMORY_AND_DISK)
+                by = {r[ACTION]: int(r["count"]) for r in tagged.groupBy(ACTION).count().collect()}
+                stats["duplicate_rows"] = stats["input_rows"] - stats["null_key_rows"] - sum(by.values())
+                stats["rows_unchanged"] = by.get(UNCHANGED, 0)
+                out = tagged.filter(F.col(ACTION).isin(INSERT, UPDATE))
+            else:
+                stats["input_rows"] = df.count()
+                out = df.withColumn(ACTION, F.lit(INSERT))
+            self._write(out, gen, next_seq, partition_by)
+        finally:
+            if tagged is not None:
+                tagged.unpersist()
+            df.unpersist()
 
         target = self._seq_path(gen, next_seq)
-        # Rebalance on the partition columns: AQE splits a hot partition value
-        # into several files and packs small ones, instead of one task per value.
-        writer_df = out.hint("rebalance", *partition_by) if partition_by else out
-        w = writer_df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(target)
-
         back = self.spark.read.schema(data_schema.add(ACTION, T.StringType())).parquet(target)
         written = back.groupBy(ACTION).count().collect()
         by_action = {r[ACTION]: r["count"] for r in written}
-        m = obs.get
-        stats["input_rows"] = int(m.get("input_rows", 0))
         stats["rows_written"] = int(sum(by_action.values()))
         stats["rows_inserted"] = int(by_action.get(INSERT, 0))
         stats["rows_updated"] = int(by_action.get(UPDATE, 0))
-        if obs2 is not None:
-            m2 = obs2.get
-            stats["null_key_rows"] = int(m.get("null_key_rows", 0))
-            stats["duplicate_rows"] = stats["input_rows"] - stats["null_key_rows"] - int(m2.get("deduped_rows", 0))
-            stats["rows_unchanged"] = int(m2.get("unchanged", 0))
         files = back.select(F.col("_metadata.file_path")).distinct().count() if stats["rows_written"] else 0
         stats["files_written"] = int(files)
         self._commit(gen, next_seq, mode, keys, partition_by, data_schema, stats["rows_written"])
@@ -240,6 +236,17 @@ class ArchiveTable:
         stats["seconds"] = round(time.time() - started, 3)
         return stats
 
+    def _write(self, out: DataFrame, gen: int, seq: int, partition_by: Sequence[str]) -> None:
+        """Write one change-log folder (overwrite: a replayed batch replaces
+        only its own folder)."""
+        # Rebalance on the partition columns: AQE splits a hot partition value
+        # into several files and packs small ones, instead of one task per value.
+        writer_df = out.hint("rebalance", *partition_by) if partition_by else out
+        w = writer_df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(self._seq_path(gen, seq))
+
     def _state_of(self, commits: Sequence[Commit], columns: Sequence[str]) -> DataFrame:
         tmp = ArchiveTable(self.spark, self.path)
         tmp._current_commits = lambda: list(commits)  # type: ignore[method-assign]

@@ -15,6 +15,7 @@ import html as _html
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed patterns: a directory container and the embedded-data script.
 CONTAINER_RE = r"(?s)<li\b[^>]*>(.*?)</li>"
@@ -24,7 +25,7 @@ TITLE_RE = r"""\btitle\s*=\s*"([^"]*)\""""
 SCRIPT_RE = r"(?s)<script\b[^>]*>(.*?)</script>"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else _html.unescape(x))
 
@@ -66,7 +67,7 @@ def embedded_script(pages: DataFrame, html_col: str = "html", marker: str = r"tr
     scripts = F.regexp_extract_all(F.col(html_col), F.lit(SCRIPT_RE), 1)
     marked = F.filter(scripts, lambda s: s.rlike(marker))
     return pages.select(
-        "*", F.size(marked).alias("n_marked"), F.element_at(marked, 1).alias("_script")
+        "*", F.size(marked).alias("n_marked"), F.try_element_at(marked, F.lit(1)).alias("_script")
     ).select(
         "*",
         F.when(F.col("n_marked") == 1, F.regexp_extract(F.col("_script"), marker, 1)).alias("payload"),

@@ -60,7 +60,7 @@ def _cabin_aggs(k: int, cabin: str) -> list[str]:
             f"sum(CASE WHEN {keep} THEN {tax} END) AS {p}tax",
             f"min(CASE WHEN {keep} THEN {tax} END) AS {p}mintax",
             f"count_if({keep} AND l_linestatus = 'O') AS {p}open",
-            f"array_sort(collect_set(CASE WHEN {keep} THEN concat('S', CAST(l_suppkey AS STRING)) END)) AS {p}sups",
+            f"collect_set(CASE WHEN {keep} THEN l_suppkey END) AS {p}sups",
             f"min(CASE WHEN {keep} THEN l_suppkey END) AS {p}minsup",
         ]
     return out
@@ -81,7 +81,9 @@ def _cabin_columns() -> list[str]:
             cols[f"{cabin}DirectTotalTaxes{variant}"] = f"CAST({p}mintax AS INT)"
             cols[f"{cabin}RemainingSeats{variant}"] = n
             cols[f"{cabin}DirectRemainingSeats{variant}"] = f"CAST(coalesce({p}open, 0) AS INT)"
-            cols[f"{cabin}Airlines{variant}"] = f"coalesce(concat_ws(', ', {p}sups), '')"
+            cols[f"{cabin}Airlines{variant}"] = (
+                f"coalesce(concat_ws(', ', array_sort(transform({p}sups, x -> concat('S', CAST(x AS STRING))))), '')"
+            )
             cols[f"{cabin}DirectAirlines{variant}"] = f"coalesce(concat('S', CAST({p}minsup AS STRING)), '')"
             cols[f"{cabin}Direct{variant}"] = f"{n} = 1"
     cols["TaxesCurrency"] = case_sql(STATUS_CURRENCY, "o_orderstatus")
@@ -102,6 +104,8 @@ def availability_records(spark: SparkSession, sf_dir: str, as_of: str | None = N
         cut = F.lit(as_of).cast("timestamp_ntz")
         orders = orders.filter(F.col("o_orderdate") < cut)
         items = items.filter(F.col("l_shipdate") < cut)
+    # Only line numbers 1-4 are cabins: the filter reaches the Parquet scan.
+    items = items.filter(F.col("l_linenumber").between(1, len(S.CABINS)))
     aggs = [F.expr(a) for k, c in enumerate(S.CABINS, 1) for a in _cabin_aggs(k, c)]
     cabins = items.groupBy("l_orderkey").agg(*aggs)
     nation = F.broadcast(table(spark, sf_dir, "nation"))

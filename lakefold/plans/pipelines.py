@@ -17,6 +17,8 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,23 @@ def land_pages(records: DataFrame, path: str, snapshot: int, page_size: int = PA
     out.write.mode("overwrite").json(path)
 
 
+def landed_once(spark: SparkSession, key: str, writer) -> str:
+    """Folder of derived landed files for ``key`` under the shared checkpoint
+    folder, written by ``writer(path)`` the first time only (a marker file
+    is written last, so a half-written landing is redone)."""
+    import hashlib
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakefold/landed-{hashlib.sha1(key.encode()).hexdigest()[:16]}"
+    try:
+        spark.read.text(f"{path}/_landed").take(1)
+        return path
+    except AnalysisException:
+        pass
+    writer(path)
+    spark.createDataFrame([("done",)], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/_landed")
+    return path
+
+
 def read_landed_records(spark: SparkSession, path: str) -> DataFrame:
     """S1 over landed page files: one row per record with ``_page``/``_pos``."""
     pages = J.read_json_files(spark, path, S.AVAILABILITY_PAGE, multiline=False)
@@ -85,11 +104,17 @@ def flight_batch(records: DataFrame, ingestion_ts: _dt.datetime | None = None, m
 def run_flight_pipeline(spark: SparkSession, landed: str, table_path: str, keys=None,
                         ingestion_ts: _dt.datetime | None = None, partition_by=None) -> dict:
     """Every landed page of every program into the table, one job."""
-    records = read_landed_records(spark, landed)
-    batch, rejects = flight_batch(records, ingestion_ts, keys=keys)
-    t = ArchiveTable(spark, table_path)
-    stats = t.save(batch, "merge", keys or S.FLIGHT_KEYS, partition_by or S.FLIGHT_PARTITIONS, add_meta=False)
-    stats["rejects"] = rejects.count()
+    # Parsing JSON is the expensive step: parse once, reuse for the page cut,
+    # the validation split and the reject count (spills to disk if needed;
+    # lost blocks are recomputed from the files).
+    records = read_landed_records(spark, landed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        batch, rejects = flight_batch(records, ingestion_ts, keys=keys)
+        t = ArchiveTable(spark, table_path)
+        stats = t.save(batch, "merge", keys or S.FLIGHT_KEYS, partition_by or S.FLIGHT_PARTITIONS, add_meta=False)
+        stats["rejects"] = rejects.count()
+    finally:
+        records.unpersist()
     return stats
 
 

@@ -68,6 +68,43 @@ def dense_frame(df: DataFrame, key: Sequence[str], order: str, value: str, prece
     return out.drop("_b", "_ctx")
 
 
+def range_count(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str, seconds: int,
+                bucket: str = "1 day", out: str = "in_range", id_col: str | None = None) -> DataFrame:
+    """For each left row: how many right rows of the same ``by`` key have a
+    time in ``(t, t + seconds]``, without forming any (left, right) pair.
+
+    count(t0 < x <= t1) = N(t1) - N(t0), with N(t) = right rows at or before
+    t.  N is a running count over the distinct right times of a key (ties
+    merged first by a partial aggregate); N(t) for any t is an as-of lookup.
+    Both steps are bucketed, so a hot key is spread over many tasks.  With a
+    unique ``id_col`` both lookups share one as-of pass."""
+    keys = list(map(ident, by))
+    per_t = right.groupBy(*keys, F.col(ts)).agg(F.count(F.lit(1)).alias("_n"))
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    day = 86_400_000_000
+    per_t = per_t.withColumn("_ord", micros)
+    cum = running_sum(per_t, by, "_ord", "_n", bucket_size=day, out="_cum").drop("_ord", "_n")
+    t1 = (F.col(ts).cast("timestamp") + F.make_interval(secs=F.lit(seconds))).cast(left.schema[ts].dataType)
+    if id_col is not None:
+        # One as-of pass: each left row probes twice (t and t + width).
+        probes = left.select(*keys, F.col(ident(id_col)).alias("_id"),
+                             F.explode(F.array(F.struct(F.col(ts).alias("_p"), F.lit(0).alias("_w")),
+                                               F.struct(t1.alias("_p"), F.lit(1).alias("_w")))).alias("_q"))
+        probes = probes.select(*keys, "_id", F.col("_q._p").alias(ts), F.col("_q._w").alias("_w"))
+        looked = asof_last(probes, cum, by, ts, "_cum", bucket, strict=False)
+        n = F.coalesce(F.col("asof__cum"), F.lit(0))
+        counts = looked.groupBy("_id").agg(
+            (F.sum(F.when(F.col("_w") == 1, n)) - F.sum(F.when(F.col("_w") == 0, n))).alias(out)
+        )
+        return left.join(counts.withColumnRenamed("_id", id_col), id_col, "left")
+    base = left.withColumn("_t1", t1)
+    lo = asof_last(base, cum, by, ts, "_cum", bucket, strict=False).withColumnRenamed("asof__cum", "_n0")
+    hi_probe = lo.withColumnRenamed(ts, "_t0").withColumnRenamed("_t1", ts)
+    hi = asof_last(hi_probe, cum, by, ts, "_cum", bucket, strict=False).withColumnRenamed("asof__cum", "_n1")
+    hi = hi.withColumnRenamed(ts, "_t1").withColumnRenamed("_t0", ts)
+    return hi.withColumn(out, F.coalesce("_n1", F.lit(0)) - F.coalesce("_n0", F.lit(0))).drop("_t1", "_n0", "_n1")
+
+
 def first_last(df: DataFrame, key: Sequence[str], order: str, value: str) -> DataFrame:
     """``first_value`` / ``last_value`` over the whole key: partial aggregates
     (min_by / max_by), joined back."""

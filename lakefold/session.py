@@ -55,7 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="lakefold-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: scratch tables and stream "
+                               "checkpoints must survive the loss of any machine")
+        configured = tempfile.mkdtemp(prefix="lakefold-ckpt-")  # single-machine runs only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -100,8 +100,12 @@ def search(
     only_direct: bool = False,
     carriers: Sequence[str] | None = None,
     include_filtered: bool = True,
+    order_by: Sequence[str] | None = None,
+    skip: int = 0,
+    take: int | None = None,
 ) -> DataFrame:
-    """The cached-search parameters as predicates on the flat table."""
+    """The cached-search parameters as predicates on the flat table;
+    ``order_by`` / ``skip`` / ``take`` page through the result."""
     as_list = lambda v: [v] if isinstance(v, str) else v
     cab = [cabin_code(c) for c in cabins] if cabins else None
     preds = [
@@ -121,7 +125,13 @@ def search(
             preds.append(reduce(lambda a, b: a | b, [carriers_any(cabin_column(c, "Airlines", include_filtered), carriers) for c in cab]))
     elif only_direct:
         preds.append(reduce(lambda a, b: a | b, [F.col(cabin_column(c, "Direct", include_filtered)) == F.lit(True) for c in CABINS]))
-    return df.filter(all_of(preds))
+    out = df.filter(all_of(preds))
+    if take is not None or skip:
+        order = list(order_by or ["ID"])
+        out = page(out, order, skip, take) if take is not None else out.orderBy(*order).offset(skip)
+    elif order_by:
+        out = out.orderBy(*order_by)
+    return out
 
 
 def first_n(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:

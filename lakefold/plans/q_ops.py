@@ -116,7 +116,7 @@ def f10_points_cash(spark, sf_dir):
     return rows.filter(F.col("is_points").isin([True])).groupBy("is_points").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("u2_points_union_cash", f"SELECT is_points, count(*) AS rows, sum(lowest_points_rate) AS pts FROM ({_AVAIL_SQL}) GROUP BY ALL")
+@register("u2_points_union_cash", f"SELECT is_points, count(*) AS rows, CAST(sum(lowest_points_rate) AS BIGINT) AS pts FROM ({_AVAIL_SQL}) GROUP BY ALL")
 def u2_points_union_cash(spark, sf_dir):
     rows = hotel_availability_rows(spark, sf_dir)
     both = rows.filter("is_points").unionByName(rows.filter("NOT is_points"))
@@ -284,8 +284,9 @@ FROM (SELECT event_type, page, count(*) AS records, count(DISTINCT user_id) AS i
       FROM ({_EV_SQL}) GROUP BY ALL) e
 LEFT JOIN (SELECT event_type, page, count(*) AS written, count(*) FILTER (WHERE _change = 'insert') AS inserted
            FROM ({_EV_CHANGES_SQL}) GROUP BY ALL) c USING (event_type, page)"""
-_TOTALS_SQL = f"""SELECT event_type, count(*) AS pages_fetched, sum(records) AS api_records, sum(input_rows) AS input_rows,
-       sum(rows_written) AS rows_written, sum(rows_inserted) AS rows_inserted, bool_or(table_created) AS table_created,
+_TOTALS_SQL = f"""SELECT event_type, count(*) AS pages_fetched, CAST(sum(records) AS BIGINT) AS api_records,
+       CAST(sum(input_rows) AS BIGINT) AS input_rows, CAST(sum(rows_written) AS BIGINT) AS rows_written,
+       CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted, bool_or(table_created) AS table_created,
        strftime(max_by(ts, page), '%Y-%m-%dT%H:%M:%S.%f') AS timestamp
 FROM ({_PAGE_STATS_SQL}) GROUP BY event_type"""
 
@@ -332,7 +333,7 @@ def a3_no_data(spark, sf_dir):
 @register(
     "a4_bulk_summary",
     """SELECT count(*) FILTER (WHERE success) AS successful, count(*) FILTER (WHERE NOT success) AS failed,
-              coalesce(sum(records) FILTER (WHERE success), 0) AS total_records,
+              CAST(coalesce(sum(records) FILTER (WHERE success), 0) AS BIGINT) AS total_records,
               coalesce(string_agg(program, ',' ORDER BY program) FILTER (WHERE NOT success), '') AS failed_programs
        FROM (SELECT event_type AS program, count(*) AS records, count(*) FILTER (WHERE value >= 450) = 0 AS success
              FROM events GROUP BY ALL)""",

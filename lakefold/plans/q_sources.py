@@ -235,7 +235,7 @@ def s8_projected_scan(spark, sf_dir):
 # --- P8: numeric text with '' allowed ----------------------------------------------------
 @register(
     "p8_numeric_text",
-    """SELECT l_returnflag, count(*) AS n, count(c) AS parsed, sum(c) AS total
+    """SELECT l_returnflag, count(*) AS n, count(c) AS parsed, CAST(sum(c) AS BIGINT) AS total
        FROM (SELECT l_returnflag, TRY_CAST(NULLIF(trim(CASE WHEN l_returnflag = 'R' THEN '' ELSE
                     CAST(CAST(l_quantity * 1000 AS INTEGER) AS VARCHAR) END), '') AS INTEGER) AS c FROM lineitem)
        GROUP BY l_returnflag""",

@@ -94,20 +94,20 @@ _sql("c6_group_having", _C6, tables=("orders",))
 
 # Rollup / cube / grouping sets -------------------------------------------------------
 _C7 = """
-SELECT r_name, n_name, c_mktsegment, GROUPING(r_name) AS g_r, GROUPING(n_name) AS g_n, GROUPING(c_mktsegment) AS g_s,
+SELECT r_name, n_name, c_mktsegment, CAST(GROUPING(r_name) AS INT) AS g_r, CAST(GROUPING(n_name) AS INT) AS g_n, CAST(GROUPING(c_mktsegment) AS INT) AS g_s,
        count(*) AS customers, CAST(sum(CAST(floor(c_acctbal) AS BIGINT)) AS BIGINT) AS balance
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 GROUP BY GROUPING SETS ((r_name, n_name, c_mktsegment), (r_name, n_name), (r_name), (c_mktsegment), ())
 """
 _sql("c7_grouping_sets", _C7, tables=("customer", "nation", "region"))
 _C7B = """
-SELECT r_name, c_mktsegment, GROUPING(r_name) AS g_r, GROUPING(c_mktsegment) AS g_s, count(*) AS customers
+SELECT r_name, c_mktsegment, CAST(GROUPING(r_name) AS INT) AS g_r, CAST(GROUPING(c_mktsegment) AS INT) AS g_s, count(*) AS customers
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 GROUP BY CUBE (r_name, c_mktsegment)
 """
 _sql("c7_cube", _C7B, tables=("customer", "nation", "region"))
 _C7C = """
-SELECT r_name, n_name, GROUPING(r_name) AS g_r, GROUPING(n_name) AS g_n, count(*) AS customers
+SELECT r_name, n_name, CAST(GROUPING(r_name) AS INT) AS g_r, CAST(GROUPING(n_name) AS INT) AS g_n, count(*) AS customers
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 GROUP BY ROLLUP (r_name, n_name)
 """
@@ -140,7 +140,7 @@ _sql("c9_pivot", _C9P_SPARK, _C9P_DUCK, tables=("lineitem",))
 
 @register(
     "c9_unpivot",
-    """SELECT cabin, count(*) AS rows, sum(miles) AS miles FROM (
+    """SELECT cabin, count(*) AS rows, CAST(sum(miles) AS BIGINT) AS miles FROM (
          SELECT ID, 'Y' AS cabin, YMileageCostRaw AS miles FROM flat UNION ALL SELECT ID, 'W', WMileageCostRaw FROM flat
          UNION ALL SELECT ID, 'J', JMileageCostRaw FROM flat UNION ALL SELECT ID, 'F', FMileageCostRaw FROM flat)
        GROUP BY cabin""".replace("flat", "(" + __import__("lakefold.plans.oracle", fromlist=["x"]).availability_flat_sql(None) + ")"),
@@ -161,15 +161,15 @@ def c9_unpivot(spark, sf_dir):
 _C10 = """
 SELECT o_custkey, o_orderkey, rn, rnk, drnk FROM (
   SELECT o_custkey, o_orderkey,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS rn,
-         rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS rnk,
-         dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS drnk
+         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS INT) AS rn,
+         CAST(rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS INT) AS rnk,
+         CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS INT) AS drnk
   FROM orders) t
 WHERE rn <= 3
 """
 _sql("c10_top3_per_customer", _C10, tables=("orders",))
 _C10B = """
-SELECT c_custkey, ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS quartile,
+SELECT c_custkey, CAST(ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS INT) AS quartile,
        percent_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS pct
 FROM customer
 """
@@ -180,7 +180,7 @@ _sql("c10_ntile_percent_rank", _C10B, tables=("customer",))
 @register(
     "c11_running_and_moving",
     """SELECT conv_id, turn, length(text) AS n,
-              sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS running_sum,
+              CAST(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_sum,
               avg(length(text)) OVER (PARTITION BY conv_id ORDER BY turn RANGE BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg,
               lag(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS lag_value,
               lead(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS lead_value,
@@ -236,13 +236,13 @@ SELECT doc_id, length(text) AS n_chars_calc, n_chars,
 FROM documents
 """
 _C15_DUCK = r"""
-SELECT doc_id, length(text) AS n_chars_calc, n_chars,
-       len(regexp_split_to_array(trim(text, ' '), '\s+')) AS n_words,
+SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars_calc, n_chars,
+       CAST(len(regexp_split_to_array(trim(text, ' '), '\s+')) AS INTEGER) AS n_words,
        regexp_extract(text, '^(\S+)', 1) AS first_word,
        regexp_matches(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+\.[a-z]+') AS has_email,
        concat_ws('|', lang, source) AS tag,
-       length(replace(text, ' ', '')) AS non_space,
-       instr(text, 'the') AS first_the,
+       CAST(length(replace(text, ' ', '')) AS INTEGER) AS non_space,
+       CAST(instr(text, 'the') AS INTEGER) AS first_the,
        lpad(CAST(doc_id AS VARCHAR), 6, '0') AS padded
 FROM documents
 """
@@ -271,8 +271,8 @@ FROM events GROUP BY date_trunc('DAY', ts)
 """
 _C16_DUCK = """
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS events,
-       count(DISTINCT user_id) AS users, datediff('day', DATE '2024-01-01', CAST(date_trunc('day', ts) AS DATE)) AS day_no,
-       min(hour(ts)) AS first_hour, max(dayofweek(ts) + 1) AS dow,
+       count(DISTINCT user_id) AS users, CAST(datediff('day', DATE '2024-01-01', CAST(date_trunc('day', ts) AS DATE)) AS INTEGER) AS day_no,
+       CAST(min(hour(ts)) AS INTEGER) AS first_hour, CAST(max(dayofweek(ts) + 1) AS INTEGER) AS dow,
        strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M') AS last_plus_30m
 FROM events GROUP BY date_trunc('day', ts)
 """
@@ -287,7 +287,7 @@ FROM lineitem GROUP BY l_returnflag
 """
 _C17_DUCK = """
 SELECT l_returnflag, CAST(sum(CAST(floor(l_extendedprice * (1 - l_discount) * 100) AS BIGINT)) AS BIGINT) AS net_cents,
-       CAST(sum(l_quantity) AS BIGINT) // 7 AS weeks, max(ceil(l_extendedprice)) AS max_ceil,
+       CAST(sum(l_quantity) AS BIGINT) // 7 AS weeks, CAST(max(ceil(l_extendedprice)) AS BIGINT) AS max_ceil,
        min(abs(l_extendedprice - 50000)) AS nearest, max(((l_partkey % 7) + 7) % 7) AS max_mod, min(round(l_tax * 3, 2)) AS min_tax3
 FROM lineitem GROUP BY l_returnflag
 """
@@ -303,11 +303,11 @@ SELECT vec_id, size(embedding) AS dims, size(filter(embedding, x -> x > 0)) AS p
 FROM embeddings
 """
 _C18_DUCK = """
-SELECT vec_id, len(embedding) AS dims, len(list_filter(embedding, lambda x: x > 0)) AS positives,
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS positives,
        round(list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), lambda a, b: a + b), 6) AS norm2,
        round(CAST(list_max(embedding) AS DOUBLE), 6) AS top,
        map_from_entries([('label', label)])['label'] AS label_from_map,
-       len(list_distinct(list_transform(embedding, lambda x: x > 0))) AS signs
+       CAST(len(list_distinct(list_transform(embedding, lambda x: x > 0))) AS INTEGER) AS signs
 FROM embeddings
 """
 _sql("c18_arrays_lambdas", _C18_SPARK, _C18_DUCK, tables=("embeddings",))
@@ -319,8 +319,8 @@ SELECT CAST(get_json_object(props, '$.k') AS INT) DIV 10 AS k_bucket, count(*) A
 FROM events GROUP BY CAST(get_json_object(props, '$.k') AS INT) DIV 10
 """
 _C19_DUCK = """
-SELECT CAST(json_extract(props, '$.k') AS INTEGER) // 10 AS k_bucket, count(*) AS events,
-       sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS k_sum
+SELECT CAST(CAST(json_extract(props, '$.k') AS INTEGER) // 10 AS BIGINT) AS k_bucket, count(*) AS events,
+       CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS k_sum
 FROM events GROUP BY ALL
 """
 _sql("c19_json", _C19_SPARK, _C19_DUCK, tables=("events",))
@@ -328,10 +328,10 @@ _sql("c19_json", _C19_SPARK, _C19_DUCK, tables=("events",))
 # C20: CASE / COALESCE / null-safe logic ------------------------------------------------------------
 _C20 = """
 SELECT d.lang, count(*) AS docs, count(l.doc_id) AS labelled,
-       sum(CASE WHEN coalesce(l.quality, -1) = 1 THEN 1 ELSE 0 END) AS good,
-       sum(CASE WHEN l.toxic IS NULL THEN 1 ELSE 0 END) AS unknown_toxic,
-       sum(CASE WHEN l.toxic IS NOT DISTINCT FROM l.quality THEN 1 ELSE 0 END) AS same_flags,
-       sum(CASE WHEN nullif(l.quality, 0) IS NULL THEN 1 ELSE 0 END) AS zero_or_null
+       CAST(sum(CASE WHEN coalesce(l.quality, -1) = 1 THEN 1 ELSE 0 END) AS BIGINT) AS good,
+       CAST(sum(CASE WHEN l.toxic IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unknown_toxic,
+       CAST(sum(CASE WHEN l.toxic IS NOT DISTINCT FROM l.quality THEN 1 ELSE 0 END) AS BIGINT) AS same_flags,
+       CAST(sum(CASE WHEN nullif(l.quality, 0) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS zero_or_null
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 GROUP BY d.lang
 """

@@ -49,7 +49,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is; only when it is unset (local tests) do we fill in a fresh scratch
     folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -330,6 +330,20 @@ class ArchiveTable:
             F.count(F.lit(1)).alias("rows")
         )
 
+    def partitions(self) -> DataFrame:
+        """K8: files, rows and bytes per partition value of the current
+        generation's log."""
+        cur = self._current_commits()
+        if not cur:
+            raise FileNotFoundError(self.path)
+        parts = cur[-1].partition_by
+        log = self._read(cur, cur[-1].schema)
+        per_file = log.groupBy(*map(ident, parts), F.col("_metadata.file_path").alias("_f"),
+                               F.col("_metadata.file_size").alias("_b")).agg(F.count(F.lit(1)).alias("_r"))
+        return per_file.groupBy(*map(ident, parts)).agg(
+            F.count(F.lit(1)).alias("files"), F.sum("_r").alias("rows"), F.sum("_b").alias("bytes")
+        )
+
     def info(self) -> dict:
         """K8: version, file count, schema and layout of the current state."""
         cs = self.commits()

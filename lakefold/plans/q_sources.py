@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakefold import schemas as S
 from lakefold.operators.shape import flatten_hotel_availability, flatten_hotels, hotel_url
 from lakefold.plans import derive
 from lakefold.plans.catalog import register

@@ -94,3 +94,19 @@ def test_sessions_brute_force(spark):
             want[i] = start
             prev = ts
     assert got == want
+
+
+def test_range_count_hot_key_and_ties(spark):
+    random.seed(13)
+    base = dt.datetime(2024, 1, 1)
+    # key 0 holds about half of the rows; times repeat (ties) on purpose
+    right = [(0 if random.random() < 0.5 else random.randint(1, 3), base + dt.timedelta(minutes=5 * random.randint(0, 2000)))
+             for _ in range(600)]
+    left = [(i, u, t) for i, (u, t) in enumerate(random.sample(right, 80))]
+    L = spark.createDataFrame(left, "id long, u long, ts timestamp")
+    R = spark.createDataFrame(right, "u long, ts timestamp")
+    for id_col in ("id", None):
+        out = windows.range_count(L, R, ["u"], "ts", 3600, bucket="6 hours", out="n", id_col=id_col)
+        got = {r.id: r.n for r in out.collect()}
+        want = {i: sum(1 for uu, t in right if uu == u and ts < t <= ts + dt.timedelta(hours=1)) for i, u, ts in left}
+        assert got == want

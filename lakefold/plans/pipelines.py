@@ -102,8 +102,12 @@ def flight_batch(records: DataFrame, ingestion_ts: _dt.datetime | None = None, m
 
 
 def run_flight_pipeline(spark: SparkSession, landed: str, table_path: str, keys=None,
-                        ingestion_ts: _dt.datetime | None = None, partition_by=None) -> dict:
-    """Every landed page of every program into the table, one job."""
+                        ingestion_ts: _dt.datetime | None = None, partition_by=None,
+                        rejects_path: str | None = None) -> dict:
+    """Every landed page of every program into the table, one job.
+
+    Invalid records are never dropped silently: they are counted, and with
+    ``rejects_path`` appended there with their reasons and page."""
     # Parsing JSON is the expensive step: parse once, reuse for the page cut,
     # the validation split and the reject count (spills to disk if needed;
     # lost blocks are recomputed from the files).
@@ -112,7 +116,9 @@ def run_flight_pipeline(spark: SparkSession, landed: str, table_path: str, keys=
         batch, rejects = flight_batch(records, ingestion_ts, keys=keys)
         t = ArchiveTable(spark, table_path)
         stats = t.save(batch, "merge", keys or S.FLIGHT_KEYS, partition_by or S.FLIGHT_PARTITIONS, add_meta=False)
-        stats["rejects"] = rejects.count()
+        stats["rejects"] = rejects.count()  # from the persisted records: no re-parse
+        if rejects_path:
+            rejects.write.mode("append").parquet(rejects_path)
     finally:
         records.unpersist()
     return stats

@@ -70,3 +70,16 @@ def test_stream_replay_is_idempotent(spark, scratch):
     replay = ingest_stream(spark, landed, table, scratch + "/ckpt2", keys=["ID"], ingestion_ts=ts, partition_by=["Source"])
     assert replay["batches"] == 2
     assert {r.ID: r.YMileageCost for r in ArchiveTable(spark, table).current().collect()} == got
+
+
+def test_flight_pipeline_keeps_rejects(spark, scratch):
+    from lakefold.plans.pipelines import run_flight_pipeline
+
+    landed = scratch + "/landed"
+    bad = dict(_rec(9, "1"), Source="lifemiles")
+    _land(landed, [{"data": [_rec(1, "100"), bad], "count": 2, "hasMore": False, "cursor": 0}])
+    st = run_flight_pipeline(spark, landed, scratch + "/t", keys=["ID"], partition_by=["Source"],
+                             rejects_path=scratch + "/rejects")
+    assert st["rows_inserted"] == 1 and st["rejects"] == 1
+    r = spark.read.parquet(scratch + "/rejects").collect()[0]
+    assert r.ID == "a9" and list(r._reasons) == ["value:Source"]

@@ -163,11 +163,14 @@ class ArchiveTable:
         ingestion_ts: _dt.datetime | None = None,
         hash_exclude: Sequence[str] | None = None,
         seq: int | None = None,
+        cache_input: bool = True,
     ) -> dict:
         """K1: append / overwrite / merge; returns exact statistics.
 
         ``seq`` pins the batch number (a replayed stream batch reuses it and
-        rewrites only its own directory).
+        rewrites only its own directory).  ``cache_input=False`` re-reads the
+        source for the counting passes instead of persisting it (for a first
+        load much larger than the cluster's spare disk).
         """
         if mode not in ("append", "overwrite", "merge"):
             raise ValueError(f"unknown mode {mode}")
@@ -199,7 +202,8 @@ class ArchiveTable:
 
         # The input is scanned once: it is persisted (memory, spilling to
         # disk; lost blocks are recomputed from lineage), counted, then merged.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if cache_input:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
         tagged = None
         try:
             if mode == "merge":
@@ -208,7 +212,9 @@ class ArchiveTable:
                 stats["input_rows"], stats["null_key_rows"] = int(head["n"]), int(head["null_keys"])
                 clean = df.filter(~bad)
                 deduped = dedup_latest(clean, keys, [c for c in ["_seq", "UpdatedAt"] if c in clean.columns])
-                tagged = merge_changes(base_keys_hash, deduped, keys).persist(StorageLevel.MEMORY_AND_DISK)
+                tagged = merge_changes(base_keys_hash, deduped, keys)
+                if cache_input:
+                    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
                 by = {r[ACTION]: int(r["count"]) for r in tagged.groupBy(ACTION).count().collect()}
                 stats["duplicate_rows"] = stats["input_rows"] - stats["null_key_rows"] - sum(by.values())
                 stats["rows_unchanged"] = by.get(UNCHANGED, 0)
@@ -218,9 +224,10 @@ class ArchiveTable:
                 out = df.withColumn(ACTION, F.lit(INSERT))
             self._write(out, gen, next_seq, partition_by)
         finally:
-            if tagged is not None:
-                tagged.unpersist()
-            df.unpersist()
+            if cache_input:
+                if tagged is not None:
+                    tagged.unpersist()
+                df.unpersist()
 
         target = self._seq_path(gen, next_seq)
         back = self.spark.read.schema(data_schema.add(ACTION, T.StringType())).parquet(target)

@@ -116,3 +116,10 @@ def test_merge_reads_only_keys_and_hash(spark, scratch):
     state = t.current(["ID", "content_hash"])
     plan = state._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ID:string,content_hash:string>" in plan
+
+
+def test_merge_without_input_cache(spark, scratch):
+    t = ArchiveTable(spark, scratch + "/t")
+    t.save(frame(spark, [("a", 1, "x"), ("b", 2, "y")]), "merge", ["ID"], cache_input=False)
+    st = t.save(frame(spark, [("a", 1, "x"), ("b", 3, "y"), ("c", 1, "z")]), "merge", ["ID"], cache_input=False)
+    assert (st["rows_inserted"], st["rows_updated"], st["rows_unchanged"]) == (1, 1, 1)

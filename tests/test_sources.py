@@ -95,3 +95,10 @@ def test_embedded_script_counts(spark):
 def test_request_params_drop_unset_and_iso_dates():
     p = J.request_params(source="aeroplan", cabin=None, start_date=dt.date(2025, 3, 15), end_date=None, take=5000)
     assert p == {"source": "aeroplan", "start_date": "2025-03-15", "take": 5000}
+
+
+def test_numeric_entities_and_plain_values(spark):
+    html = '<ul><li><a href="/caf&#233;?a=1&amp;b=2" title="Caf&#xE9; &lt;1&gt;">x</a></li><li><a href="/plain" title="Plain">y</a></li></ul>'
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    out = H.hotel_links(pages).orderBy("_idx").collect()
+    assert [(r.path, r.title) for r in out] == [("/café?a=1&b=2", "Café <1>"), ("/plain", "Plain")]

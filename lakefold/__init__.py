@@ -13,7 +13,7 @@ Public entry points (all take and return Spark DataFrames):
 * ``lakefold.sources``: JSON pages / routes / trips / calendars, HTML links and scripts
 * ``lakefold.storage.table.ArchiveTable``: save (append / overwrite / merge),
   current, compact, expire, info
-* ``lakefold.plans.pipelines``: ``run_flight_pipeline``, ``run_hotel_pipeline``
+* ``lakefold.plans.jobs``: ``run_flight_pipeline``, ``run_hotel_pipeline``
 * ``lakefold.streaming.ingest``: ``ingest_stream``, ``dedup_stream``
 * ``lakefold.plans.sqlrun``: ``run_sql``, ``run_sql_report``
 """

@@ -1,4 +1,4 @@
-"""End-to-end pipelines (K9, K10) over landed files, as Spark jobs.
+"""End-to-end jobs (K9, K10) over landed files, as Spark jobs.
 
 Flight pipeline (K10), for all programs and pages at once:
   landed page files -> S1 read (declared schema) -> P5 validate (rejects

@@ -347,12 +347,12 @@ def a4_bulk_summary(spark, sf_dir):
 
 # --- A7 / A8: hotel run totals and combined stages -------------------------------------------
 @register(
-    "a8_hotel_pipeline_stats",
+    "a8_hotel_run_stats",
     f"""SELECT 'hotels' AS stage, count(*) AS records, count(DISTINCT nid) AS distinct_keys FROM ({_HOTELS_SQL})
         UNION ALL
         SELECT 'availability', count(*), count(DISTINCT (nid, date, is_points)) FROM ({_AVAIL_SQL})""",
 )
-def a8_hotel_pipeline_stats(spark, sf_dir):
+def a8_hotel_run_stats(spark, sf_dir):
     from lakefold.operators.shape import flatten_hotels
 
     hotels = flatten_hotels(derive.hotel_details(spark, sf_dir))

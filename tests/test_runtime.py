@@ -73,7 +73,7 @@ def test_stream_replay_is_idempotent(spark, scratch):
 
 
 def test_flight_pipeline_keeps_rejects(spark, scratch):
-    from lakefold.plans.pipelines import run_flight_pipeline
+    from lakefold.plans.jobs import run_flight_pipeline
 
     landed = scratch + "/landed"
     bad = dict(_rec(9, "1"), Source="lifemiles")

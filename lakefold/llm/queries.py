@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import decontam, token_count
+from lakefold.llm import decontam, quality, token_count, toxicity
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_count.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@register("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels outside the held-out quarter."""
+    return toxicity.with_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labels outside the held-out fifth."""
+    return quality.with_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import decontam, quality, token_count, toxicity
+from lakefold.llm import decontam, pii, quality, token_count, toxicity
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from labels outside the held-out fifth."""
     return quality.with_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_personal_data")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: pattern spans and tagged spans."""
+    return pii.report(table(spark, sf_dir, "documents"))

@@ -395,7 +395,8 @@ def report(docs: DataFrame) -> DataFrame:
     d = with_spans(docs.select("doc_id", "text"))
     told = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, (lambda k: lambda s: s == k)(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return d.select(
         "doc_id", *counts, F.sha2(F.array_join(F.transform(base, told), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", told), ",").alias("spans"))

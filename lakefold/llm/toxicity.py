@@ -35,7 +35,7 @@ _CACHE_WORDS = 400_000
 class Settings:
     """``clean`` and ``toxic`` bound the labelled documents learnt from."""
 
-    clean: int = 7500
+    clean: int = 5000
     toxic: int = 2500
     buckets: int = 1 << 17
     dim: int = 4
@@ -64,20 +64,20 @@ def _sigmoid(x):
 
 
 def _bags(texts: list[str], s: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each text's buckets and their shares of its subwords, times the gain."""
-    codes, offsets, words = encode([t.lower() for t in texts], _TOKENS)
-    number, bucket = subwords(words, s.low, s.high, s.buckets)
-    bucket = bucket[np.argsort(number, kind="stable")].astype(np.int32)
-    starts = np.append(0, np.cumsum(np.bincount(number, minlength=len(words))))
+    """Each text's buckets, and how many of its subwords fall in each."""
     bags = []
-    for a, b in zip(offsets[:-1], offsets[1:]):
-        w, n = np.unique(codes[a:b], return_counts=True)
-        sizes = starts[w + 1] - starts[w]
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[w] - (ends - sizes), sizes)
-        subs, back = np.unique(bucket[at], return_inverse=True)
-        share = np.bincount(back, np.repeat(n, sizes), len(subs))
-        bags.append((subs, (s.gain * share / max(share.sum(), 1)).astype(np.float32)))
+    for _, part in slices(texts, 1_000_000):
+        codes, offsets, words = encode([t.lower() for t in part], _TOKENS)
+        number, bucket = subwords(words, s.low, s.high, s.buckets)
+        bucket = bucket[np.argsort(number, kind="stable")].astype(np.int32)
+        starts = np.append(0, np.cumsum(np.bincount(number, minlength=len(words))))
+        for a, b in zip(offsets[:-1], offsets[1:]):
+            w, n = np.unique(codes[a:b], return_counts=True)
+            sizes = starts[w + 1] - starts[w]
+            ends = np.cumsum(sizes)
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[w] - (ends - sizes), sizes)
+            subs, back = np.unique(bucket[at], return_inverse=True)
+            bags.append((subs, np.bincount(back, np.repeat(n, sizes), len(subs)).astype(np.float32)))
     return bags
 
 
@@ -104,7 +104,7 @@ def fit(texts: list[str], y: np.ndarray, s: Settings, prior: float | None = None
         for at in range(0, len(perm), s.batch):
             rows = perm[at:at + s.batch]
             subs = np.concatenate([bags[d][0] for d in rows])
-            part = np.concatenate([bags[d][1] for d in rows])
+            part = np.concatenate([bags[d][1] * (s.gain / bags[d][1].sum()) for d in rows])  # average, times the gain
             sizes = np.array([len(bags[d][0]) for d in rows])
             first = np.append(0, np.cumsum(sizes))[:-1]
             pooled = np.add.reduceat(emb[subs] * part[:, None], first, axis=0)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import decontam, pii, quality, token_count, toxicity
+from lakefold.llm import decontam, mixing, pii, quality, token_count, toxicity
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,34 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: pattern spans and tagged spans."""
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+MIX_WEIGHTS = [3.0, 1.0, 2.0]
+
+
+@register("op4_source_mixing", f"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+  FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, CAST(list_extract([3.0, 1.0, 2.0], (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1) AS DOUBLE) AS w, 2.0::DOUBLE * source_size AS most FROM s0),
+s2 AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s1),
+lv AS (SELECT arg_min(level, most / w) AS level FROM s2 WHERE level <= most / w),
+t AS (SELECT source, source_size, least(most, coalesce((SELECT level FROM lv) * w, most)) AS target FROM s1),
+e AS (
+  SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN least(target * 1.0::DOUBLE / source_size, 2.0::DOUBLE) ELSE 0 END AS e
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+z AS (
+  SELECT *, floor(e) AS whole, CASE WHEN e > floor(e) AND size > 0 THEN u * (1 - (e - floor(e))) / (u * (1 - (e - floor(e))) + (1 - u) * (e - floor(e))) END AS z,
+    target - sum(size * floor(e)) OVER (PARTITION BY source) AS lack FROM e),
+r AS (SELECT *, z IS NOT NULL AND sum(CASE WHEN z IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY z NULLS LAST RANGE UNBOUNDED PRECEDING) <= lack AS fits FROM z),
+g AS (SELECT source, max(lack) - coalesce(sum(size) FILTER (fits), 0) AS gap FROM r GROUP BY source),
+l AS (SELECT r.source, arg_max(z, (size, -z)) AS z_last FROM r JOIN g ON r.source IS NOT DISTINCT FROM g.source WHERE z IS NOT NULL AND NOT fits AND size <= gap GROUP BY r.source)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CAST(fits OR coalesce(z = z_last, false) AS INT)) AS BIGINT) AS taken
+FROM r LEFT JOIN l ON r.source IS NOT DISTINCT FROM l.source""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document."""
+    return mixing.report(table(spark, sf_dir, "documents"), MIX_WEIGHTS)

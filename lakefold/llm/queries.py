@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import decontam, mixing, pii, quality, token_count, toxicity
+from lakefold.llm import decontam, mixing, near_dup, pii, quality, token_count, toxicity
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,9 @@ FROM r LEFT JOIN l ON r.source IS NOT DISTINCT FROM l.source""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of each document."""
     return mixing.report(table(spark, sf_dir, "documents"), MIX_WEIGHTS)
+
+
+@register("op3_near_duplicates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles agree in three quarters."""
+    return near_dup.duplicates(table(spark, sf_dir, "documents"))

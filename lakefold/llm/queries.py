@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import decontam, mixing, near_dup, pii, quality, token_count, toxicity
+from lakefold.llm import decontam, html_text, mixing, near_dup, pii, quality, token_count, toxicity
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingles agree in three quarters."""
     return near_dup.duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op2_html_extraction")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return html_text.report(table(spark, sf_dir, "pages"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakefold.llm import decontam, html_text, mixing, near_dup, pii, quality, token_count, toxicity
+from lakefold.llm import bm25, decontam, html_text, mixing, near_dup, pii, quality, token_count, toxicity
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +119,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page."""
     return html_text.report(table(spark, sf_dir, "pages"))
+
+
+@register("op1_top_k_search")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 20."""
+    return bm25.similar(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)

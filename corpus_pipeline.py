@@ -1,11 +1,27 @@
-"""Corpus pipeline: stages over ``documents``, each written and read again."""
+"""Corpus pipeline: five stages over ``documents``, each written and read again.
+
+Every stage takes (spark, docs, sf_dir) and returns the rows that the next
+one works on; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import decontam
+from lakefold.llm import decontam, mixing, near_dup, pii, toxicity
 from lakefold.llm.common import stored, table
+from lakefold.llm.queries import MIX_WEIGHTS
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go.  Learnt from the labelled documents
+    among those that the stage gets."""
+    return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the smallest id."""
+    return near_dup.deduplicate(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,9 +29,28 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("decontamination", decontaminate)]
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked by its kind; ``n_chars`` follows the text."""
+    return pii.redact(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are mixed to their target weights: one row a copy taken."""
+    return mixing.mix(docs, MIX_WEIGHTS)
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("near_dedup", deduplicate),
+    ("decontamination", decontaminate),
+    ("pii", redact),
+    ("mixing", mix),
+]
 
-ORACLE_SQL = None  # trained models and seeded draws: tested stage by stage instead
+# A trained classifier and a trained tagger decide what stays and what it
+# reads: SQL cannot express them.  tests/llm holds each stage against a
+# brute-force version.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm import bm25, decontam, html_text, mixing, near_dup, pii, quality, token_count, toxicity
+from lakefold.llm import bm25, decontam, html_text, licenses, mixing, near_dup, pii, quality, token_count, toxicity
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents for every document whose id is divisible by 20."""
     return bm25.similar(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
+@register("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document."""
+    return licenses.report(table(spark, sf_dir, "documents"))

@@ -124,7 +124,7 @@ def copies(sizes: DataFrame, cut: DataFrame, cap: float = 2.0) -> DataFrame:
 def report(docs: DataFrame, weights: list[float], total: float = 1.5, cap: float = 2.0) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken.
 
-    Null and empty texts have size 0 and are never taken; a null source is a
+    Null and empty texts have size 0 and so 0 words taken; a null source is a
     source of its own; an empty table gives an empty result."""
     sizes = stored(sized(docs), "sizes")
     out = copies(sizes, cuts(sizes, weights, total, cap), cap)

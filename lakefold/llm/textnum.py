@@ -80,7 +80,7 @@ def subwords(words: list[str], low: int, high: int, buckets: int) -> tuple[np.nd
     left = np.repeat(off[1:], np.diff(off)) - np.arange(len(codes))  # characters up to the word's end
     numbers, hashes = [np.arange(len(words))], [word_hashes(marked)]
     rolling = np.zeros(len(codes), np.uint64)
-    for n in range(1, high + 1):
+    for n in range(1, min(high, len(codes)) + 1):
         rolling = rolling * _PRIME
         rolling[: len(codes) - n + 1] += codes[n - 1:]
         if n >= low:

@@ -116,15 +116,16 @@ def search(
         equals("OriginRegion", origin_region),
         equals("DestinationRegion", destination_region),
     ]
-    if cab:
-        avail = reduce(lambda a, b: a | b, [cabin_available(c, include_filtered) for c in cab])
-        preds.append(avail)
-        if only_direct:
-            preds.append(reduce(lambda a, b: a | b, [F.col(cabin_column(c, "Direct", include_filtered)) == F.lit(True) for c in cab]))
-        if carriers:
-            preds.append(reduce(lambda a, b: a | b, [carriers_any(cabin_column(c, "Airlines", include_filtered), carriers) for c in cab]))
-    elif only_direct:
-        preds.append(reduce(lambda a, b: a | b, [F.col(cabin_column(c, "Direct", include_filtered)) == F.lit(True) for c in CABINS]))
+    if cab or only_direct or carriers:
+        # One and the same cabin must meet all that is asked of cabins.
+        preds.append(reduce(lambda a, b: a | b, [
+            all_of([
+                cabin_available(c, include_filtered) if cab else None,
+                F.col(cabin_column(c, "Direct", include_filtered)) == F.lit(True) if only_direct else None,
+                carriers_any(cabin_column(c, "Airlines", include_filtered), carriers),
+            ])
+            for c in cab or CABINS
+        ]))
     out = df.filter(all_of(preds))
     if take is not None or skip:
         order = list(order_by or ["ID"])
@@ -172,7 +173,8 @@ def number_pages(df: DataFrame, order: Sequence[str], size: int, start_skip: int
     (page-1)*size``; rows before ``start_skip`` are not in any page."""
     numbered = global_row_number(df, order)
     pos = F.col("_row") - F.lit(start_skip)
-    return numbered.filter(pos >= 1).withColumn(col, F.floor((pos - 1) / size).cast("long") + 1).drop("_row")
+    nth = F.expr(f"(_row - {int(start_skip)} - 1) div {int(size)}")
+    return numbered.filter(pos >= 1).withColumn(col, nth.cast("long") + 1).drop("_row")
 
 
 def cut_page_chain(pages: DataFrame, group: Sequence[str], page_col: str = "page", count_col: str = "n_records",

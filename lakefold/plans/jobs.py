@@ -19,8 +19,9 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakefold import schemas as S
 from lakefold.functions.hashing import add_metadata
@@ -33,7 +34,11 @@ from lakefold.sources import json_pages as J
 from lakefold.storage.table import ArchiveTable
 
 PAGE_SIZE = 5000
-RUN_STRIDE = 1_000_000  # cursor = run * RUN_STRIDE + page
+# A landed page: the API's object, the folder it landed in (run, program),
+# and the text of an object that cannot be read.
+LANDED_PAGE = T.StructType([*S.AVAILABILITY_PAGE.fields, T.StructField("program", T.StringType()),
+                            T.StructField("run", T.LongType()), T.StructField("_corrupt", T.StringType())])
+ENVELOPE = ["data", "count", "hasMore", "cursor"]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -41,24 +46,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakefold/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def land_pages(records: DataFrame, path: str, snapshot: int, page_size: int = PAGE_SIZE) -> None:
-    """Write records as API page objects (JSON lines, one page per line).
+def land_pages(records: DataFrame, path: str, page_size: int = PAGE_SIZE) -> None:
+    """Write records as API page objects (JSON lines, one page per line), one
+    folder a program, cursors 0, 1, ... in each.
 
     Records are spread over pages by a hash of their ID; a page holds at
     most ``page_size`` records on average, and is the unit that is collected,
     so nothing larger than a page is ever gathered in one row."""
-    n_pages = records.agg(F.ceil(F.count(F.lit(1)) / page_size)).scalar()
-    page = F.pmod(F.xxhash64("ID"), F.greatest(n_pages, F.lit(1)))
     cols = [F.col(f.name) for f in S.AVAILABILITY_RECORD.fields]
-    grouped = records.groupBy(page.alias("p")).agg(
+    sizes = records.groupBy("Source").agg(F.ceil(F.count(F.lit(1)) / page_size).alias("n_pages"))
+    paged = records.join(sizes.withColumnRenamed("Source", "program"), F.col("Source").eqNullSafe(F.col("program")))
+    grouped = paged.groupBy("program", F.pmod(F.xxhash64("ID"), F.col("n_pages")).alias("cursor")).agg(
         F.collect_list(F.struct(*cols)).alias("data"), F.count(F.lit(1)).cast("int").alias("count")
     )
-    last = grouped.agg(F.max("p")).scalar()
-    out = grouped.select(
-        "data", "count", (F.col("p") < last).alias("hasMore"), F.lit(None).cast("string").alias("moreURL"),
-        (F.lit(snapshot) * RUN_STRIDE + F.col("p")).cast("long").alias("cursor"),
+    last = paged.groupBy("program").agg(F.max(F.pmod(F.xxhash64("ID"), F.col("n_pages"))).alias("last")).withColumnRenamed("program", "p")
+    out = grouped.join(last, F.col("program").eqNullSafe(F.col("p"))).select(
+        "data", "count", (F.col("cursor") < F.col("last")).alias("hasMore"), F.lit(None).cast("string").alias("moreURL"), "cursor", "program",
     )
-    out.write.mode("overwrite").json(path)
+    out.write.mode("overwrite").partitionBy("program").json(path)
 
 
 def landed_once(spark: SparkSession, key: str, writer) -> str:
@@ -78,52 +83,91 @@ def landed_once(spark: SparkSession, key: str, writer) -> str:
     return path
 
 
-def read_landed_records(spark: SparkSession, path: str) -> DataFrame:
-    """S1 over landed page files: one row per record with ``_page``/``_pos``."""
-    pages = J.read_json_files(spark, path, S.AVAILABILITY_PAGE, multiline=False)
-    return J.page_records(pages, "cursor")
+def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed page files, one row a page.  ``run=`` and ``program=`` folders
+    below ``path`` give these columns (else 0 and "")."""
+    pages = spark.read.schema(LANDED_PAGE).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    return named_pages(pages)
 
 
-def flight_batch(records: DataFrame, ingestion_ts: _dt.datetime | None = None, max_pages: int | None = None,
-                 keys=None) -> tuple[DataFrame, DataFrame]:
-    """(folded batch ready to merge, rejects).  ``records`` come from
-    ``read_landed_records``."""
-    checked = validate(records, availability_rules())
-    valid, rejects = split_valid(checked)
-    # One fetch run per landing (cursor = run * 1e6 + page); the chain is cut per run.
-    pages = records.groupBy("_page").agg(F.count(F.lit(1)).alias("n_records"), F.min("_has_more").alias("has_more"))
-    pages = pages.withColumn("_run", F.floor(F.col("_page") / RUN_STRIDE))
-    cut = select.cut_page_chain(pages, ["_run"], "_page", max_pages=max_pages)
-    valid = valid.join(cut.filter("kept").select("_page"), "_page", "left_semi")
+def named_pages(pages: DataFrame) -> DataFrame:
+    return pages.withColumns({"program": F.coalesce("program", F.lit("")), "run": F.coalesce("run", F.lit(0))})
+
+
+def page_facts(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """(run, program, cursor, n_records, kept) of each readable page.
+
+    The fetch loop of a run and program reads its pages by cursor and stops
+    before an empty page, after one that says it is the last, and after
+    ``max_pages``.  The facts come from the pages themselves, so an empty page
+    counts."""
+    facts = pages.filter(_readable()).groupBy("run", "program", "cursor").agg(
+        F.sum(F.size("data")).alias("n_records"), F.bool_and("hasMore").alias("has_more"))
+    # One row a page; a run and program has as many as its fetch loop read.
+    nth = F.row_number().over(Window.partitionBy("run", "program").orderBy("cursor"))
+    return select.cut_page_chain(facts.withColumn("_no", nth), ["run", "program"], "_no", max_pages=max_pages).drop("_no")
+
+
+def _readable():
+    ok = F.col("_corrupt").isNull()
+    for c in ENVELOPE:
+        ok = ok & F.col(c).isNotNull()
+    return ok
+
+
+def flight_batch(pages: DataFrame, ingestion_ts: _dt.datetime | None = None, max_pages: int | None = None,
+                 keys=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(folded batch ready to merge, rejects, page facts) of landed pages.
+
+    Rejects are invalid records of kept pages, and whole pages that cannot
+    be read (``_raw`` holds their text)."""
+    facts = page_facts(pages, max_pages)
+    kept = facts.filter("kept").select("run", "program", "cursor")
+    records = pages.filter(_readable()).join(kept, ["run", "program", "cursor"], "left_semi").select(
+        F.struct("run", "cursor").alias("_page"), F.posexplode("data").alias("_pos", "_rec")).select("_page", "_pos", "_rec.*")
+    valid, rejects = split_valid(validate(records, availability_rules()))
+    told = F.when(F.col("_corrupt").isNotNull(), F.array(F.lit("corrupt:page"))).otherwise(
+        F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(f"missing:page.{c}")) for c in ENVELOPE))))
+    unread = pages.filter(~_readable()).select(F.struct("run", "cursor").alias("_page"), told.alias("_reasons"),
+                                               F.coalesce("_corrupt", F.to_json(F.struct(*ENVELOPE))).alias("_raw"))
+    rejects = rejects.unionByName(unread, allowMissingColumns=True)
     flat = flatten_availability(valid, keep=("_page", "_pos"))
     hashed = add_metadata(flat, ingestion_ts, hash_exclude=["_page", "_pos"])
     latest = fold.latest_per_key(hashed, keys or S.FLIGHT_KEYS, "_page", "_pos").drop("_page", "_pos")
-    return latest, rejects
+    return latest, rejects, facts
 
 
-def run_flight_pipeline(spark: SparkSession, landed: str, table_path: str, keys=None,
-                        ingestion_ts: _dt.datetime | None = None, partition_by=None,
-                        rejects_path: str | None = None) -> dict:
-    """Every landed page of every program into the table, one job.
+def merge_pages(spark: SparkSession, pages: DataFrame, table_path: str, keys=None, ingestion_ts: _dt.datetime | None = None,
+                partition_by=None, rejects_path: str | None = None, max_pages: int | None = None,
+                replay: tuple[str, int] | None = None) -> dict:
+    """Cut, validate, fold and merge landed pages; the job's statistics.
 
     Invalid records are never dropped silently: they are counted, and with
     ``rejects_path`` appended there with their reasons and page."""
     # Parsing JSON is the expensive step: parse once, reuse for the page cut,
     # the validation split and the reject count (spills to disk if needed;
     # lost blocks are recomputed from the files).
-    records = read_landed_records(spark, landed).persist(StorageLevel.MEMORY_AND_DISK)
+    pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        batch, rejects = flight_batch(records, ingestion_ts, keys=keys)
+        batch, rejects, facts = flight_batch(pages, ingestion_ts, max_pages, keys)
         t = ArchiveTable(spark, table_path)
-        stats = t.save(batch, "merge", keys or S.FLIGHT_KEYS, partition_by or S.FLIGHT_PARTITIONS, add_meta=False)
-        stats["rejects"] = rejects.count()  # from the persisted records: no re-parse
+        stats = t.save(batch, "merge", keys or S.FLIGHT_KEYS, partition_by or S.FLIGHT_PARTITIONS, add_meta=False, replay=replay)
+        read = facts.agg(F.count_if("kept").alias("p"), F.sum(F.when(F.col("kept"), F.col("n_records"))).alias("r")).first()
+        stats["pages_fetched"], stats["api_records"] = int(read.p), int(read.r or 0)
+        stats["no_data"] = stats["api_records"] == 0
+        stats["rejects"] = rejects.count()  # from the persisted pages: no re-parse
         if rejects_path:
             rejects.write.mode("append").parquet(rejects_path)
     finally:
-        records.unpersist()
+        pages.unpersist()
     return stats
 
 
+def run_flight_pipeline(spark: SparkSession, landed: str, table_path: str, **options) -> dict:
+    """Every landed page of every run and program into the table, one job."""
+    return merge_pages(spark, read_landed_pages(spark, landed), table_path, **options)
+
+
 def run_hotel_pipeline(spark: SparkSession, sf_dir: str, root: str, ingestion_ts: _dt.datetime | None = None) -> dict:
     """K9 over the derived hotel inputs."""
     hotels_t = ArchiveTable(spark, f"{root}/hotels")

@@ -76,7 +76,7 @@ def _cabin_aggs() -> str:
     aggs = []
     for k, cabin in enumerate(S.CABINS, 1):
         for variant in S.VARIANTS:
-            keep = f"l_linenumber = {k}" + ("" if variant == "Raw" else " AND l_returnflag <> 'R'")
+            keep = f"(l_linenumber - 1) % {len(S.CABINS)} = {k - 1}" + ("" if variant == "Raw" else " AND l_returnflag <> 'R'")
             p = f"{cabin}{variant}_"
             tax = "CAST(floor(l_extendedprice * l_tax) AS INTEGER)"
             aggs += [

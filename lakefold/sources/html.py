@@ -76,7 +76,6 @@ def embedded_script(pages: DataFrame, html_col: str = "html", marker: str = r"tr
 
 def require_one(df: DataFrame, count_col: str = "n_marked") -> DataFrame:
     """Strict mode: fail the job if any page has not exactly one marked script."""
-    return df.withColumn(
-        "_check",
-        F.when(F.col(count_col) != 1, F.raise_error(F.concat(F.lit("expected 1 marked script, found "), F.col(count_col).cast("string")))),
-    ).drop("_check")
+    # In a filter the check runs whatever columns are used later.
+    found = F.raise_error(F.concat(F.lit("expected 1 marked script, found "), F.col(count_col).cast("string")))
+    return df.filter(F.when(F.col(count_col) == 1, F.lit(True)).otherwise(found.cast("boolean")))

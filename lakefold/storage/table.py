@@ -1,5 +1,5 @@
-"""Archive tables on plain Parquet: save, merge, read back, compact, expire,
-describe (K1-K8).
+"""Archive tables on plain Parquet: save, merge, read back, compact, describe
+(K1-K6, K8).
 
 No row-level table format is on the class path, so a table is an
 append-only change log plus a tiny commit log, all written by Spark:
@@ -14,8 +14,12 @@ append-only change log plus a tiny commit log, all written by Spark:
   later sequences replace earlier rows of the same key (an anti join of the
   base against the later keys + a partial-aggregate dedup of the later rows).
 * overwrite and compaction write generation g+1 and then commit it; the path
-  being read is never overwritten.  Re-running batch n rewrites only
-  ``_seq=n``: idempotent, which is what ``foreachBatch`` needs.
+  being read is never overwritten.
+* a stream's batch is told by (stream, batch) in its commit row, with a digest
+  of its input: the same batch again changes nothing, other content under the
+  same name is refused.  Numbers of different streams never meet.
+* a table is either keyed (merge) or not (append); mixing the two is refused.
+  Columns may be added; missing ones and changed types are refused.
 
 Single writer; readers only trust committed (gen, seq) pairs.
 """
@@ -49,6 +53,9 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("schema", T.StringType()),
         T.StructField("committed_at", T.TimestampType()),
         T.StructField("rows_written", T.LongType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("digest", T.LongType()),
     ]
 )
 
@@ -63,6 +70,9 @@ class Commit:
     schema: T.StructType
     committed_at: _dt.datetime
     rows_written: int
+    stream: str | None = None
+    batch: int | None = None
+    digest: int | None = None
 
 
 class ArchiveTable:
@@ -80,20 +90,23 @@ class ArchiveTable:
         reaches the driver."""
         try:
             rows = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/{COMMITS}").orderBy("gen", "seq").collect()
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # only a missing path means that there is no table
             return []
         return [
             Commit(r.gen, r.seq, r.mode, list(r["keys"] or []), list(r.partition_by or []),
-                   T.StructType.fromJson(json.loads(r.schema)), r.committed_at, r.rows_written)
+                   T.StructType.fromJson(json.loads(r.schema)), r.committed_at, r.rows_written, r.stream, r.batch, r.digest)
             for r in rows
         ]
 
     def exists(self) -> bool:
         return bool(self.commits())
 
-    def _commit(self, gen: int, seq: int, mode: str, keys, partition_by, schema: T.StructType, rows: int) -> None:
+    def _commit(self, gen: int, seq: int, mode: str, keys, partition_by, schema: T.StructType, rows: int,
+                replay: tuple[str, int] | None = None, digest: int | None = None) -> None:
         row = (gen, seq, mode, list(keys or []), list(partition_by or []), schema.json(),
-               _dt.datetime.now(_dt.timezone.utc), rows)
+               _dt.datetime.now(_dt.timezone.utc), rows, *(replay or (None, None)), digest)
         self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/{COMMITS}")
 
     def _current_commits(self) -> list[Commit]:
@@ -162,15 +175,16 @@ class ArchiveTable:
         add_meta: bool = True,
         ingestion_ts: _dt.datetime | None = None,
         hash_exclude: Sequence[str] | None = None,
-        seq: int | None = None,
+        replay: tuple[str, int] | None = None,
         cache_input: bool = True,
     ) -> dict:
         """K1: append / overwrite / merge; returns exact statistics.
 
-        ``seq`` pins the batch number (a replayed stream batch reuses it and
-        rewrites only its own directory).  ``cache_input=False`` re-reads the
-        source for the counting passes instead of persisting it (for a first
-        load much larger than the cluster's spare disk).
+        ``replay`` names a stream's batch, (stream, number): if it is in the
+        table already with the same content, nothing is written; other
+        content is refused.  ``cache_input=False`` re-reads the source for
+        the counting passes instead of persisting it (for a first load much
+        larger than the cluster's spare disk).
         """
         if mode not in ("append", "overwrite", "merge"):
             raise ValueError(f"unknown mode {mode}")
@@ -178,27 +192,29 @@ class ArchiveTable:
             raise ValueError("merge needs keys")
         started = time.time()
         ts = ingestion_ts or _dt.datetime.now(_dt.timezone.utc)
+        df = df.drop(ACTION)  # the tag of an earlier merge is no data
         if add_meta:
             df = add_metadata(df, ts, hash_exclude)
         stats = {"mode": mode, "timestamp": ts.isoformat(), "table_created": False}
         cur = self._current_commits()
         partition_by = list(partition_by or (cur[-1].partition_by if cur else []))
-        data_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name != ACTION])
+        data_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+        done = next((c for c in cur if replay and (c.stream, c.batch) == tuple(replay)), None)
+        base_keys_hash = None
         if not cur or mode == "overwrite":
-            gen = (cur[-1].gen + 1) if cur else 0
-            next_seq = 0 if seq is None else seq
+            gen, next_seq = (cur[-1].gen + 1 if cur else 0), 0
             stats["table_created"] = not cur
-            base_keys_hash = None
         else:
-            gen = cur[-1].gen
-            next_seq = (max(c.seq for c in cur) + 1) if seq is None else seq
-            if seq is not None and any(c.seq == seq for c in cur):
-                cur = [c for c in cur if c.seq < seq]  # replay: read only the earlier batches
-            base_keys_hash = None
+            gen, next_seq = cur[-1].gen, max(c.seq for c in cur) + 1
+            stored_keys = next((c.keys for c in cur if c.keys), [])
+            if (mode == "merge") != bool(stored_keys):
+                raise ValueError(f"{mode} into a table {'with keys ' + ', '.join(stored_keys) if stored_keys else 'without keys'}")
+            if mode == "merge" and stored_keys and list(keys) != stored_keys:
+                raise ValueError(f"the table's keys are {', '.join(stored_keys)}")
+            data_schema = self._widened(cur[-1].schema, data_schema)
+            df = df.select(*(ident(f.name) for f in data_schema.fields))
             if mode == "merge":
-                prior = [c for c in cur if c.seq < next_seq]
-                if prior:
-                    base_keys_hash = self._state_of(prior, list(keys) + [CONTENT_HASH])
+                base_keys_hash = self.current(list(keys) + [CONTENT_HASH])
 
         # The input is scanned once: it is persisted (memory, spilling to
         # disk; lost blocks are recomputed from lineage), counted, then merged.
@@ -208,8 +224,14 @@ class ArchiveTable:
         try:
             if mode == "merge":
                 bad = null_key(keys)
-                head = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("null_keys")).collect()[0]
+                digest = F.bit_xor(F.xxhash64(*map(ident, keys), ident(CONTENT_HASH))) if CONTENT_HASH in df.columns else F.lit(None)
+                head = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("null_keys"), digest.alias("digest")).collect()[0]
                 stats["input_rows"], stats["null_key_rows"] = int(head["n"]), int(head["null_keys"])
+                if done is not None:
+                    if done.digest != head["digest"]:
+                        raise ValueError(f"batch {done.batch} of stream {done.stream} is stored with other content")
+                    return stats | {"replayed": True, "rows_inserted": 0, "rows_updated": 0, "rows_written": 0, "files_written": 0,
+                                    "rows_unchanged": 0, "duplicate_rows": 0}
                 clean = df.filter(~bad)
                 deduped = dedup_latest(clean, keys, [c for c in ["_seq", "UpdatedAt"] if c in clean.columns])
                 tagged = merge_changes(base_keys_hash, deduped, keys)
@@ -230,7 +252,7 @@ class ArchiveTable:
                 df.unpersist()
 
         target = self._seq_path(gen, next_seq)
-        back = self.spark.read.schema(data_schema.add(ACTION, T.StringType())).parquet(target)
+        back = self.spark.read.schema(T.StructType([*data_schema.fields, T.StructField(ACTION, T.StringType())])).parquet(target)
         # Exact counts of what landed on disk, in one small job.
         w = back.agg(
             F.count(F.lit(1)).alias("rows"),
@@ -242,7 +264,8 @@ class ArchiveTable:
         stats["rows_inserted"] = int(w["ins"])
         stats["rows_updated"] = int(w["upd"])
         stats["files_written"] = int(w["files"])
-        self._commit(gen, next_seq, mode, keys, partition_by, data_schema, stats["rows_written"])
+        self._commit(gen, next_seq, mode, keys, partition_by, data_schema, stats["rows_written"], replay,
+                     int(head["digest"]) if mode == "merge" and head["digest"] is not None else None)
         stats["gen"], stats["seq"] = gen, next_seq
         stats["seconds"] = round(time.time() - started, 3)
         return stats
@@ -258,10 +281,17 @@ class ArchiveTable:
             w = w.partitionBy(*partition_by)
         w.parquet(self._seq_path(gen, seq))
 
-    def _state_of(self, commits: Sequence[Commit], columns: Sequence[str]) -> DataFrame:
-        tmp = ArchiveTable(self.spark, self.path)
-        tmp._current_commits = lambda: list(commits)  # type: ignore[method-assign]
-        return tmp.current(columns)
+    @staticmethod
+    def _widened(stored: T.StructType, new: T.StructType) -> T.StructType:
+        """The stored columns and then the added ones; a missing column or a
+        changed type is refused."""
+        types = {f.name: f.dataType for f in new.fields}
+        missing = [f.name for f in stored.fields if f.name not in types]
+        changed = [f.name for f in stored.fields if f.name in types and types[f.name] != f.dataType]
+        if missing or changed:
+            raise ValueError(f"columns missing from the batch: {missing}; with another type: {changed}")
+        have = set(stored.fieldNames())
+        return T.StructType([*stored.fields, *(f for f in new.fields if f.name not in have)])
 
     # ---------------------------------------------------------- maintenance
     def compact(self, target_file_bytes: int = 128 * 1024 * 1024) -> dict:
@@ -270,68 +300,35 @@ class ArchiveTable:
         cur = self._current_commits()
         if not cur:
             raise FileNotFoundError(self.path)
-        before = self.files().agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).collect()[0]
+        before = self.files().agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b"), F.sum("rows").alias("r")).collect()[0]
         state = self.current()
         parts = cur[-1].partition_by
         keys = next((c.keys for c in reversed(cur) if c.keys), [])
-        n_files = max(1, int((before["b"] or 0) // target_file_bytes) + 1)
         gen = cur[-1].gen + 1
         target = self._seq_path(gen, 0)
-        out = state.withColumn(ACTION, F.lit(INSERT))
-        out = out.repartition(n_files, *map(ident, parts)) if parts else out.repartition(n_files)
-        w = out.write.mode("overwrite")
+        # Rebalancing packs small partition values and splits large ones into
+        # files of the session's advisory size; no value goes to one task whole.
+        out = state.withColumn(ACTION, F.lit(INSERT)).hint("rebalance", *parts)
+        w = out.write.mode("overwrite").option("maxRecordsPerFile", self._rows_a_file(before, target_file_bytes))
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(target)
-        rows = self.spark.read.parquet(target).count()
+        written = T.StructType([*cur[-1].schema.fields, T.StructField(ACTION, T.StringType())])
+        rows = self.spark.read.schema(written).parquet(target).count()
         self._commit(gen, 0, "compact", keys, parts, cur[-1].schema, rows)
         after = self.files().count()
         return {"path": self.path, "files_removed": int(before["n"]), "files_added": int(after), "gen": gen}
 
-    def generations(self) -> DataFrame:
-        """Generations with their last commit time and whether current."""
-        cs = self.commits()
-        if not cs:
-            return self.spark.createDataFrame([], "gen long, last_commit timestamp, is_current boolean")
-        cur = cs[-1].gen
-        last: dict[int, _dt.datetime] = {}
-        for c in cs:
-            last[c.gen] = c.committed_at
-        return self.spark.createDataFrame([(g, t, g == cur) for g, t in sorted(last.items())],
-                                          "gen long, last_commit timestamp, is_current boolean")
-
-    def expire(self, retention_hours: float = 168, dry_run: bool = False, now: _dt.datetime | None = None) -> dict:
-        """K7: delete non-current generations whose last commit is older than
-        ``retention_hours``.  ``dry_run`` only lists them."""
-        now = now or _dt.datetime.now(_dt.timezone.utc)
-        cs = self.commits()
-        if not cs:
-            return {"candidates": [], "deleted": []}
-        cur = cs[-1].gen
-        last: dict[int, _dt.datetime] = {}
-        for c in cs:
-            last[c.gen] = c.committed_at
-        cutoff = now - _dt.timedelta(hours=retention_hours)
-        cand = []
-        for g, t in sorted(last.items()):
-            t_aware = t if t.tzinfo else t.replace(tzinfo=_dt.timezone.utc)
-            if g != cur and t_aware <= cutoff:
-                cand.append(g)
-        deleted = []
-        if not dry_run:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            for g in cand:
-                p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/gen={g}")
-                fs = p.getFileSystem(conf)
-                if fs.exists(p):
-                    fs.delete(p, True)
-                deleted.append(g)
-        return {"candidates": cand, "deleted": deleted, "files_deleted": len(deleted)}
+    @staticmethod
+    def _rows_a_file(before, target_file_bytes: int) -> int:
+        """Rows that fill a file of the target size, at the measured bytes a row."""
+        return max(1, int(target_file_bytes * (before["r"] or 1) / max(1, before["b"] or 1)))
 
     def files(self) -> DataFrame:
         """Data files of the current generation with sizes and row counts."""
         cur = self._current_commits()
+        if not any(c.rows_written for c in cur):
+            return self.spark.createDataFrame([], "file string, bytes long, rows long")
         log = self._read(cur, cur[-1].schema)
         return log.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(
             F.count(F.lit(1)).alias("rows")
@@ -345,6 +342,8 @@ class ArchiveTable:
             raise FileNotFoundError(self.path)
         parts = cur[-1].partition_by
         log = self._read(cur, cur[-1].schema)
+        if not any(c.rows_written for c in cur):
+            return log.groupBy(*map(ident, parts)).agg(*(F.count(F.lit(1)).alias(n) for n in ("files", "rows", "bytes")))
         per_file = log.groupBy(*map(ident, parts), F.col("_metadata.file_path").alias("_f"),
                                F.col("_metadata.file_size").alias("_b")).agg(F.count(F.lit(1)).alias("_r"))
         return per_file.groupBy(*map(ident, parts)).agg(
@@ -352,15 +351,14 @@ class ArchiveTable:
         )
 
     def info(self) -> dict:
-        """K8: version, file count, schema and layout of the current state."""
-        cs = self.commits()
+        """K8: files, bytes, rows, columns and layout of the current state."""
+        cs = self._current_commits()
         if not cs:
             raise FileNotFoundError(self.path)
         f = self.files().agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).collect()[0]
         last = cs[-1]
         return {
             "version": len(cs) - 1,
-            "generation": last.gen,
             "files": int(f["files"]),
             "bytes": int(f["bytes"] or 0),
             "log_rows": int(f["rows"] or 0),

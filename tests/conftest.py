@@ -22,31 +22,25 @@ def scratch(tmp_path):
     return str(tmp_path)
 
 
-@pytest.fixture
-def wide_rows():
-    """Three availability rows (FIXTURES 1), built from the declared schema."""
+def sample_record(n: int, **changed) -> dict:
+    """A complete availability record whose values follow from ``n``."""
     from lakefold import schemas as S
 
-    rows = []
-    for i, (o, d, src, cost, avail) in enumerate(
-        [("SFO", "NRT", "aeroplan", "50000", True), ("LAX", "HND", "united", "0", False), ("JFK", "LHR", "lifemiles", "45000", True)]
-    ):
-        r = {f.name: None for f in S.AVAILABILITY_RECORD.fields}
-        r.update(
-            ID=f"avail-{i:03d}", RouteID=f"route-{i}", Date=f"2025-03-{15 + i}", ParsedDate=f"2025-03-{15 + i}T00:00:00Z",
-            Route={"ID": f"route-{i}", "OriginAirport": o, "OriginRegion": "North America", "DestinationAirport": d,
-                   "DestinationRegion": "Asia" if i < 2 else "Europe", "NumDaysOut": 60, "Distance": 5000 + 500 * i,
-                   "Source": src},
-            Source=src, CreatedAt="2025-01-01T00:00:00.123456Z", UpdatedAt="2025-01-02T00:00:00.654321Z",
-        )
-        for c in "YWJF":
-            r[f"{c}Available"] = avail
-            r[f"{c}AvailableRaw"] = avail
-            r[f"{c}MileageCost"] = cost
-            r[f"{c}MileageCostRaw"] = int(cost)
-            r[f"{c}Airlines"] = ["AC", "", "BA"][i]
-            r[f"{c}Direct"] = avail
-            r[f"{c}DirectRaw"] = avail
-        r["TaxesCurrency"] = ["USD", "EUR", "GBP"][i]
-        rows.append(r)
-    return rows
+    when = f"2031-07-{1 + n:02d}"
+    r = {f.name: None for f in S.AVAILABILITY_RECORD.fields}
+    r |= {"ID": f"rec{n}", "RouteID": f"leg{n % 2}", "Date": when, "ParsedDate": f"{when}T06:00:00Z", "TaxesCurrency": "NOK",
+          "Source": S.PROGRAMS[n % 2], "CreatedAt": f"{when}T07:00:00.5Z", "UpdatedAt": f"{when}T08:00:00.25Z"}
+    r["Route"] = {"ID": f"leg{n % 2}", "OriginAirport": "OSL", "OriginRegion": "Nordics", "DestinationAirport": f"X{n:02d}",
+                  "DestinationRegion": "Oceania", "NumDaysOut": 10 + n, "Distance": 700 * (n + 1), "Source": r["Source"]}
+    for k, c in enumerate(S.CABINS):
+        miles = 1000 * (n + 1) + k
+        r |= {f"{c}Available": (n + k) % 2 == 0, f"{c}AvailableRaw": True, f"{c}MileageCost": str(miles), f"{c}MileageCostRaw": miles,
+              f"{c}Airlines": ", ".join(["SK", "DY", "WF"][: n % 4]), f"{c}Direct": k == 0, f"{c}DirectRaw": k < 2,
+              f"{c}RemainingSeats": n + k}
+    return r | changed
+
+
+@pytest.fixture
+def wide_rows():
+    """Three complete records; the last one's program is unknown."""
+    return [sample_record(0), sample_record(1), sample_record(2, Source="nosuch")]

@@ -8,10 +8,11 @@ from pyspark.errors import PySparkException
 
 from lakefold import schemas as S
 from lakefold.operators.validate import Rule, availability_rules, split_valid, strict, validate
+from lakefold.plans.jobs import run_flight_pipeline
 from lakefold.plans.sqlrun import run_sql, run_sql_report
 from lakefold.storage.table import ArchiveTable
 from lakefold.streaming.ingest import ingest_stream
-from tests.conftest import SF
+from tests.conftest import SF, sample_record
 
 
 def test_run_sql_blank_and_errors(spark):
@@ -24,15 +25,20 @@ def test_run_sql_blank_and_errors(spark):
 
 
 def test_validation_rules_and_strict(spark, wide_rows):
-    df = spark.createDataFrame(wide_rows, S.AVAILABILITY_RECORD)
-    checked = validate(df, availability_rules())
+    rows = [*wide_rows, sample_record(3, YMileageCost=""), sample_record(4, Route=None), sample_record(5, YAvailable=None),
+            sample_record(6, ParsedDate="soon"), sample_record(7, ID=None, WRemainingSeats=None)]
+    checked = validate(spark.createDataFrame(rows, S.AVAILABILITY_RECORD), availability_rules())
     ok, rejects = split_valid(checked)
-    assert ok.count() == 2 and [r._reasons for r in rejects.collect()] == [["value:Source"]]
-    assert all(r.YDirectRaw is not None for r in ok.collect())  # booleans default False
+    assert sorted(r.ID for r in ok.collect()) == ["rec0", "rec1", "rec3"]
+    got = {r.Date: list(r._reasons) for r in rejects.collect()}
+    assert got["2031-07-03"] == ["value:Source"] and got["2031-07-06"] == ["missing:YAvailable"] and got["2031-07-07"] == ["type:ParsedDate"]
+    assert got["2031-07-05"] == [f"missing:Route.{f.name}" for f in S.ROUTE.fields]
+    assert got["2031-07-08"] == ["missing:ID", "missing:WRemainingSeats"]
     typed = validate(spark.createDataFrame([("x",), (None,)], "n string"), [Rule("n", required=True, dtype=S.T.IntegerType())])
     assert sorted(tuple(r._reasons) for r in typed.collect()) == [("missing:n",), ("type:n",)]
     with pytest.raises(PySparkException):
-        strict(checked).collect()
+        strict(checked).select("Date").collect()  # whatever columns are kept
+    assert strict(validate(ok, availability_rules())).select("ID").count() == 3
 
 
 def _land(path, pages):
@@ -42,44 +48,75 @@ def _land(path, pages):
     for i, p in enumerate(pages):
         name = f"{path}/page-{i:03d}.json"
         with open(name, "w") as f:
-            f.write(json.dumps(p) + "\n")
+            f.write((p if isinstance(p, str) else json.dumps(p)) + "\n")
         os.utime(name, (1_700_000_000 + 60 * i, 1_700_000_000 + 60 * i))  # arrival order
 
 
-def _rec(i, cost, updated="2025-01-02T00:00:00Z"):
-    return {"ID": f"a{i}", "RouteID": f"r{i}", "Date": "2025-03-15", "Source": "aeroplan", "UpdatedAt": updated,
-            "YMileageCost": cost, "Route": {"OriginAirport": "SFO"}}
+def _rec(i, cost, **changed):
+    return sample_record(i, YMileageCost=cost, **changed)
+
+
+def _page(cursor, records, more):
+    return {"data": records, "count": len(records), "hasMore": more, "cursor": cursor}
+
+
+KEYED = {"keys": ["ID"], "partition_by": ["Source"], "ingestion_ts": dt.datetime(2031, 1, 1, tzinfo=dt.timezone.utc)}
+
+
+def _state(spark, table):
+    return {r.ID: r.YMileageCost for r in ArchiveTable(spark, table).current().collect()}
 
 
 def test_stream_replay_is_idempotent(spark, scratch):
-    landed = scratch + "/landed"
-    _land(landed, [
-        {"data": [_rec(1, "100"), _rec(2, "200")], "count": 2, "hasMore": True, "cursor": 0},
-        {"data": [_rec(2, "250"), _rec(3, "300")], "count": 2, "hasMore": False, "cursor": 1},
-    ])
+    landed, table = scratch + "/landed", scratch + "/t"
+    _land(landed, [_page(0, [_rec(1, "100"), _rec(2, "200")], True), _page(1, [_rec(2, "250"), _rec(3, "300")], False)])
+    st = ingest_stream(spark, landed, table, scratch + "/ckpt", files_per_batch=1, **KEYED)
+    assert st["batches"] == 2 and st["rows_inserted"] == 3 and st["rejects"] == 0
+    got = _state(spark, table)
+    assert got == {"rec1": "100", "rec2": "250", "rec3": "300"}
+    assert ingest_stream(spark, landed, table, scratch + "/ckpt", files_per_batch=1, **KEYED)["batches"] == 0
+    # Checkpoint lost: the stream reads everything again and changes nothing.
+    again = ingest_stream(spark, landed, table, scratch + "/ckpt2", files_per_batch=1, **KEYED)
+    assert again["batches"] == 2 and again["rows_written"] == 0 and _state(spark, table) == got
+
+
+def test_streams_and_batches_keep_each_others_rows(spark, scratch):
     table = scratch + "/t"
-    ts = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
-    st = ingest_stream(spark, landed, table, scratch + "/ckpt", keys=["ID"], ingestion_ts=ts, partition_by=["Source"])
-    assert st["batches"] == 2 and st["rows_inserted"] == 3 and st["rows_updated"] == 1
-    got = {r.ID: r.YMileageCost for r in ArchiveTable(spark, table).current().collect()}
-    assert got == {"a1": "100", "a2": "250", "a3": "300"}
-    again = ingest_stream(spark, landed, table, scratch + "/ckpt", keys=["ID"], ingestion_ts=ts, partition_by=["Source"])
-    assert again["batches"] == 0
-    # Checkpoint lost: the stream replays every batch from id 0 with the same
-    # content; each rewrites only its own sequence folder and the state is unchanged.
-    replay = ingest_stream(spark, landed, table, scratch + "/ckpt2", keys=["ID"], ingestion_ts=ts, partition_by=["Source"])
-    assert replay["batches"] == 2
-    assert {r.ID: r.YMileageCost for r in ArchiveTable(spark, table).current().collect()} == got
-
-
-def test_flight_pipeline_keeps_rejects(spark, scratch):
-    from lakefold.plans.jobs import run_flight_pipeline
-
+    for k in range(3):
+        _land(f"{scratch}/landed{k}", [_page(0, [_rec(2 * k, "1"), _rec(2 * k + 1, "2")], False)])
+    run_flight_pipeline(spark, f"{scratch}/landed0", table, **KEYED)
+    for k in (1, 2):
+        ingest_stream(spark, f"{scratch}/landed{k}", table, f"{scratch}/ckpt{k}", **KEYED)
+    assert sorted(_state(spark, table)) == [f"rec{i}" for i in range(6)]
+
+
+CHAINS = {
+    "run=0/program=a": [_page(0, [_rec(0, "1")], False), _page(1, [_rec(1, "1")], False)],
+    "run=0/program=b": [_page(0, [_rec(2, "1")], True), _page(1_000_000, [_rec(3, "1")], True), _page(2_000_000, [_rec(4, "1")], False)],
+    "run=0/program=c": [_page(0, [_rec(5, "1")], True), _page(1, [], True), _page(2, [_rec(6, "1")], False)],
+    "run=1/program=b": [_page(0, [_rec(2, "9")], True), "{\"data\": [oops", _page(5, [_rec(7, "1")], True)],
+}
+
+
+@pytest.mark.parametrize("max_pages, want", [(None, "02345 7"), (1, "025"), (0, "")])
+def test_page_chains_of_runs_and_programs(spark, scratch, max_pages, want):
+    for name, pages in CHAINS.items():
+        _land(f"{scratch}/landed/{name}", pages)
+    want = {f"rec{c}": "9" if c == "2" else "1" for c in want if c != " "}
+    batch = run_flight_pipeline(spark, scratch + "/landed", scratch + "/t", max_pages=max_pages, **KEYED)
+    assert _state(spark, scratch + "/t") == want
+    assert batch["rejects"] == 1 and batch["no_data"] == (not want)
+    assert batch["pages_fetched"] == {None: 7, 1: 4, 0: 0}[max_pages]
+    stream = ingest_stream(spark, scratch + "/landed", scratch + "/s", scratch + "/ckpt", files_per_batch=1, max_pages=max_pages, **KEYED)
+    assert _state(spark, scratch + "/s") == want and stream["rejects"] == 1
+
+
+def test_flight_pipeline_keeps_rejects_and_default_layout(spark, scratch):
     landed = scratch + "/landed"
-    bad = dict(_rec(9, "1"), Source="lifemiles")
-    _land(landed, [{"data": [_rec(1, "100"), bad], "count": 2, "hasMore": False, "cursor": 0}])
-    st = run_flight_pipeline(spark, landed, scratch + "/t", keys=["ID"], partition_by=["Source"],
-                             rejects_path=scratch + "/rejects")
-    assert st["rows_inserted"] == 1 and st["rejects"] == 1
+    _land(landed, [_page(0, [_rec(1, "100"), _rec(9, "1", Source="nosuch")], False)])
+    st = run_flight_pipeline(spark, landed, scratch + "/t", rejects_path=scratch + "/rejects")
+    assert st["rows_inserted"] == 1 and st["rejects"] == 1 and st["api_records"] == 2
     r = spark.read.parquet(scratch + "/rejects").collect()[0]
-    assert r.ID == "a9" and list(r._reasons) == ["value:Source"]
+    assert r.ID == "rec9" and list(r._reasons) == ["value:Source"]
+    t = ArchiveTable(spark, scratch + "/t")
+    assert t.info()["metadata"]["partition_by"] == S.FLIGHT_PARTITIONS and t.info()["metadata"]["keys"] == S.FLIGHT_KEYS

@@ -61,6 +61,19 @@ def test_carriers_split_and_trim(spark):
     assert got == ["AC, LH, UA", "BA"]
 
 
+def test_search_asks_everything_of_one_cabin(spark):
+    cols = [f"{c}{m}" for c in "YWJF" for m in ("Available", "Direct", "Airlines")]
+    row = lambda i, **on: {"ID": i, **{c: "" if c.endswith("Airlines") else False for c in cols}, **on}
+    rows = [row("y", YAvailable=True, YAirlines="AC"), row("mixed", YAvailable=True, JDirect=True, JAirlines="LH"),
+            row("j", JAvailable=True, JDirect=True, JAirlines="OS, LH")]
+    df = spark.createDataFrame(rows, "ID string, " + ", ".join(f"{c} {'string' if c.endswith('Airlines') else 'boolean'}" for c in cols))
+    found = lambda **q: sorted(r.ID for r in select.search(df, **q).collect())
+    assert found(carriers=["LH"]) == ["j", "mixed"] and found(carriers=["AC"]) == ["y"]
+    assert found(cabins=["economy", "business"], only_direct=True) == ["j"]
+    assert found(cabins=["Y"], carriers=["LH"]) == [] and found(only_direct=True, carriers=["os"]) == ["j"]
+    assert found(carriers=["LH"], order_by=["ID"], skip=1, take=1) == ["mixed"]
+
+
 def test_program_names_case_and_unknown(spark):
     df = spark.createDataFrame([("AEROPLAN",), ("United",), ("lifemiles",), (" flying_blue ",)], "src string")
     out = {r.src: (r.program, r.program_error is None) for r in check_programs(df, "src").collect()}

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakefold import schemas as S
@@ -32,12 +34,11 @@ def test_route_array(spark):
 
 
 def test_trip_envelope_unwrap(spark):
-    rows = [json.dumps({"ID": "trip-123", "extra_field": "some_value", "another_field": 123}),
-            json.dumps({"data": [{"ID": "trip-456"}]}),
-            json.dumps({"data": [], "ID": "trip-789"})]
+    rows = [json.dumps({"ID": "t1", "gate": "B7", "legs": 4}), json.dumps({"data": [{"ID": "t2", "legs": "x"}, {"ID": "t3"}]}),
+            json.dumps({"data": [], "ID": "t4", "legs": 0}), "no json"]
     df = texts(spark, rows).select(J.unwrap_trip(F.col("text")).alias("t"))
-    out = df.select(J.trip_field(F.col("t"), "ID").alias("id"), J.trip_field(F.col("t"), "another_field", "int").alias("n")).collect()
-    assert [(r.id, r.n) for r in out] == [("trip-123", 123), ("trip-456", None), ("trip-789", None)]
+    out = df.select(J.trip_field(F.col("t"), "ID").alias("id"), J.trip_field(F.col("t"), "legs", "int").alias("n")).collect()
+    assert [(r.id, r.n) for r in out] == [("t1", 4), ("t2", None), ("t4", 0), (None, None)]
 
 
 def test_calendar_two_dates_empty_map_and_empty_list(spark):
@@ -88,8 +89,13 @@ def test_embedded_script_counts(spark):
     none = "<script>var a=1;</script>"
     two = "<script>track(1)</script><script>track(2)</script>"
     pages = spark.createDataFrame([(1, one), (2, none), (3, two)], "page_id long, html string")
-    out = {r.page_id: (r.n_marked, r.payload) for r in H.embedded_script(pages).collect()}
+    marked = H.embedded_script(pages)
+    out = {r.page_id: (r.n_marked, r.payload) for r in marked.collect()}
     assert out == {1: (1, "42"), 2: (0, None), 3: (2, None)}
+    assert H.require_one(marked.filter("page_id = 1")).select("page_id").count() == 1
+    for k in (2, 3):  # the check holds whatever columns are kept
+        with pytest.raises(PySparkException):
+            H.require_one(marked.filter(F.col("page_id") == k)).select("page_id").collect()
 
 
 def test_request_params_drop_unset_and_iso_dates():

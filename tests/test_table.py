@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 
 from lakefold.storage.table import ArchiveTable
 
@@ -84,30 +85,90 @@ def test_changed_row_moves_partition(spark, scratch):
     assert got == {"a": "q", "b": "y"}
 
 
-def test_replay_of_a_batch_is_idempotent(spark, scratch):
+def test_replay_is_told_by_stream_and_batch(spark, scratch):
     t = ArchiveTable(spark, scratch + "/t")
-    t.save(frame(spark, [("a", 1, "x")]), "merge", ["ID"], seq=0)
-    t.save(frame(spark, [("a", 2, "x"), ("b", 1, "y")]), "merge", ["ID"], seq=1)
-    st = t.save(frame(spark, [("a", 2, "x"), ("b", 1, "y")]), "merge", ["ID"], seq=1)
-    assert st["rows_updated"] == 1 and st["rows_inserted"] == 1
-    assert {r.ID: r.value for r in t.current().collect()} == {"a": 2, "b": 1}
+    t.save(frame(spark, [("a", 1, "x")]), "merge", ["ID"])
+    first, other = frame(spark, [("b", 1, "y")]), frame(spark, [("c", 1, "z")])
+    assert t.save(first, "merge", ["ID"], replay=("s1", 0))["rows_inserted"] == 1
+    assert t.save(other, "merge", ["ID"], replay=("s2", 0))["rows_inserted"] == 1  # the same number of another stream
+    again = t.save(first, "merge", ["ID"], replay=("s1", 0))
+    assert again["replayed"] and again["rows_written"] == 0
+    with pytest.raises(ValueError):
+        t.save(other, "merge", ["ID"], replay=("s1", 0))
+    assert sorted(r.ID for r in t.current().collect()) == ["a", "b", "c"]
 
 
-def test_info_compact_expire(spark, scratch):
+def test_info_and_compaction(spark, scratch):
     t = ArchiveTable(spark, scratch + "/t")
     for v in range(3):
         t.save(frame(spark, [("a", v, "x"), ("b", 1, "y")]), "merge", ["ID"])
     info = t.info()
-    assert info["version"] >= 0 and info["files"] >= 1
+    assert info["version"] == 2 and info["files"] >= 1
     before = sorted((r.ID, r.value) for r in t.current().collect())
     st = t.compact()
     assert st["files_added"] >= 1
     assert sorted((r.ID, r.value) for r in t.current().collect()) == before
-    dry = t.expire(retention_hours=0, dry_run=True, now=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
-    assert dry["candidates"] == [0] and dry["deleted"] == []
-    done = t.expire(retention_hours=0, now=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
-    assert done["deleted"] == [0]
-    assert sorted((r.ID, r.value) for r in t.current().collect()) == before
+
+
+def test_compaction_keeps_to_the_file_size_and_takes_empty_tables(spark, scratch):
+    t = ArchiveTable(spark, scratch + "/t")
+    t.save(spark.range(20_000).selectExpr("CAST(id AS STRING) AS ID", "CAST(id AS INT) AS value", "'p' AS name"), "merge", ["ID"], ["name"])
+    size = t.info()["bytes"]
+    assert t.compact(target_file_bytes=size // 4)["files_added"] >= 4  # one partition value, several files
+    e = ArchiveTable(spark, scratch + "/e")
+    e.save(frame(spark, []), "merge", ["ID"], ["name"])
+    e.compact()
+    assert e.current().count() == 0
+
+
+def test_state_saved_into_itself_changes_nothing(spark, scratch):
+    t = ArchiveTable(spark, scratch + "/t")
+    t.save(frame(spark, [("a", 1, "x"), ("b", 2, "y")]), "merge", ["ID"])
+    t.save(frame(spark, [("b", 3, "y")]), "merge", ["ID"])
+    assert "_action" not in t.current().columns and "_action" not in t.schema().fieldNames()
+    st = t.save(t.current(), "merge", ["ID"])
+    assert (st["rows_unchanged"], st["rows_written"]) == (2, 0)
+
+
+def test_appends_keep_every_row_and_do_not_mix_with_merges(spark, scratch):
+    t = ArchiveTable(spark, scratch + "/t")
+    rows = frame(spark, [("a", 1, "x"), ("a", 1, "x"), (None, 2, "y")])
+    t.save(rows, "append")
+    t.save(rows, "append")
+    assert t.current().count() == 6
+    with pytest.raises(ValueError):
+        t.save(rows, "merge", ["ID"])
+    k = ArchiveTable(spark, scratch + "/k")
+    k.save(frame(spark, [("a", 1, "x")]), "merge", ["ID"])
+    with pytest.raises(ValueError):
+        k.save(rows, "append")
+    assert k.current().count() == 1
+
+
+def test_columns_may_be_added_but_not_lost_or_retyped(spark, scratch):
+    t = ArchiveTable(spark, scratch + "/t")
+    t.save(frame(spark, [("a", 1, "x"), ("b", 2, "y")]), "merge", ["ID"])
+    for bad in (spark.createDataFrame([("a", 1)], "ID string, value int"), spark.createDataFrame([("a", "1", "x")], "ID string, value string, name string")):
+        with pytest.raises(ValueError):
+            t.save(bad, "merge", ["ID"])
+    t.save(spark.createDataFrame([("b", 2, "y", 7)], "ID string, value int, name string, more int"), "merge", ["ID"])
+    assert {r.ID: (r.name, r.more) for r in t.current().collect()} == {"a": ("x", None), "b": ("y", 7)}
+
+
+def test_an_unreadable_log_is_an_error_not_an_absent_table(spark, scratch):
+    import os
+
+    t = ArchiveTable(spark, scratch + "/t")
+    assert not t.exists()
+    t.save(frame(spark, [("a", 1, "x")]), "append")
+    assert t.exists()
+    log = f"{scratch}/t/_commits"
+    os.makedirs(f"{log}/k=1"), os.makedirs(f"{log}/j=1")
+    for d in ("k=1", "j=1"):
+        with open(f"{log}/{d}/x.json", "w") as f:
+            f.write("{}")
+    with pytest.raises(Exception):
+        t.save(frame(spark, [("b", 1, "x")]), "append")
 
 
 def test_merge_reads_only_keys_and_hash(spark, scratch):

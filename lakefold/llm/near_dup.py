@@ -4,7 +4,7 @@ Documents with the same shingle set are one class and go through the join
 once.  Every class has minwise values of its set.  Independent trees place
 each class in the node of one chosen minwise value; nodes above a size are
 split by further chosen values, level by level; nodes that are small enough
-are compared exhaustively, on 64 one-byte minwise values a class, and what
+are compared exhaustively, on 128 one-byte minwise values a class, and what
 may reach the threshold is confirmed on the full sets.
 
 Links are only needed to form components, so the confirmation comes in two
@@ -16,8 +16,8 @@ different components.  A pair inside one component cannot change anything.
 Recall: two sets of similarity j share a root node of one of ``trees`` trees
 with probability 1 - (1 - j) ** trees (1 - 6e-8 at j = 0.75 and 12 trees);
 each further level keeps a pair with 1 - (1 - j) ** 2 at least.  A pair is
-proposed if its values agree in ``floor_agree`` of 64 places, 4.5 standard
-deviations below what j = 0.75 gives.
+proposed if its values agree in ``floor_agree`` of 128 places, four standard
+deviations below what j = 0.75 gives, and the sets' sizes allow it.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from lakefold.llm.common import stored
 from lakefold.llm.textnum import mix, slices, word_hashes
 
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
-_PLACES = 64
+_PLACES = 128
 
 
 @dataclass(frozen=True)
@@ -43,9 +43,9 @@ class Settings:
     width: int = 5            # words of a shingle
     percent: int = 75         # link if 100 * intersection >= percent * union
     trees: int = 12
-    small: int = 1024         # nodes up to this size are compared exhaustively
+    small: int = 4096         # nodes up to this size are compared exhaustively
     levels: int = 4           # splits of larger nodes; what is larger still is compared block by block
-    floor_agree: int = 33     # of 64 minwise values, to be confirmed on the full sets
+    floor_agree: int = 77     # of 128 minwise values, to be confirmed on the full sets
     seed: int = 7
 
 
@@ -88,7 +88,7 @@ def _minwise(s: Settings) -> tuple[np.ndarray, np.ndarray]:
 
 def features(docs: DataFrame, s: Settings) -> DataFrame:
     """(doc_id, n, fp, fp2, roots, sketch) of each row: set size, the set's
-    two digests, its root values in the trees, and 64 one-byte values."""
+    two digests, its root values in the trees, and 128 one-byte values."""
     schema = "doc_id long, n long, fp long, fp2 long, roots array<long>, sketch binary"
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,13 +118,13 @@ def features(docs: DataFrame, s: Settings) -> DataFrame:
 # ------------------------------------------------------------------- trees
 
 def _members(classes: DataFrame, s: Settings) -> DataFrame:
-    """(node, fp, sketch, block): classes in nodes of two and more.
+    """(node, fp, sketch, n, block): classes in nodes of two and more.
 
     Roots first; nodes above ``small`` are split by two chosen places of the
     sketch each level.  Nodes that stay larger are dealt into blocks."""
     roots = classes.select("fp", F.posexplode("roots").alias("tree", "value"))
     level = roots.select(F.xxhash64("tree", "value").alias("node"), "fp")
-    sketches = classes.select("fp", "sketch")
+    sketches = classes.select("fp", "sketch", "n")
     kept, large = [], None
     for depth in range(s.levels + 1):
         sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -140,9 +140,9 @@ def _members(classes: DataFrame, s: Settings) -> DataFrame:
         first = F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(_PLACES)).cast("int")
         step = F.pmod(F.xxhash64("node", F.lit(depth + 100)), F.lit(_PLACES - 1)).cast("int") + 1
         places = F.array(first, F.pmod(first + step, F.lit(_PLACES)))
-        child = large.select("node", "fp", "sketch", F.explode(places).alias("place"))
+        child = large.select("node", "fp", "sketch", "n", F.explode(places).alias("place"))
         value = F.substring(F.col("sketch"), F.col("place") + 1, F.lit(1))
-        level = child.select(F.xxhash64("node", "place", value).alias("node"), "fp", "sketch")
+        level = child.select(F.xxhash64("node", "place", value).alias("node"), "fp", "sketch", "n")
     out = kept[0]
     for more in kept[1:]:
         out = out.unionByName(more)
@@ -192,11 +192,12 @@ def _forest(sim: np.ndarray, least: int) -> list[tuple[int, int]]:
     return out
 
 
-def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Equal places of every row of x with every row of y."""
-    out = np.zeros((len(x), len(y)), np.int16)
+def _agree(x: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
+    """Equal places of every row with every other; 0 where sizes rule a link out."""
+    out = np.zeros((len(x), len(x)), np.int16)
     for p in range(_PLACES):
-        out += x[:, p, None] == y[None, :, p]
+        out += x[:, p, None] == x[None, :, p]
+    out[100 * np.minimum(n[:, None], n[None, :]) < s.percent * np.maximum(n[:, None], n[None, :])] = 0
     return out
 
 
@@ -208,24 +209,24 @@ def _proposed_forest(members: DataFrame, s: Settings) -> DataFrame:
 
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _groups(batches, ["node", "block"]):
-            fp = frame["fp"].to_numpy()
-            node = frame["node"].to_numpy()
+            fp, node, n = (frame[c].to_numpy() for c in ("fp", "node", "n"))
             sk = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, _PLACES)
             at = _bounds(frame, ["node", "block"])
             size = np.diff(at)
             two = at[:-1][size == 2]  # most nodes: all of them at once
-            ok = two[(sk[two] == sk[two + 1]).sum(1) >= s.floor_agree]
+            fits = 100 * np.minimum(n[two], n[two + 1]) >= s.percent * np.maximum(n[two], n[two + 1])
+            ok = two[((sk[two] == sk[two + 1]).sum(1) >= s.floor_agree) & fits]
             rows = [np.stack([node[ok], fp[ok], fp[ok + 1]], 1)]
             for i in np.flatnonzero(size > 2):
                 a, b = at[i], at[i + 1]
-                pairs = _forest(_agree(sk[a:b], sk[a:b]), s.floor_agree)
+                pairs = _forest(_agree(sk[a:b], n[a:b], s), s.floor_agree)
                 if pairs:
                     p = np.array(pairs) + a
                     rows.append(np.stack([node[p[:, 0]], fp[p[:, 0]], fp[p[:, 1]]], 1))
             got = np.concatenate(rows)
             yield pd.DataFrame({"cell": got[:, 0], "a": got[:, 1:].min(1), "b": got[:, 1:].max(1)})
 
-    flat = members.select("node", "block", "fp", "sketch").repartition("node", "block").sortWithinPartitions("node", "block", "fp")
+    flat = members.select("node", "block", "fp", "sketch", "n").repartition("node", "block").sortWithinPartitions("node", "block", "fp")
     pairs = flat.mapInPandas(propose, _PAIRS)
     big = members.filter("blocks > 1")
     pivots = big.groupBy("node").agg(F.min("fp").alias("pivot"))
@@ -241,19 +242,19 @@ def _proposed_rest(members: DataFrame, labels: DataFrame, s: Settings) -> DataFr
     rows = rows.join(mixed, "node")
     # A block meets itself and the later blocks of its node.
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    cells = rows.select("node", "fp", "label", "sketch", "block", F.explode(others).alias("other"))
+    cells = rows.select("node", "fp", "label", "sketch", "n", "block", F.explode(others).alias("other"))
     cells = cells.select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                         "fp", "label", "sketch", "block")
+                         "fp", "label", "sketch", "n", "block")
 
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _groups(batches, ["node", "i", "j"]):
             fp, label, node = (frame[c].to_numpy() for c in ("fp", "label", "node"))
-            i, j, block = (frame[c].to_numpy() for c in ("i", "j", "block"))
+            i, j, block, n = (frame[c].to_numpy() for c in ("i", "j", "block", "n"))
             sk = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, _PLACES)
             at = _bounds(frame, ["node", "i", "j"])
             rows = [np.zeros((0, 3), np.int64)]
             for a, b in zip(at[:-1], at[1:]):
-                near = (_agree(sk[a:b], sk[a:b]) >= s.floor_agree) & (label[a:b, None] != label[None, a:b])
+                near = (_agree(sk[a:b], n[a:b], s) >= s.floor_agree) & (label[a:b, None] != label[None, a:b])
                 if i[a] != j[a]:
                     near &= block[a:b, None] != block[None, a:b]
                 x, y = np.nonzero(np.triu(near, 1))
@@ -354,7 +355,7 @@ def duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     # One row a shingle set; a set is told by its digests and size.
     first = some.groupBy("fp", "fp2", "n").agg(F.min("doc_id").alias("doc_id"))
     first = stored(first.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "classes")
-    classes = some.select("doc_id", "fp", "roots", "sketch").join(first, ["doc_id", "fp"]).dropDuplicates(["fp"])
+    classes = some.select("doc_id", "n", "fp", "roots", "sketch").join(first, ["doc_id", "fp"]).dropDuplicates(["fp"])
     members = stored(_members(stored(classes, "classes"), s), "members")
     pairs = stored(_proposed_forest(members, s), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(first, "fp")

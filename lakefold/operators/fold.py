@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakefold.functions.hashing import ident
@@ -57,22 +57,42 @@ def fold_state(df: DataFrame, keys: Sequence[str], page_col: str, ts_col: str, h
     return latest_per_key(df, keys, page_col, pos_col).join(last, list(keys), "left")
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def time_bucket(ts_col: str, bucket: str) -> Column:
+    """Number of the time bucket ("1 day", "12 hours", ...) that a time lies
+    in; null for a null time (``F.window`` would drop the row)."""
+    n, unit = bucket.split()
+    return F.expr(f"unix_seconds(CAST({ident(ts_col)} AS TIMESTAMP)) div {int(n) * _SECONDS[unit.rstrip('s')]}")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Left join on ``cols`` in which null equals null; ``left``'s columns are kept."""
+    r = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(r[f"_r_{c}"])
+    return left.join(r, cond, "left").drop(*(f"_r_{c}" for c in cols))
+
+
 def valid_intervals(df: DataFrame, entity: Sequence[str], ts_col: str, bucket: str = "30 days",
                     tie: Sequence[str] = ()) -> DataFrame:
     """Change history as validity intervals: ``valid_from`` = this
     version's time, ``valid_to`` = the next version's time of the same entity.
+    A row without a time keeps both empty.
 
     Two levels: ``lead`` inside (entity, time bucket); the last row of a
     bucket takes the first time of the entity's next non-empty bucket, found
     with a window over per-bucket minima (one row per bucket)."""
-    b = F.window(F.col(ts_col), bucket).start
-    rows = df.withColumn("_bucket", b)
+    rows = df.withColumn("_bucket", time_bucket(ts_col, bucket))
     w_in = Window.partitionBy(*map(ident, entity), "_bucket").orderBy(F.col(ts_col), *[F.col(ident(t)) for t in tie])
     rows = rows.withColumn("_next_in", F.lead(F.col(ts_col)).over(w_in))
-    firsts = rows.groupBy(*map(ident, entity), "_bucket").agg(F.min(F.col(ts_col)).alias("_first"))
+    timed = rows.filter(F.col("_bucket").isNotNull())
+    firsts = timed.groupBy(*map(ident, entity), "_bucket").agg(F.min(F.col(ts_col)).alias("_first"))
     w_b = Window.partitionBy(*map(ident, entity)).orderBy("_bucket")
     nxt = firsts.select(*map(ident, entity), "_bucket", F.lead("_first").over(w_b).alias("_next_bucket_first"))
-    out = rows.join(nxt, list(entity) + ["_bucket"], "left")
+    out = join_null_safe(rows, nxt, list(entity) + ["_bucket"])
     return out.select(
         "*", F.col(ts_col).alias("valid_from"), F.coalesce("_next_in", "_next_bucket_first").alias("valid_to")
     ).drop("_bucket", "_next_in", "_next_bucket_first")
@@ -81,29 +101,35 @@ def valid_intervals(df: DataFrame, entity: Sequence[str], ts_col: str, bucket: s
 def asof_last(left: DataFrame, right: DataFrame, by: Sequence[str], ts_col: str, value_col: str,
               bucket: str = "1 day", strict: bool = True) -> DataFrame:
     """As-of lookup: for each left row, ``value_col`` of the latest right row
-    of the same ``by`` key at or before (``strict``: before) its time.
-
-    Union both sides, carry the last right value forward inside each (key,
-    bucket) with ``last(ignorenulls)``, and fill rows that have no earlier
-    right row in their bucket from the previous buckets' last value (a
-    window over one row per bucket)."""
-    L = left.select("*", F.lit(0).alias("_side"), F.lit(None).cast(right.schema[value_col].dataType).alias("_rv"))
-    R = right.select(*map(ident, by), F.col(ts_col), F.lit(1).alias("_side"), F.col(value_col).alias("_rv"))
+    of the same ``by`` key at or before (``strict``: before) its time; of
+    right rows at one time the one with the greatest value.
+
+    A null value of the latest right row is the answer, not a gap to look
+    behind.  Left rows without time or key find nothing and are kept.
+
+    Union both sides, carry the last right row forward inside each (key,
+    bucket), and fill rows that have no earlier right row in their bucket
+    from the previous buckets' last one (a window over one row per bucket)."""
+    found = F.struct(F.col(value_col).alias("v"))  # never null itself, so that null values count
+    kind = right.select(found.alias("x")).schema["x"].dataType
+    L = left.select("*", F.lit(0).alias("_side"), F.lit(None).cast(kind).alias("_rv"))
+    timed = right.filter(F.col(ts_col).isNotNull())
+    R = timed.select(*map(ident, by), F.col(ts_col), F.lit(1).alias("_side"), found.alias("_rv"))
     # Right rows sort before left rows at equal time only when not strict.
     tie = F.when(F.col("_side") == 1, F.lit(0 if not strict else 1)).otherwise(F.lit(1 if not strict else 0))
-    u = L.unionByName(R, allowMissingColumns=True).withColumn("_bucket", F.window(F.col(ts_col), bucket).start)
-    w = Window.partitionBy(*map(ident, by), "_bucket").orderBy(F.col(ts_col), tie).rowsBetween(Window.unboundedPreceding, 0)
+    u = L.unionByName(R, allowMissingColumns=True).withColumn("_bucket", time_bucket(ts_col, bucket))
+    w = Window.partitionBy(*map(ident, by), "_bucket").orderBy(F.col(ts_col), tie, "_rv").rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_carry", F.last("_rv", ignorenulls=True).over(w))
     per_bucket = (
-        R.withColumn("_bucket", F.window(F.col(ts_col), bucket).start)
+        R.withColumn("_bucket", time_bucket(ts_col, bucket))
         .groupBy(*map(ident, by), "_bucket")
-        .agg(F.max_by("_rv", F.col(ts_col)).alias("_blast"))
+        .agg(F.max_by("_rv", F.struct(F.col(ts_col), F.col("_rv"))).alias("_blast"))
     )
     # Carry between buckets: one marker row per left bucket and one row per
     # right bucket, ordered by bucket (markers first); the last right value
     # seen before a marker is the carry.  Rows per key = number of buckets.
     lefts = u.filter(F.col("_side") == 0)
-    markers = lefts.select(*map(ident, by), "_bucket").distinct().select("*", F.lit(0).alias("_k"), F.lit(None).cast(per_bucket.schema["_blast"].dataType).alias("_blast"))
+    markers = lefts.select(*map(ident, by), "_bucket").distinct().select("*", F.lit(0).alias("_k"), F.lit(None).cast(kind).alias("_blast"))
     chain = markers.unionByName(per_bucket.withColumn("_k", F.lit(1)))
     wb = Window.partitionBy(*map(ident, by)).orderBy("_bucket", "_k").rowsBetween(Window.unboundedPreceding, 0)
     latest = (
@@ -112,6 +138,8 @@ def asof_last(left: DataFrame, right: DataFrame, by: Sequence[str], ts_col: str,
         .select(*map(ident, by), "_bucket", "_from_prev")
     )
     out = lefts.join(latest, list(by) + ["_bucket"], "left")
-    return out.withColumn(f"asof_{value_col}", F.coalesce("_carry", "_from_prev")).drop(
-        "_side", "_rv", "_bucket", "_carry", "_from_prev"
-    )
+    keyed = F.col(ts_col).isNotNull()
+    for c in by:
+        keyed = keyed & F.col(ident(c)).isNotNull()
+    value = F.when(keyed, F.coalesce("_carry", "_from_prev")["v"])
+    return out.withColumn(f"asof_{value_col}", value).drop("_side", "_rv", "_bucket", "_carry", "_from_prev")

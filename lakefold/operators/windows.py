@@ -21,27 +21,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakefold.functions.hashing import ident
-from lakefold.operators.fold import asof_last
+from lakefold.operators.fold import asof_last, join_null_safe
 
 
 def running_sum(df: DataFrame, key: Sequence[str], order: str, value: str, bucket_size: int, out: str = "running_sum") -> DataFrame:
     """Exact ``sum(value) over (partition by key order by order rows
     unbounded preceding)`` for an integer ``order`` (ties broken by order)."""
     keys = list(map(ident, key))
-    b = F.floor(F.col(order) / bucket_size)
-    rows = df.withColumn("_b", b)
+    rows = df.withColumn("_b", F.expr(f"{ident(order)} div {int(bucket_size)}"))
     w_in = Window.partitionBy(*keys, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_in", F.sum(value).over(w_in))
     tot = rows.groupBy(*keys, "_b").agg(F.sum(value).alias("_t"))
     w_b = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*keys, "_b", F.coalesce(F.sum("_t").over(w_b), F.lit(0)).alias("_before"))
-    return rows.join(tot, list(key) + ["_b"], "left").withColumn(out, F.col("_in") + F.col("_before")).drop("_b", "_in", "_before")
+    tot = tot.select(*keys, "_b", F.sum("_t").over(w_b).alias("_before"))
+    # As in SQL, the sum is null only as long as every value so far is.
+    total = F.when(F.coalesce("_in", "_before").isNotNull(), F.coalesce("_in", F.lit(0)) + F.coalesce("_before", F.lit(0)))
+    return join_null_safe(rows, tot, list(key) + ["_b"]).withColumn(out, total).drop("_b", "_in", "_before")
+
+
+def _neighbours(df: DataFrame, key: Sequence[str], order: str, value: str, home) -> DataFrame:
+    """With ``lag_value`` and ``lead_value``: inside the bucket, and at its
+    edges from the nearest bucket that has rows (a window over one row per
+    bucket).  The values travel in structs, so that null values count."""
+    keys = list(map(ident, key))
+    rows = df.withColumn("_b", home).withColumn("_x", F.struct(F.col(value).alias("v")))
+    w = Window.partitionBy(*keys, "_b").orderBy(F.col(order))
+    rows = rows.withColumns({"_p": F.lag("_x").over(w), "_n": F.lead("_x").over(w)})
+    edge = rows.groupBy(*keys, "_b").agg(F.min_by("_x", order).alias("_f"), F.max_by("_x", order).alias("_l"))
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    edge = edge.select(*keys, "_b", F.lag("_l").over(wb).alias("_pb"), F.lead("_f").over(wb).alias("_nb"))
+    out = join_null_safe(rows, edge, list(key) + ["_b"])
+    return out.select(*map(ident, df.columns), F.coalesce("_p", "_pb")["v"].alias("lag_value"), F.coalesce("_n", "_nb")["v"].alias("lead_value"))
 
 
 def dense_frame(df: DataFrame, key: Sequence[str], order: str, value: str, preceding: int, following: int,
                 bucket_size: int) -> DataFrame:
     """Moving average over ``order`` in [order - preceding, order + following]
-    plus lag / lead (previous / next order value), for a dense integer order.
+    plus lag / lead (the previous and next row's value, also across gaps), for
+    an integer order that is unique in a key.
 
     Rows within ``preceding`` of the next bucket (or ``following`` of the
     previous one) are copied there as context, so each (key, bucket) window
@@ -49,8 +66,9 @@ def dense_frame(df: DataFrame, key: Sequence[str], order: str, value: str, prece
     if preceding >= bucket_size or following >= bucket_size:
         raise ValueError("bucket_size must exceed the frame width")
     keys = list(map(ident, key))
-    pos = F.col(order) - F.floor(F.col(order) / bucket_size) * bucket_size
-    home = F.floor(F.col(order) / bucket_size)
+    home = F.expr(f"{ident(order)} div {int(bucket_size)}")
+    pos = F.col(order) - home * bucket_size
+    df = _neighbours(df, key, order, value, home)
     copies = F.array(
         F.struct(home.alias("_b"), F.lit(False).alias("_ctx")),
         F.when(pos >= bucket_size - max(preceding, 1), F.struct((home + 1).alias("_b"), F.lit(True).alias("_ctx"))),
@@ -62,8 +80,6 @@ def dense_frame(df: DataFrame, key: Sequence[str], order: str, value: str, prece
     out = rows.select(
         "*",
         F.avg(value).over(frame).alias("moving_avg"),
-        F.lag(value).over(w).alias("lag_value"),
-        F.lead(value).over(w).alias("lead_value"),
     ).filter(~F.col("_ctx"))
     return out.drop("_b", "_ctx")
 

@@ -180,7 +180,7 @@ _PAGES_SQL = "SELECT event_type, event_id // 500 AS page, count(*) AS n_records,
 )
 def f13_page_chain_cut(spark, sf_dir):
     ev = derive.table(spark, sf_dir, "events")
-    pages = ev.groupBy("event_type", F.floor(F.col("event_id") / 500).alias("page")).agg(
+    pages = ev.groupBy("event_type", F.expr("event_id div 500").alias("page")).agg(
         F.count(F.lit(1)).alias("n_records"), (F.max("value") < 400).alias("has_more")
     )
     return select.cut_page_chain(pages, ["event_type"])
@@ -215,7 +215,7 @@ _EV_CHANGES_SQL = f"""SELECT *, CASE WHEN prev IS NULL THEN 'insert' ELSE 'updat
 def event_versions(spark, sf_dir):
     ev = derive.table(spark, sf_dir, "events")
     v = (F.get_json_object("props", "$.k").cast("int") / 25).cast("int")
-    rows = ev.select("user_id", "event_type", F.floor(F.col("event_id") / 500).alias("page"), "event_id", "ts", v.alias("v"))
+    rows = ev.select("user_id", "event_type", F.expr("event_id div 500").alias("page"), "event_id", "ts", v.alias("v"))
     return with_content_hash(rows.select("user_id", "event_type", "v", "page", "event_id", "ts"), exclude=["page", "event_id", "ts"])
 
 

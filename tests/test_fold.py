@@ -110,3 +110,37 @@ def test_range_count_hot_key_and_ties(spark):
         got = {r.id: r.n for r in out.collect()}
         want = {i: sum(1 for uu, t in right if uu == u and ts < t <= ts + dt.timedelta(hours=1)) for i, u, ts in left}
         assert got == want
+
+
+def test_asof_with_nulls_and_ties(spark):
+    left = spark.createDataFrame([("k", 100, 1), ("k", None, 2), (None, 100, 3), ("k", 5, 4), ("k", 200_000, 5), ("m", 100, 6)],
+                                 "k string, s long, id int").selectExpr("k", "timestamp_seconds(s) AS ts", "id")
+    right = spark.createDataFrame([("k", 10, 5), ("k", 50, None), (None, 1, 9), ("k", None, 8), ("m", 100, 1), ("m", 99, 2), ("m", 99, 3),
+                                   ("k", 90_000, 7), ("k", 90_000, 6)], "k string, s long, v int").selectExpr("k", "timestamp_seconds(s) AS ts", "v")
+    got = {r.id: r.asof_v for r in fold.asof_last(left, right, ["k"], "ts", "v").collect()}
+    assert got == {1: None, 2: None, 3: None, 4: None, 5: 7, 6: 3}
+    assert {r.id: r.asof_v for r in fold.asof_last(left, right, ["k"], "ts", "v", strict=False).collect()}[6] == 1
+
+
+def test_intervals_keep_rows_without_time_or_entity(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 86_400 * 90), ("a", None), (None, 5), (None, 86_400 * 40)], "e string, s long")
+    df = df.selectExpr("e", "s", "timestamp_seconds(s) AS ts")
+    out = {(r.e, r.s): r.valid_to and int(r.valid_to.timestamp()) for r in fold.valid_intervals(df, ["e"], "ts").collect()}
+    assert out == {("a", 0): 86_400 * 90, ("a", 86_400 * 90): None, ("a", None): None, (None, 5): 86_400 * 40, (None, 86_400 * 40): None}
+
+
+def test_running_and_moving_frames_with_nulls_and_gaps(spark):
+    from lakefold.operators import windows
+
+    rows = [("a", 0, None), ("a", 1, 3), ("a", 9, None), ("a", 10, 4), ("a", 50, 7), (None, 0, 1), (None, 20, 2), ("z", 3, None)]
+    df = spark.createDataFrame(rows, "k string, t long, v int")
+    total = {(r.k, r.t): r.running_sum for r in windows.running_sum(df, ["k"], "t", "v", 10).collect()}
+    lags = {(r.k, r.t): (r.lag_value, r.lead_value, r.moving_avg) for r in windows.dense_frame(df, ["k"], "t", "v", 1, 1, 10).collect()}
+    for k in ("a", None, "z"):
+        mine = sorted((t, v) for g, t, v in rows if g == k)
+        for i, (t, v) in enumerate(mine):
+            seen = [x for _, x in mine[: i + 1] if x is not None]
+            near = [x for u, x in mine if abs(u - t) <= 1 and x is not None]
+            assert total[k, t] == (sum(seen) if seen else None)
+            assert lags[k, t] == (mine[i - 1][1] if i else None, mine[i + 1][1] if i + 1 < len(mine) else None,
+                                  sum(near) / len(near) if near else None)

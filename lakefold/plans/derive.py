@@ -183,10 +183,10 @@ def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id"),
         (F.col("event_type") == F.lit("purchase")).alias("is_points"),
         F.date_format("ts", "yyyy-MM-dd").alias("day"),
-    ).agg(F.min("value").alias("lo"), F.count_if(F.col("event_type") != F.lit("error")).alias("ok"))
+    ).agg(F.min("value").alias("lo"), F.count_if(F.col("event_type") != F.lit("error")).alias("ok"), F.count(F.lit(1)).alias("events"))
 
 
-def calendar_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calendar_texts(spark: SparkSession, sf_dir: str, declare_events: bool = False) -> DataFrame:
     """Rate calendars as landed JSON text, one per (hotel = user, kind).
 
     Each calendar holds one entry per day, so the collected map is bounded by
@@ -199,7 +199,7 @@ def calendar_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cal = d.groupBy("user_id", "is_points").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("day"), rate))).alias("results"),
-        F.count(F.lit(1)).cast("int").alias("count"),
+        (F.sum("events") if declare_events else F.count(F.lit(1))).cast("int").alias("count"),
     )
     text = F.to_json(
         F.struct(

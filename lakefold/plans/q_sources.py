@@ -141,20 +141,19 @@ def s6_embedded_script(spark, sf_dir):
 # --- J7: link -> detail page lookup (missing pages are rejects) ---------------------------
 @register(
     "j7_link_page_lookup",
-    r"""WITH c AS (SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)"', 1)) AS path FROM pages),
-       u AS (SELECT page_id AS target_id, regexp_replace(url, '^https?://[^/]+', '') AS path FROM pages)
-       SELECT count(*) AS links, count(u.target_id) AS matched, count(*) - count(u.target_id) AS rejects
-       FROM c LEFT JOIN u ON c.path = u.path""",
+    """WITH t AS (SELECT url, min(page_id) AS target_id FROM pages WHERE page_id % 7 <> 0 GROUP BY url)
+       SELECT p.url, t.target_id, t.target_id IS NULL AS rejected FROM pages p LEFT JOIN t ON p.url = t.url""",
 )
 def j7_link_page_lookup(spark, sf_dir):
-    pages = derive.table(spark, sf_dir, "pages")
-    links = H.hotel_links(pages.select("page_id", "html")).filter("has_link")
-    targets = pages.select(F.col("page_id").alias("target_id"), F.regexp_replace("url", r"^https?://[^/]+", "").alias("path"))
-    j = links.join(targets, "path", "left")
-    return j.agg(
-        F.count(F.lit(1)).alias("links"), F.count("target_id").alias("matched"),
-        (F.count(F.lit(1)) - F.count("target_id")).alias("rejects"),
-    )
+    """Directory pages (fifty links each) against the landed pages, of which
+    every seventh is missing: the whole URL is the key, a URL that landed
+    more than once is one target, and links without a page are rejects."""
+    pages = derive.table(spark, sf_dir, "pages").select("page_id", "url")
+    item = F.concat(F.lit('<li><a href="'), F.col("url"), F.lit('" title="t">x</a></li>'))
+    directory = pages.groupBy(F.expr("page_id div 50").alias("page_id")).agg(F.concat_ws("", F.collect_list(item)).alias("html"))
+    links = H.hotel_links(directory.select("page_id", "html")).filter("has_link").select(F.col("path").alias("url"))
+    targets = pages.filter("page_id % 7 <> 0").groupBy("url").agg(F.min("page_id").alias("target_id"))
+    return links.join(targets, "url", "left").select("url", "target_id", F.col("target_id").isNull().alias("rejected"))
 
 
 # --- S7 / P3 / P6 / P9: rate calendars -> hotel availability rows -------------------------
@@ -183,12 +182,14 @@ def s7_rate_calendar(spark, sf_dir):
 
 @register(
     "a5_count_reconciliation",
-    f"SELECT count(*) AS calendars, CAST(count(*) FILTER (WHERE n <> n) AS BIGINT) AS mismatched "
-    f"FROM (SELECT user_id, is_points, count(*) AS n FROM ({_DAILY_SQL}) GROUP BY ALL)",
+    """SELECT count(*) AS calendars, count(*) FILTER (WHERE days <> n) AS mismatched FROM (
+         SELECT user_id, event_type = 'purchase' AS p, count(*) AS n, count(DISTINCT strftime(ts, '%Y-%m-%d')) AS days
+         FROM events GROUP BY ALL)""",
 )
 def a5_count_reconciliation(spark, sf_dir):
-    """A5: actual rows per calendar vs its declared count (warn-only rows)."""
-    cals = derive.calendar_texts(spark, sf_dir)
+    """A5: actual rows per calendar vs its declared count (warn-only rows).
+    These calendars declare their events, so days with several do not add up."""
+    cals = derive.calendar_texts(spark, sf_dir, declare_events=True)
     rows = J.calendar_rows(cals, "text", "nid", F.col("is_points"))
     per = rows.groupBy("nid", "is_points").agg(F.count(F.lit(1)).alias("actual"), F.max("_declared").alias("declared"))
     return per.agg(F.count(F.lit(1)).alias("calendars"), F.count_if(F.col("actual") != F.col("declared")).alias("mismatched"))

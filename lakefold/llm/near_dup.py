@@ -10,8 +10,10 @@ may reach the threshold is confirmed on the full sets.
 Links are only needed to form components, so the confirmation comes in two
 rounds.  First each node proposes a spanning forest of its closest pairs,
 which is linear in its size, however many of its members are alike.  After
-these are confirmed and joined up, the nodes propose every pair left between
+these are confirmed and joined up, the nodes turn to every pair left between
 different components.  A pair inside one component cannot change anything.
+Small nodes propose these pairs; larger ones, where they may be many, get
+the full sets of their members once and give back confirmed links only.
 
 Recall: two sets of similarity j share a root node of one of ``trees`` trees
 with probability 1 - (1 - j) ** trees (1 - 6e-8 at j = 0.75 and 12 trees);
@@ -44,6 +46,8 @@ class Settings:
     percent: int = 75         # link if 100 * intersection >= percent * union
     trees: int = 12
     small: int = 4096         # nodes up to this size are compared exhaustively
+    whole: int = 48           # larger nodes get their members' full sets, and confirm links themselves
+    whole_items: int = 4_000_000  # unless these sets have more shingles than this together
     levels: int = 4           # splits of larger nodes; what is larger still is compared block by block
     floor_agree: int = 77     # of 128 minwise values, to be confirmed on the full sets
     seed: int = 7
@@ -235,11 +239,52 @@ def _proposed_forest(members: DataFrame, s: Settings) -> DataFrame:
     return pairs.unionByName(star).groupBy("a", "b").agg(F.min("cell").alias("cell"))
 
 
-def _proposed_rest(members: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """Round two: the pairs between different components that may still link."""
+def _mixed(members: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
+    """Members of nodes that hold different components, and whether the node
+    can confirm its links itself (``whole``)."""
     rows = members.join(labels, "fp")
-    mixed = rows.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("node")
-    rows = rows.join(mixed, "node")
+    nodes = rows.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("k"),
+                                     F.sum("n").alias("items_"), F.max("blocks").alias("b")).filter("x <> y")
+    whole = (F.col("k") > s.whole) & (F.col("items_") <= s.whole_items) & (F.col("b") == 1)
+    return rows.join(nodes.select("node", whole.alias("whole")), "node")
+
+
+def _linked_rest(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Round two in larger nodes: links between different components, as
+    edges to the smallest of those joined in the node."""
+
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _groups(batches, ["node"]):
+            fp, label, n = (frame[c].to_numpy() for c in ("fp", "label", "n"))
+            sk = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, _PLACES)
+            items = [np.frombuffer(x, np.uint64) for x in frame["items"]]
+            at = _bounds(frame, ["node"])
+            out = []
+            for a, b in zip(at[:-1], at[1:]):
+                root = {x: x for x in label[a:b].tolist()}
+
+                def top(x, root=root):
+                    while root[x] != x:
+                        root[x] = root[root[x]]
+                        x = root[x]
+                    return x
+
+                agree = _agree(sk[a:b], n[a:b], s)
+                x, y = np.nonzero(np.triu((agree >= s.floor_agree) & (label[a:b, None] != label[None, a:b]), 1))
+                order = np.argsort(-agree[x, y], kind="stable")  # the closest first: most others then need no look
+                for i, j in zip((a + x[order]).tolist(), (a + y[order]).tolist()):
+                    u, v = top(int(label[i])), top(int(label[j]))
+                    if u != v and _close(items[i], items[j], s):
+                        root[max(u, v)] = min(u, v)
+                        out.append((min(fp[i], fp[j]), max(fp[i], fp[j])))
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    flat = rows.select("node", "fp", "label", "n", "sketch").join(sets, "fp")
+    return flat.repartition("node").sortWithinPartitions("node", "fp").mapInPandas(link, "a long, b long").distinct()
+
+
+def _proposed_rest(rows: DataFrame, s: Settings) -> DataFrame:
+    """Round two in small nodes: the pairs between different components that may still link."""
     # A block meets itself and the later blocks of its node.
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     cells = rows.select("node", "fp", "label", "sketch", "n", "block", F.explode(others).alias("other"))
@@ -269,6 +314,17 @@ def _proposed_rest(members: DataFrame, labels: DataFrame, s: Settings) -> DataFr
 
 # ------------------------------------------------------------ confirmation
 
+def _close(p: np.ndarray, q: np.ndarray, s: Settings) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(p) > len(q):
+        p, q = q, p
+    if 100 * len(p) < s.percent * len(q):
+        return False
+    place = np.minimum(np.searchsorted(q, p), len(q) - 1)
+    both = int((q[place] == p).sum())
+    return 100 * both >= s.percent * (len(p) + len(q) - both)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Links (a, b) among the proposed pairs, by their full sets.
 
@@ -302,14 +358,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
                     continue
                 if x not in items or y not in items or top(x) == top(y):
                     continue
-                p, q = items[x], items[y]
-                if 100 * min(len(p), len(q)) < s.percent * max(len(p), len(q)):
-                    continue
-                if len(p) > len(q):
-                    p, q = q, p
-                place = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                both = int((q[place] == p).sum())
-                if 100 * both >= s.percent * (len(p) + len(q) - both):
+                if _close(items[x], items[y], s):
                     u, v = sorted((top(x), top(y)))
                     root[v] = u
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -365,7 +414,9 @@ def duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     # Everything with a candidate pair has a label, its own if nothing was confirmed.
     every = wanted.select("fp").join(labels, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"))
     every = stored(every, "labels")
-    rest = stored(_confirmed(_proposed_rest(members, every, s), sets, s), "links")
+    mixed = stored(_mixed(members, every, s), "mixed")
+    rest = _confirmed(_proposed_rest(mixed.filter(~F.col("whole")), s), sets, s)
+    rest = stored(rest.unionByName(_linked_rest(mixed.filter("whole"), sets, s)), "links")
     if not rest.isEmpty():
         la, lb = every.select(F.col("fp").alias("a"), F.col("label").alias("x")), every.select(F.col("fp").alias("b"), F.col("label").alias("y"))
         again = components(rest.join(la, "a").join(lb, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())

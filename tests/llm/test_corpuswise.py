@@ -64,10 +64,11 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("small", [1024, 6])  # the second makes trees split and blocks meet
-def test_near_duplicates_against_all_pairs(spark, small):
+# The second makes trees split and blocks meet, the third lets nodes confirm links themselves.
+@pytest.mark.parametrize("small, whole", [(1024, 48), (6, 48), (1024, 2)])
+def test_near_duplicates_against_all_pairs(spark, small, whole):
     rows = near_rows()
-    got = near_dup.duplicates(docs_frame(spark, extended([(i, t, "s") for i, t in rows])), near_dup.Settings(small=small, levels=2)).collect()
+    got = near_dup.duplicates(docs_frame(spark, extended([(i, t, "s") for i, t in rows])), near_dup.Settings(small=small, levels=2, whole=whole)).collect()
     want = plain_components(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
     assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)

@@ -239,6 +239,21 @@ def test_search_against_all_scores(spark):
     assert bm25.similar(docs.limit(0), docs["doc_id"] % 20 == 0, s).count() == 0
 
 
+def test_search_asks_every_word_of_long_documents(spark):
+    rng = random.Random(12)
+    rare = [f"rare{k}" for k in range(20)]
+    tail = [f"tail{k}" for k in range(60)]
+    rows = [(0, " ".join(rare * 3 + tail))]
+    rows += [(k, " ".join(rare[:2])) for k in range(1, 9)] + [(k, " ".join(tail + ["other"])) for k in range(9, 13)]
+    rows += [(k, " ".join(rng.choices(tail, k=30))) for k in range(13, 100)]
+    docs = docs_frame(spark, extended([(i, t, "s") for i, t in rows])).repartition(3)
+    s = bm25.Settings(shard_docs=32, block=4, pack=1, k=5)
+    got = [(-round(r.score, 9), r.doc_id) for r in bm25.similar(docs, docs["doc_id"] == 0, s).orderBy("rank").collect()]
+    assert got == plain_search(rows, [0], s)[0] and [i for _, i in got] == [0, 9, 10, 11, 12]
+    asked = bm25.queries_of(docs.filter("doc_id = 0"), bm25.build(docs, s), len(rows), bm25.Settings())
+    assert asked.count() == len(rare) + len(tail)
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):

@@ -2,7 +2,8 @@
 
 A text is normalised to words and cut into stretches around the words that
 mark a notice.  Each stretch is aligned with each notice that shares a
-marking word with it: words unique to both sides anchor the alignment, the
+marking word with it, first with the mark held in its place and up to its
+neighbours only, so that copies side by side stay apart: words unique to both sides anchor the alignment, the
 longest increasing run of anchors is kept, and the gaps between them are
 aligned in the same way.  Words equal at the edges of a gap extend it.
 Coverage is the share of the notice's words that are aligned, in order and
@@ -111,15 +112,31 @@ class Finder:
         for n, (name, notice) in enumerate(self.notices):
             own = [i for i in marks if toks[i] in self.marked[n]]
             reach = len(notice) + self.s.apart
-            # Around each mark that the notice has, as far as the notice can reach; stretches that meet are tried one mark at a time.
+            # Around each mark that the notice has, as far as the notice can reach: up to the next same marks, beyond them, then without holding the mark.
             seen = -1
+            last: dict[str, int] = {}
+            after = {}
+            for i in reversed(own):
+                after[i] = last.get(toks[i], len(toks))
+                last[toks[i]] = i
+            last = {}
             for i in own:
+                before, last[toks[i]] = last.get(toks[i], -1), i
                 if i <= seen:
                     continue
                 a, b = max(0, i - reach, seen + 1), min(len(toks), i + reach + 1)
-                run = self._dense(align(toks[a:b], notice), i - a)
-                if run and len(run) >= self.s.coverage * len(notice):
-                    x, y = a + run[0][0], a + run[-1][0]
+                spots = [p for p, w in enumerate(notice) if w == toks[i]]
+                near = (max(a, before + 1), min(b, after[i])) if len(spots) == 1 else (a, b)
+                run: list[tuple[int, int]] = []
+                for x, y in dict.fromkeys([near, (a, b)]):
+                    tries = (self._dense(self._held(toks, notice, i, p, x, y)) for p in spots)
+                    run = max((r for r in tries if self._enough(r, n)), key=len, default=[])
+                    if run:
+                        break
+                else:
+                    run = [(x + a, k) for x, k in self._dense(align(toks[a:b], notice))]
+                if self._enough(run, n):
+                    x, y = run[0][0], run[-1][0]
                     hits.append((len(run), -n, name, x, y, len(run) / len(notice)))
                     seen = y
         hits.sort(key=lambda h: (-h[0], -h[5], -h[1], h[3]))
@@ -130,7 +147,16 @@ class Finder:
         return [{"license": h[2], "notice": -h[1], "start": places[h[3]][0], "end": places[h[4]][1], "coverage": h[5]}
                 for h in sorted(taken, key=lambda h: h[3])]
 
-    def _dense(self, pairs: list[tuple[int, int]], mark: int) -> list[tuple[int, int]]:
+    def _held(self, toks: list[str], notice: list[str], i: int, p: int, a: int, b: int) -> list[tuple[int, int]]:
+        """The alignment of words a to b that has word i at place p of the notice."""
+        left, right = align(toks[a:i], notice[:p]), align(toks[i + 1:b], notice[p + 1:])
+        return [(x + a, k) for x, k in left] + [(i, p)] + [(x + i + 1, k + p + 1) for x, k in right]
+
+    def _enough(self, run: list[tuple[int, int]], n: int) -> bool:
+        """Whether a run covers notice n."""
+        return len(run) >= self.s.coverage * len(self.notices[n][1])
+
+    def _dense(self, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """The longest part of the alignment without a wide gap in the text."""
         best: list[tuple[int, int]] = []
         run: list[tuple[int, int]] = []

@@ -215,3 +215,14 @@ def test_licences_found_with_places(spark):
     assert finder.find("this is no license at all") == [] and finder.find(None) == [] and finder.find("license " * 3000) == []
     docs = spark.createDataFrame([(1, "Licensed under CC BY 4.0.", 1), (None, None, 2), (2, "", 3)], "doc_id long, text string, coverage int")
     assert [(r.doc_id, r.licenses, r.n_notices) for r in licenses.report(docs).collect()] == [(1, "CC-BY-4.0", 1), (None, "", 0), (2, "", 0)]
+
+
+def test_licences_side_by_side():
+    finder = licenses.Finder(licenses.NOTICES, licenses.Settings())
+    for name, notice in licenses.NOTICES:
+        for text in (f"{notice} {notice}", f"foo: {notice} bar: {notice}", f"x {notice}\n" * 5):
+            got = finder.find(text)
+            assert [g["license"] for g in got] == [name] * text.count(notice)
+            assert all(g["coverage"] == 1.0 and text[g["start"]:g["end"]] in notice for g in got)
+    mixed = "Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0. Released under the MIT License. Licensed under the MIT License."
+    assert [g["license"] for g in finder.find(mixed)] == ["CC-BY-4.0", "CC-BY-SA-4.0", "MIT", "MIT"]

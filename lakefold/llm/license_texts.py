@@ -29,3 +29,18 @@ following disclaimer."""),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("reserved", "Copyright. All rights reserved."),
 ]
+
+# What tells a licence from its kin (name, variant, version): those of these phrases that a notice has must stand in the text word for word.
+TELLING = {
+    "MIT": ["MIT License", "permission notice"],
+    "Apache-2.0": ["Apache License, Version 2.0"],
+    "GPL-3.0": ["GNU General Public License", "GNU General Public License, version 3", "version 3"],
+    "GPL-2.0": ["GNU General Public License, version 2"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0"],
+    "CC0-1.0": ["waived all copyright"],
+    "BSD-3-Clause": ["source and binary forms"],
+    "MPL-2.0": ["Mozilla Public License, v. 2.0"],
+    "reserved": ["all rights reserved"],
+}

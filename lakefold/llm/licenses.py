@@ -7,7 +7,8 @@ neighbours only, so that copies side by side stay apart: words unique to both si
 longest increasing run of anchors is kept, and the gaps between them are
 aligned in the same way.  Words equal at the edges of a gap extend it.
 Coverage is the share of the notice's words that are aligned, in order and
-at most a few foreign words apart.
+at most a few foreign words apart.  The words that tell a licence from its
+kin must be aligned without any foreign word among them.
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakefold.llm.license_texts import NOTICES
+from lakefold.llm.license_texts import NOTICES, TELLING
 
 FOUND = T.ArrayType(T.StructType([
     T.StructField("license", T.StringType()), T.StructField("notice", T.IntegerType()), T.StructField("start", T.IntegerType()),
     T.StructField("end", T.IntegerType()), T.StructField("coverage", T.DoubleType()),
 ]))
 _WORD = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*")
+_ZERO = re.compile(r"^([0-9]+)(?:\.0)+$")
 
 
 @dataclass(frozen=True)
@@ -41,8 +43,8 @@ class Settings:
 
 
 def words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
-    """Lower-case words and their places in the text."""
-    found = [(m.group().lower(), m.span()) for m in _WORD.finditer(text)]
+    """Lower-case words and their places in the text; a version reads the same with and without .0."""
+    found = [(_ZERO.sub(r"\1", "version" if (w := m.group().lower()) == "v" else w), m.span()) for m in _WORD.finditer(text)]
     return [w for w, _ in found], [s for _, s in found]
 
 
@@ -98,6 +100,11 @@ class Finder:
         self.marks = re.compile("|".join(s.marks), re.I)
         self.marked = [{w for w in ws if self._mark(w)} for _, ws in self.notices]
 
+        self.telling = []
+        for name, ws in self.notices:
+            phrases = [words(p)[0] for p in TELLING.get(name, [])]
+            self.telling.append([(k, k + len(p)) for p in phrases for k in range(len(ws)) if ws[k:k + len(p)] == p])
+
     def _mark(self, word: str) -> bool:
         return word.startswith(self.s.marks)
 
@@ -153,8 +160,11 @@ class Finder:
         return [(x + a, k) for x, k in left] + [(i, p)] + [(x + i + 1, k + p + 1) for x, k in right]
 
     def _enough(self, run: list[tuple[int, int]], n: int) -> bool:
-        """Whether a run covers notice n."""
-        return len(run) >= self.s.coverage * len(self.notices[n][1])
+        """Whether a run covers notice n and has its telling words unbroken."""
+        if not run or len(run) < self.s.coverage * len(self.notices[n][1]):
+            return False
+        at = {k: x for x, k in run}
+        return all(k in at and at[k] - at.get(first, -1) == k - first for first, end in self.telling[n] for k in range(first, end))
 
     def _dense(self, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """The longest part of the alignment without a wide gap in the text."""

@@ -226,3 +226,17 @@ def test_licences_side_by_side():
             assert all(g["coverage"] == 1.0 and text[g["start"]:g["end"]] in notice for g in got)
     mixed = "Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0. Released under the MIT License. Licensed under the MIT License."
     assert [g["license"] for g in finder.find(mixed)] == ["CC-BY-4.0", "CC-BY-SA-4.0", "MIT", "MIT"]
+
+
+@pytest.mark.parametrize("text", [
+    "Licensed under the BSD License.", "Licensed under CC BY-ND 4.0.", "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY 3.0.",
+    "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "Licensed under the Apache License, Version 1.1.",
+    """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or (at your option) any later version.""",
+])
+def test_other_licences_are_not_taken_for_these(text):
+    finder = licenses.Finder(licenses.NOTICES, licenses.Settings())
+    assert finder.find(text) == [] and finder.find(f"Some words. {text} More words.") == []

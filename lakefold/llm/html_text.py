@@ -240,25 +240,29 @@ def _score(order: list[Node]) -> Node | None:
     return best
 
 
-def _kept(best: Node) -> list[Node]:
-    """The best container and those of its siblings that belong to the text."""
+def _kept(best: Node) -> list[Node | str]:
+    """The article or main part around the best container; without one, the
+    widest container with few links and all that stands beside it but links."""
     while best.up is not None and best.up.name not in ("body", "html") and best.up.size and best.size >= 0.95 * best.up.size:
         best = best.up  # a wrapper adds nothing but, say, the headline
+    # The article that the container is a part of, or the page's main part.
+    up = [best]
+    while up[-1].up is not None and up[-1].up.name not in ("body", "html"):
+        up.append(up[-1].up)
+    whole = next((u for u in up if u.name == "article"), None) or next((u for u in up if u.name == "main"), None)
+    if whole is not None and _link_share(whole) < 0.3:
+        best = whole
+    elif whole is None:
+        for u in up[1:]:
+            if _link_share(u) >= 0.3:
+                break
+            best = u
     if best.up is None or best.name in ("body", "html", "main"):
         return [best]
-    out = []
-    for k in best.up.kids:
-        if isinstance(k, str):
-            continue
-        alike = k.name == best.name and k.attrs.strip() and k.attrs == best.attrs
-        enough = k.points + (0.2 * best.points if alike else 0) >= max(3.0, 0.2 * best.points) and _link_share(k) < 0.3
-        prose = k.name == "p" and _link_share(k) < 0.25 and k.size > 60
-        if k is best or enough and k.name in ("article", "section", "div", best.name) or prose:
-            out.append(k)
-    return out
+    return [k for k in best.up.kids if k is best or isinstance(k, str) or k.size and _link_share(k) < 0.3]
 
 
-def _text(nodes: list[Node]) -> str:
+def _text(nodes: list[Node | str]) -> str:
     """Blocks in page order, white space inside each turned into one space."""
     pieces: list[str] = []
     stack: list[Node | str] = list(reversed(nodes))

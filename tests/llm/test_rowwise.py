@@ -179,6 +179,18 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == " ".join(want.split())
 
 
+def test_main_text_keeps_all_parts_of_long_articles():
+    part = f"<p>{PROSE}</p>"
+    want = " ".join(f"The headline {' '.join([PROSE] * 22)} one two a b Said so. The end.".split())
+    inner = (f"<h1>The headline</h1><div class=intro>{part * 2}</div><div class=body>{part * 20}</div><ul><li>one</li><li>two</li></ul>"
+             "<table><tr><td>a</td><td>b</td></tr></table><blockquote>Said so.</blockquote><h2>The end.</h2>")
+    menu = "<div>" + "<a href=/x>Some other page</a> " * 8 + "</div>"
+    for name in ("article", "main", "section", "div"):
+        assert html_text.main_text(f"<html><body>{menu}<{name}>{inner}</{name}>{menu}</body></html>") == want
+        assert html_text.main_text(f"<html><body>{menu}<div><{name}>{inner}{menu}</{name}></div></body></html>") == want
+    assert html_text.main_text(f"<html><body>{menu}{inner}{menu}</body></html>") == want
+
+
 def test_pages_of_the_tables_give_their_articles(spark):
     import html
 

@@ -48,8 +48,8 @@ STAGES = [
 ]
 
 # A trained classifier and a trained tagger decide what stays and what it
-# reads: SQL cannot express them.  tests/llm holds each stage against a
-# brute-force version.
+# reads: SQL cannot express them.  tests/llm holds near_dedup against all
+# pairs; of the other stages it checks rows and columns, not a plain version.
 ORACLE_SQL = None
 
 

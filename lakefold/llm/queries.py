@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm import bm25, decontam, html_text, licenses, mixing, near_dup, pii, quality, token_count, toxicity
+from lakefold.llm import bm25, decontam, html_text, licenses, manifest, mixing, near_dup, pii, quality, token_count, toxicity
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,58 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in every document."""
     return licenses.report(table(spark, sf_dir, "documents"))
+
+
+def _field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(text if c == "text" else c) for c in manifest.FIELDS) + ")"
+
+
+# crc32 of the decimal id: per byte eight steps of the reflected polynomial (fixed value 3988292384).
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"""
+
+
+def _tree(name: str, base: str, mine: str) -> str:
+    """Nodes of all levels above ``base`` (g, pos, n, h, lvl 0), and with the digests beside them."""
+    run = f"PARTITION BY {mine}lvl, pos // 16 ORDER BY pos ROWS BETWEEN"
+    return f"""{name} AS (
+  SELECT 0 AS lvl, {mine}pos, n, h FROM {base}
+  UNION ALL
+  SELECT lvl + 1, {mine}pos // 16, any_value((n + 15) // 16), sha256(string_agg(h, '' ORDER BY pos)) FROM {name}
+  WHERE n > 1 GROUP BY {mine}lvl, pos // 16),
+{name}_beside AS (
+  SELECT *, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name})"""
+
+
+@register("op12_merkle_manifest", f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, {_leaf("text")} AS h,
+    CASE WHEN {_CRC} % 5 = 0 THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS other FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+{_tree("own", "placed", "g, ")},
+subs AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM own WHERE n = 1),
+{_tree("top", "subs", "")},
+folded AS (
+  SELECT doc_id, g, h AS leaf, pos, n, 0 AS lvl, coalesce(other, h) AS cur, '' AS proof FROM placed
+  UNION ALL
+  SELECT f.doc_id, f.g, f.leaf, f.pos // 16, (f.n + 15) // 16, f.lvl + 1, sha256(b.l || f.cur || b.r), f.proof || b.l || b.r
+  FROM folded f JOIN own_beside b ON b.g = f.g AND b.lvl = f.lvl AND b.pos = f.pos WHERE f.n > 1),
+whole AS (
+  SELECT f.doc_id, f.leaf, s.h AS subroot, s.pos, s.n, 0 AS lvl, f.cur, f.proof FROM folded f JOIN subs s ON s.g = f.g WHERE f.n = 1
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.subroot, f.pos // 16, (f.n + 15) // 16, f.lvl + 1, sha256(b.l || f.cur || b.r), f.proof || b.l || b.r
+  FROM whole f JOIN top_beside b ON b.lvl = f.lvl AND b.pos = f.pos WHERE f.n > 1),
+root AS (SELECT h AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM whole, root WHERE n = 1""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of all documents, folded from rows of which a fifth are tampered with."""
+    return manifest.lowered_fifth(table(spark, sf_dir, "documents"))

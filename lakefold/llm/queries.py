@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakefold.llm import bm25, decontam, html_text, licenses, manifest, mixing, near_dup, pii, quality, token_count, toxicity
+from lakefold.llm import (
+    bm25, collocations, decontam, html_text, licenses, manifest, mixing, near_dup, pii, quality, token_count, toxicity, vector_dup,
+)
 from lakefold.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +188,51 @@ FROM whole, root WHERE n = 1""")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Merkle manifest of all documents, folded from rows of which a fifth are tampered with."""
     return manifest.lowered_fifth(table(spark, sf_dir, "documents"))
+
+
+@register("op13_phrase_collocations", f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\n-\\r]')) AS piece FROM d),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM words
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words WHERE len(w) >= 2
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words WHERE len(w) >= 3),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2),
+sides AS (
+  SELECT lang, phrase, a, 1 AS k, w[1] AS head, array_to_string(w[2:], ' ') AS rest FROM c
+  UNION ALL SELECT lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE size = 3),
+cut AS (
+  SELECT s.*, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+  FROM sides s JOIN f l ON l.lang = s.lang AND l.phrase = head JOIN f r ON r.lang = s.lang AND r.phrase = rest),
+lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS b FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM c WHERE size = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE size = 3)
+  GROUP BY ALL),
+kept AS (SELECT s.* FROM lowest s LEFT JOIN longer g ON g.lang = s.lang AND g.phrase = s.phrase WHERE b IS NULL OR 100 * b < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest collocations of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op11_embedding_near_duplicates", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+u AS (
+  SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM v
+  WHERE len(v) > 0 AND list_bool_and(list_transform(v, lambda x: x IS NOT NULL AND isfinite(x))) AND list_dot_product(v, v) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.u) = len(b.u)
+  WHERE list_dot_product(a.u, b.u) >= 0.95),
+walk AS (SELECT vec_id AS id, vec_id AS reach FROM v UNION SELECT w.id, l.b FROM walk w JOIN link l ON l.a = w.reach),
+comp AS (SELECT id, min(reach) AS component_id FROM walk GROUP BY id)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE a = v.vec_id) AS n_links, component_id, component_id = v.vec_id AS kept
+FROM v JOIN comp ON comp.id = v.vec_id""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings with a cosine of 0.95 or more."""
+    return vector_dup.duplicates(table(spark, sf_dir, "embeddings"))

@@ -1,12 +1,14 @@
 """Phrase collocations, counted in HAT-tries.
 
-Each task counts the phrases of its texts in a trie over word numbers: the
-first word leads to a hash container of everything that follows it; a
-container that grows above ``burst`` entries bursts into one container for
-each second word.  When a task holds more than ``entries`` phrases it spills
-whole subtrees, the largest first, as runs sorted by the phrase, one run for
-each prefix partition.  A partition's runs, of all tasks, are then merged in
-phrase order; what can get no more counts leaves the merge at once.
+Each task counts the phrases of its texts in a trie over word numbers: first
+words lead to hash containers of all that starts with them.  Rare words share
+a container (a hybrid one); one that grows above ``burst`` entries bursts, and
+its most frequent word gets a container of its own (a pure one); a pure one
+that grows above it bursts into containers by the second word.  When a task holds
+more than ``entries`` phrases it spills whole subtrees, the largest first, as
+runs sorted by the phrase, one run for each prefix partition.  A partition's
+runs, of all tasks, are then merged in phrase order; what can get no more
+counts leaves the merge at once.
 
 A prefix partition is told by a hash of a phrase's first two words and of a
 salt from the third, so that a very common word or pair of words is dealt
@@ -42,10 +44,11 @@ class Settings:
     inside: int = 50          # percent of its occurrences inside one longer candidate that drop a phrase
     top: int = 2000           # phrases of each language that are returned
     burst: int = 4096         # entries of a container before it bursts
-    entries: int = 1_500_000  # phrases that a task holds before it spills
-    tokens: int = 400_000     # words that are counted before they enter the trie
+    entries: int = 800_000  # phrases that a task holds before it spills
+    tokens: int = 300_000     # words that are counted before they enter the trie
+    shared: int = 128         # word numbers that share a container at first
     salts: int = 16           # third words of one pair go to so many partitions
-    chunk: int = 16_384       # phrases of a piece of a run
+    chunk: int = 32_768       # phrases of a piece of a run
 
 
 class _Numbers(dict):
@@ -57,63 +60,98 @@ class _Numbers(dict):
 
 
 class _Trie:
-    """Counts of packed phrases: first word -> container, or after a burst
-    first word -> second word -> container."""
+    """Counts of packed phrases: containers by number.  ``owner`` gives the
+    container of a first word; a pure one that burst leads on to containers
+    by the second word."""
 
     def __init__(self, s: Settings, bits: int):
-        self.burst_at, self.first, self.second = s.burst, bits * (s.longest - 1), bits * (s.longest - 2)
-        self.roots: dict[int, dict] = {}
-        self.held: dict[int, int] = {}  # entries below each root
-        self.nodes: set[int] = set()    # roots that have burst
+        self.burst_at, self.shared, self.deep = s.burst, s.shared, s.longest > 1
+        self.first, self.second = bits * (s.longest - 1), bits * (s.longest - 2)
+        self.owner = np.zeros(0, np.int64)
+        self.boxes: dict[int, dict] = {}
+        self.held: dict[int, int] = {}  # entries below each container
+        self.words: dict[int, int] = {}  # the word of a pure container
+        self.nodes: set[int] = set()     # pure containers that have burst
         self.size = 0
 
+    def _owners(self, heads: np.ndarray) -> np.ndarray:
+        if len(heads) and heads[-1] >= len(self.owner):  # more words: they share containers
+            more = np.arange(len(self.owner), max(2 * len(self.owner), int(heads[-1]) + 1))
+            self.owner = np.concatenate([self.owner, more // self.shared])
+        return self.owner[heads]
+
     @staticmethod
-    def _put(box: dict, keys: list[int], counts: list[int]) -> int:
-        was = len(box)
-        if not was:
+    def _put(box: dict, keys: list[int], counts: list[int]) -> None:
+        if not box:
             box.update(zip(keys, counts))
-        else:
-            get = box.get
-            for k, c in zip(keys, counts):
-                box[k] = get(k, 0) + c
-        return len(box) - was
+            return
+        get = box.get
+        for k, c in zip(keys, counts):
+            box[k] = get(k, 0) + c
 
     def _put_below(self, node: dict, keys: np.ndarray, counts: np.ndarray) -> int:
         more = 0
-        for seconds, k, c in _segments(keys, counts, self.second):
-            more += self._put(node.setdefault(seconds, {}), k.tolist(), c.tolist())
+        heads = (keys >> self.second) // self.shared  # second words share containers too
+        for seconds, k, c in _segments(heads, keys, counts):
+            box = node.setdefault(seconds, {})
+            more -= len(box)
+            self._put(box, k.tolist(), c.tolist())
+            more += len(box)
         return more
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Distinct packed phrases in rising order, and their counts."""
-        for word, k, c in _segments(keys, counts, self.first):
-            root = self.roots.setdefault(word, {})
-            if word in self.nodes:
-                more = self._put_below(root, k, c)
+        full = set()
+        for at, k, c in _segments(self._owners(keys >> self.first), keys, counts):
+            box = self.boxes.setdefault(at, {})
+            if at in self.nodes:
+                more = self._put_below(box, k, c)
             else:
-                more = self._put(root, k.tolist(), c.tolist())
-                if len(root) > self.burst_at and self.second < self.first:
-                    k, c = _entries(root)
-                    order = np.argsort(k)
-                    self.roots[word] = node = {}
-                    self.nodes.add(word)
-                    self._put_below(node, k[order], c[order])
-            self.held[word] = self.held.get(word, 0) + more
+                more = -len(box)
+                self._put(box, k.tolist(), c.tolist())
+                more += len(box)
+            self.held[at] = self.held.get(at, 0) + more
             self.size += more
+            full.add(at)
+        for at in full:  # when all are in: a burst changes owners
+            if self.held[at] > self.burst_at and at not in self.nodes:
+                self._burst(at)
+
+    def _burst(self, at: int) -> None:
+        k, c = _entries(self.boxes[at])
+        order = np.argsort(k)
+        k, c = k[order], c[order]
+        if at in self.words:
+            if self.deep:
+                self.boxes[at] = node = {}
+                self.nodes.add(at)
+                self._put_below(node, k, c)
+            return
+        heads = k >> self.first
+        words, sizes = np.unique(heads, return_counts=True)
+        for word in words[sizes >= max(1, int(sizes.max()) // 2)].tolist():  # the most frequent ones leave
+            own = heads == word
+            new = -1 - word
+            self.owner[word] = new
+            self.words[new] = word
+            self.boxes[new] = dict(zip(k[own].tolist(), c[own].tolist()))
+            self.held[new] = int(own.sum())
+            k, c, heads = k[~own], c[~own], heads[~own]
+        self.boxes[at], self.held[at] = dict(zip(k.tolist(), c.tolist())), len(k)
 
     def spill(self, upto: int) -> tuple[np.ndarray, np.ndarray]:
         """Whole subtrees, the largest first, until ``upto`` entries stay."""
         keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for word in sorted(self.held, key=self.held.get, reverse=True):
+        for at in sorted(self.held, key=self.held.get, reverse=True):
             if self.size <= upto:
                 break
-            root = self.roots.pop(word)
-            for box in root.values() if word in self.nodes else [root]:
-                k, c = _entries(box)
+            box = self.boxes.pop(at)
+            for part in box.values() if at in self.nodes else [box]:
+                k, c = _entries(part)
                 keys.append(k)
                 counts.append(c)
-            self.nodes.discard(word)
-            self.size -= self.held.pop(word)
+            self.nodes.discard(at)
+            self.size -= self.held.pop(at)
         return np.concatenate(keys), np.concatenate(counts)
 
 
@@ -121,8 +159,8 @@ def _entries(box: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(box.keys(), np.int64, len(box)), np.fromiter(box.values(), np.int64, len(box))
 
 
-def _segments(keys: np.ndarray, counts: np.ndarray, shift: int):
-    heads = keys >> shift
+def _segments(heads: np.ndarray, keys: np.ndarray, counts: np.ndarray):
+    """(head, keys, counts) of neighbours of one head."""
     at = np.flatnonzero(np.diff(heads)) + 1
     bounds = [0, *at.tolist(), len(keys)]
     for a, b in zip(bounds[:-1], bounds[1:]):
@@ -143,6 +181,7 @@ class _Counter:
         self.numbers = _Numbers()
         self.numbers[b"."]  # noqa: B018 - number 0
         self.trie = _Trie(self.s, self.bits)
+        self.hashes, self.control = np.zeros(0, np.uint64), False  # of the words that were spilled
         self.waiting: list[bytes] = []
         self.before: list[bytes] = []  # the last words of the text that is being read
 
@@ -189,7 +228,8 @@ class _Counter:
         if self.waiting:
             yield from self._count(open_end=False)
         yield from self._spilled(0)
-        yield self._run(0, pa.array([b""], pa.large_binary()), np.array([self.words]))  # the words, as the phrase of none
+        none = [np.zeros(1, np.int32)] * self.s.longest
+        yield self._run(0, [b"."], none, np.array([self.words]))  # the words, as the phrase of none
 
     def _spilled(self, upto: int) -> Iterator[pa.RecordBatch]:
         keys, counts = self.trie.spill(upto)
@@ -197,50 +237,54 @@ class _Counter:
             return
         s, b, mask = self.s, self.bits, (1 << self.bits) - 1
         words = list(self.numbers)
-        places = [(keys >> (b * (s.longest - 1 - k))) & mask for k in range(s.longest)]
         # The order of phrases as bytes, from the order of the words.
         rank = np.empty(len(words), np.int64)
         rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(1, len(words) + 1)
         rank[0] = 0
+        places = [((keys >> (b * (s.longest - 1 - k))) & mask).astype(np.int32) for k in range(s.longest)]
         ranked = np.zeros(len(keys), np.int64)
         for p in places:
             ranked = (ranked << b) | rank[p]
-        hashes = word_hashes([w.decode("latin-1") for w in words])
-        dealt = hashes[places[0]]
+        fresh = words[len(self.hashes):]
+        self.control = self.control or any(min(w) < 33 for w in fresh)
+        if self.control:  # control characters sort below the space between words
+            phrases = [_phrase(words, ids) for ids in zip(*places)]
+            ranked = np.empty(len(keys), np.int64)
+            ranked[sorted(range(len(keys)), key=phrases.__getitem__)] = np.arange(len(keys))
+        self.hashes = np.concatenate([self.hashes, word_hashes([w.decode("latin-1") for w in fresh])])
+        dealt = self.hashes[places[0]]
         if s.longest > 1:
-            dealt = mix(dealt + mix(hashes[places[1]] + np.uint64(1)))
+            dealt = mix(dealt + mix(self.hashes[places[1]] + np.uint64(1)))
         if s.longest > 2:
-            dealt = mix(dealt + hashes[places[2]] % np.uint64(s.salts))
+            dealt = mix(dealt + self.hashes[places[2]] % np.uint64(s.salts))
         part = (dealt % np.uint64(self.parts)).astype(np.int64)
         order = np.lexsort((ranked, part))
-        table = pa.array(words, pa.large_binary())
-        lengths = sum((p > 0).astype(np.int64) for p in places)[order]
-        phrases = table.take(pa.array(places[0][order]))
-        for k in range(1, s.longest):
-            longer = pc.binary_join_element_wise(phrases, table.take(pa.array(places[k][order])), pa.scalar(b" ", pa.large_binary()))
-            phrases = pc.if_else(pa.array(lengths > k), longer, phrases)
-        if any(min(w, default=33) < 33 for w in words):  # control characters sort below the space between words
-            again = pc.sort_indices(pa.table({"part": part[order], "phrase": phrases}), [("part", "ascending"), ("phrase", "ascending")])
-            phrases, order = phrases.take(again), order[again.to_numpy()]
-        part, counts = part[order], counts[order]
+        part, counts, places = part[order], counts[order], [p[order] for p in places]
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)]):
             for at in range(a, z, s.chunk):
                 to = min(z, at + s.chunk)
-                yield self._run(int(part[at]), phrases.slice(at, to - at), counts[at:to])
-
-    def _run(self, part: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-        offsets = np.frombuffer(phrases.buffers()[1], np.int64)[phrases.offset:phrases.offset + len(phrases) + 1]
-        data = phrases.buffers()[2]
-        data = data.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes() if data is not None else b""
+                yield self._run(int(part[at]), words, [p[at:to] for p in places], counts[at:to])
+
+    def _run(self, part: int, words: list[bytes], places: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
+        """A piece of a run: its words once, phrases as places among them."""
+        used, ids = np.unique(np.concatenate(places), return_inverse=True)
+        own = [words[k] for k in used.tolist()]
+        lengths = np.fromiter(map(len, own), np.int32, len(own))
+        low = _phrase(words, [p[0] for p in places])
         return pa.RecordBatch.from_arrays([
-            pa.array([part], pa.int32()), pa.array([self.lang], pa.string()), pa.array([phrases[0].as_py()], pa.binary()),
-            pa.array([data], pa.binary()), pa.array([np.diff(offsets).astype(np.int32).tobytes()], pa.binary()),
-            pa.array([np.asarray(counts, np.int64).tobytes()], pa.binary())],
-            ["part", "lang", "low", "data", "lengths", "counts"])
+            pa.array([part], pa.int32()), pa.array([self.lang], pa.string()), pa.array([low], pa.binary()),
+            pa.array([b"".join(own)], pa.binary()), pa.array([lengths.tobytes()], pa.binary()),
+            pa.array([ids.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes()], pa.binary()),
+            pa.array([np.asarray(counts, np.int32 if counts.max() < 1 << 31 else np.int64).tobytes()], pa.binary())],
+            ["part", "lang", "low", "data", "lengths", "ids", "counts"])
+
 
+def _phrase(words: list[bytes], ids) -> bytes:
+    return b" ".join(words[k] for k in ids if k)
 
-_RUN = "part int, lang string, low binary, data binary, lengths binary, counts binary"
+
+_RUN = "part int, lang string, low binary, data binary, lengths binary, ids binary, counts binary"
 _COUNTS = "lang string, phrase string, words int, f long"
 
 
@@ -266,16 +310,27 @@ def runs(docs: DataFrame, s: Settings, parts: int) -> DataFrame:
     return docs.select(text.alias("text"), lang.alias("lang")).mapInArrow(count, _RUN)
 
 
-def _read(row: dict) -> pa.Table:
+def _read(row: dict, longest: int) -> pa.Table:
     ends = np.cumsum(np.append(0, np.frombuffer(row["lengths"], np.int32)), dtype=np.int64)
-    phrases = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(row["data"])])
-    return pa.table({"phrase": phrases, "f": np.frombuffer(row["counts"], np.int64)})
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(row["data"])])
+    ids = np.frombuffer(row["ids"], np.uint16 if len(ends) - 1 <= 1 << 16 else np.uint32).reshape(longest, -1)
+    counts = np.frombuffer(row["counts"], np.int32 if len(row["counts"]) == 4 * ids.shape[1] else np.int64).astype(np.int64)
+    space, phrases = pa.scalar(b" ", pa.large_binary()), None
+    none = len(ends) > 1 and row["data"][: ends[1]] == b"."  # the end of a piece stands for no word
+    for place in ids:
+        word = words.take(pa.array(place.astype(np.int32)))
+        if phrases is None:
+            phrases = pc.if_else(pa.array(place > 0), word, pa.scalar(b"", pa.large_binary())) if none else word
+        else:
+            longer = pc.binary_join_element_wise(phrases, word, space)
+            phrases = pc.if_else(pa.array(place > 0), longer, phrases) if none else longer
+    return pa.table({"phrase": phrases, "f": counts})
 
 
 def merged(found: DataFrame, s: Settings, tasks: int) -> DataFrame:
     """(lang, phrase, words, f) of phrases that occur ``least`` times or more
     (and the words of each language, as the phrase of none)."""
-    least, chunk = s.least, s.chunk
+    least, chunk, longest = s.least, s.chunk, s.longest
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, size = None, [], 0
@@ -307,7 +362,7 @@ def merged(found: DataFrame, s: Settings, tasks: int) -> DataFrame:
                     held = [t.filter(pc.invert(done))]
                     size = held[0].num_rows
                     limit = max(64 * chunk, 2 * size)
-                held.append(_read(row))
+                held.append(_read(row, longest))
                 size += held[-1].num_rows
         if held:
             yield out(added())
@@ -320,7 +375,7 @@ def phrase_counts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(lang, phrase, words, f) of every phrase of ``least`` occurrences or
     more; the phrase of no words has the count of all words of the language."""
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return merged(runs(docs, s, 4 * tasks), s, tasks)
+    return merged(runs(docs, s, tasks), s, tasks)
 
 
 def collocations(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

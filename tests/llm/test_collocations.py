@@ -92,12 +92,14 @@ def test_counts_whose_product_passes_64_bits(spark):
 
 
 def test_trie_bursts_and_spills_whole_subtrees():
-    t = collocations._Trie(Settings(burst=4), 21)
-    keys = np.array([(w << 42) | (x << 21) for w in (1, 2) for x in range(1, 4 * w)], np.int64)
-    t.add(keys, np.ones(len(keys), np.int64))
+    t = collocations._Trie(Settings(burst=4, shared=2), 21)
+    keys = np.array([(w << 42) | (x << 21) for w in (1, 2, 3) for x in range(1, 4 * w)], np.int64)
+    for _ in range(2):
+        t.add(keys, np.ones(len(keys), np.int64))
+    assert set(t.words.values()) == {2, 3} and t.nodes  # frequent words have containers of their own, and these burst
     t.add(keys[:2], np.array([5, 6]))
-    assert t.nodes == {2} and t.size == len(keys)  # only the larger container burst
-    k, c = t.spill(4)
-    assert {int(x) >> 42 for x in k} == {2} and t.size == 3  # the largest subtree went whole
-    k, c = t.spill(0)
-    assert dict(zip(k.tolist(), c.tolist())) == {int(keys[0]): 6, int(keys[1]): 7, int(keys[2]): 1}
+    want = dict.fromkeys(keys.tolist(), 2) | {int(keys[0]): 7, int(keys[1]): 8}
+    k, c = t.spill(12)
+    assert {int(x) >> 42 for x in k} == {3} and t.size == len(keys) - len(k)  # the largest subtree went whole
+    rest, more = t.spill(0)
+    assert dict(zip(np.append(k, rest).tolist(), np.append(c, more).tolist())) == want and t.size == 0

@@ -45,7 +45,7 @@ class Settings:
     top: int = 2000           # phrases of each language that are returned
     burst: int = 4096         # entries of a container before it bursts
     entries: int = 800_000  # phrases that a task holds before it spills
-    tokens: int = 300_000     # words that are counted before they enter the trie
+    bytes: int = 2_000_000    # of text that is counted before it enters the trie
     shared: int = 128         # word numbers that share a container at first
     salts: int = 16           # third words of one pair go to so many partitions
     chunk: int = 32_768       # phrases of a piece of a run
@@ -175,40 +175,39 @@ class _Counter:
         self.lang, self.s, self.parts = lang, s, parts
         self.bits = 63 // s.longest
         self.words = 0
-        self._begin()
-
-    def _begin(self) -> None:
-        self.numbers = _Numbers()
-        self.numbers[b"."]  # noqa: B018 - number 0
-        self.trie = _Trie(self.s, self.bits)
+        self.numbers, self.trie = _Numbers({b".": 0}), _Trie(s, self.bits)
         self.hashes, self.control = np.zeros(0, np.uint64), False  # of the words that were spilled
         self.waiting: list[bytes] = []
-        self.before: list[bytes] = []  # the last words of the text that is being read
+        self.size = 0                   # bytes that wait
+        self.before: list[bytes] = []   # the last words of the text that is being read
 
     def feed(self, text: str) -> Iterator[pa.RecordBatch]:
         data = text.encode("utf-8", "surrogatepass").translate(_TABLE).replace(b".", b" . ")
-        at, step = 0, 8 * self.s.tokens
+        at, step = 0, self.s.bytes
         while at < len(data):  # very long texts in pieces that end between words
             end = len(data) if at + step >= len(data) else data.find(b" ", at + step)
             end = len(data) if end < 0 else end
-            self.waiting += data[at:end].split()
+            self.waiting.append(data[at:end])
+            self.size += end - at
             at = end
-            if len(self.waiting) >= self.s.tokens:
+            if self.size >= step:
                 yield from self._count(open_end=at < len(data))
         self.waiting.append(b".")
 
     def _count(self, open_end: bool) -> Iterator[pa.RecordBatch]:
         s, b = self.s, self.bits
-        if len(self.numbers) + len(self.waiting) >= 1 << b:  # numbers would not fit
-            yield from self._spilled(0)
-            kept, seen = self.waiting, self.before
-            self._begin()
-            self.waiting, self.before = kept, seen
         skip = len(self.before)  # read before: only phrases that end in later words are new
-        words = self.before + self.waiting
-        ids = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        self.before = words[-(s.longest - 1):] if open_end and s.longest > 1 else []
-        self.waiting = []
+        text = pa.array([b" ".join(self.before + self.waiting)], pa.large_binary())
+        self.waiting, self.size = [], 0
+        words = pc.split_pattern(text, pattern=" ").flatten()
+        words = words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
+        known, words = words.dictionary.to_pylist(), words.indices.to_numpy()
+        self.before = [known[k] for k in words[len(words) - s.longest + 1:].tolist()] if open_end and s.longest > 1 else []
+        if len(self.numbers) + len(known) >= 1 << b:  # numbers would not fit
+            yield from self._spilled(0)
+            self.trie, self.numbers = _Trie(s, b), _Numbers({b".": 0})
+            self.hashes, self.control = np.zeros(0, np.uint64), False
+        ids = np.fromiter(map(self.numbers.__getitem__, known), np.int64, len(known))[words]
         full = ids > 0
         self.words += int(full[skip:].sum())
         grams = []
@@ -222,33 +221,33 @@ class _Counter:
             grams.append(key[ok])
         self.trie.add(*np.unique(np.concatenate(grams), return_counts=True))
         if self.trie.size > s.entries:
-            yield from self._spilled(s.entries // 2)
+            yield from self._spilled(s.entries // 4)
 
     def end(self) -> Iterator[pa.RecordBatch]:
         if self.waiting:
             yield from self._count(open_end=False)
         yield from self._spilled(0)
         none = [np.zeros(1, np.int32)] * self.s.longest
-        yield self._run(0, [b"."], none, np.array([self.words]))  # the words, as the phrase of none
+        yield self._run(0, pa.array([b"."], pa.large_binary()), none, np.array([self.words]))  # the words, as the phrase of none
 
     def _spilled(self, upto: int) -> Iterator[pa.RecordBatch]:
         keys, counts = self.trie.spill(upto)
         if not len(keys):
             return
         s, b, mask = self.s, self.bits, (1 << self.bits) - 1
-        words = list(self.numbers)
+        words = pa.array(list(self.numbers), pa.large_binary())
         # The order of phrases as bytes, from the order of the words.
         rank = np.empty(len(words), np.int64)
-        rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(1, len(words) + 1)
+        rank[pc.sort_indices(words).to_numpy()] = np.arange(1, len(words) + 1)
         rank[0] = 0
         places = [((keys >> (b * (s.longest - 1 - k))) & mask).astype(np.int32) for k in range(s.longest)]
         ranked = np.zeros(len(keys), np.int64)
         for p in places:
             ranked = (ranked << b) | rank[p]
-        fresh = words[len(self.hashes):]
+        fresh = words.slice(len(self.hashes)).to_pylist()
         self.control = self.control or any(min(w) < 33 for w in fresh)
         if self.control:  # control characters sort below the space between words
-            phrases = [_phrase(words, ids) for ids in zip(*places)]
+            phrases = [_phrase(words, ids) for ids in zip(*(p.tolist() for p in places))]
             ranked = np.empty(len(keys), np.int64)
             ranked[sorted(range(len(keys)), key=phrases.__getitem__)] = np.arange(len(keys))
         self.hashes = np.concatenate([self.hashes, word_hashes([w.decode("latin-1") for w in fresh])])
@@ -257,34 +256,50 @@ class _Counter:
             dealt = mix(dealt + mix(self.hashes[places[1]] + np.uint64(1)))
         if s.longest > 2:
             dealt = mix(dealt + self.hashes[places[2]] % np.uint64(s.salts))
-        part = (dealt % np.uint64(self.parts)).astype(np.int64)
-        order = np.lexsort((ranked, part))
-        part, counts, places = part[order], counts[order], [p[order] for p in places]
+        part = (dealt % np.uint64(self.parts)).astype(np.uint16 if self.parts <= 1 << 16 else np.int64)
+        order = np.argsort(ranked)
+        order = order[np.argsort(part[order], kind="stable")]
+        part, counts, places = part[order].astype(np.int64), counts[order], [p[order] for p in places]
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)]):
             for at in range(a, z, s.chunk):
                 to = min(z, at + s.chunk)
                 yield self._run(int(part[at]), words, [p[at:to] for p in places], counts[at:to])
 
-    def _run(self, part: int, words: list[bytes], places: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
+    def _run(self, part: int, words: pa.Array, places: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
         """A piece of a run: its words once, phrases as places among them."""
-        used, ids = np.unique(np.concatenate(places), return_inverse=True)
-        own = [words[k] for k in used.tolist()]
-        lengths = np.fromiter(map(len, own), np.int32, len(own))
-        low = _phrase(words, [p[0] for p in places])
+        here = np.zeros(len(words), bool)
+        for p in places:
+            here[p] = True
+        used = np.flatnonzero(here)
+        to = np.empty(len(words), np.uint16 if len(used) <= 1 << 16 else np.uint32)
+        to[used] = np.arange(len(used))
+        ids = b"".join(to[p].tobytes() for p in places)
+        own = words.take(pa.array(used))
+        data = own.buffers()[2]
+        lengths = np.diff(np.frombuffer(own.buffers()[1], np.int64)[: len(used) + 1])
+        counts = np.asarray(counts, np.int32 if counts.max() < 1 << 31 else np.int64)
+        low = _phrase(words, [int(p[0]) for p in places])
         return pa.RecordBatch.from_arrays([
             pa.array([part], pa.int32()), pa.array([self.lang], pa.string()), pa.array([low], pa.binary()),
-            pa.array([b"".join(own)], pa.binary()), pa.array([lengths.tobytes()], pa.binary()),
-            pa.array([ids.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes()], pa.binary()),
-            pa.array([np.asarray(counts, np.int32 if counts.max() < 1 << 31 else np.int64).tobytes()], pa.binary())],
-            ["part", "lang", "low", "data", "lengths", "ids", "counts"])
+            pa.array([len(counts)], pa.int32()), *(_squeezed(x) for x in (data.to_pybytes() if data else b"", lengths.astype(np.int32).tobytes(), ids, counts.tobytes()))],
+            ["part", "lang", "low", "n", "data", "lengths", "ids", "counts"])
+
+
+def _squeezed(x: bytes) -> pa.Array:
+    """Length and compressed bytes."""
+    return pa.array([len(x).to_bytes(8, "little") + pa.compress(x, "zstd", asbytes=True)], pa.binary())
+
+
+def _opened(x: bytes) -> bytes:
+    return pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True)
 
 
-def _phrase(words: list[bytes], ids) -> bytes:
-    return b" ".join(words[k] for k in ids if k)
+def _phrase(words: pa.Array, ids) -> bytes:
+    return b" ".join(words[k].as_py() for k in ids if k)
 
 
-_RUN = "part int, lang string, low binary, data binary, lengths binary, ids binary, counts binary"
+_RUN = "part int, lang string, low binary, n int, data binary, lengths binary, ids binary, counts binary"
 _COUNTS = "lang string, phrase string, words int, f long"
 
 
@@ -294,13 +309,13 @@ def runs(docs: DataFrame, s: Settings, parts: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, _Counter] = {}
         for b in batches:
-            for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
+            for text, lang in zip(b.column("text"), b.column("lang").to_pylist()):
                 if lang not in counters:
                     counters[lang] = _Counter(lang, s, parts)
-                yield from counters[lang].feed(text)
+                yield from counters[lang].feed(text.as_py())
             # Languages share the room: the fullest one is counted, or spills.
-            while sum(len(c.waiting) for c in counters.values()) > 2 * s.tokens:
-                yield from max(counters.values(), key=lambda c: len(c.waiting))._count(open_end=False)
+            while sum(c.size for c in counters.values()) > 2 * s.bytes:
+                yield from max(counters.values(), key=lambda c: c.size)._count(open_end=False)
             while sum(c.trie.size for c in counters.values()) > s.entries:
                 yield from max(counters.values(), key=lambda c: c.trie.size)._spilled(0)
         for c in counters.values():
@@ -311,12 +326,13 @@ def runs(docs: DataFrame, s: Settings, parts: int) -> DataFrame:
 
 
 def _read(row: dict, longest: int) -> pa.Table:
-    ends = np.cumsum(np.append(0, np.frombuffer(row["lengths"], np.int32)), dtype=np.int64)
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(row["data"])])
-    ids = np.frombuffer(row["ids"], np.uint16 if len(ends) - 1 <= 1 << 16 else np.uint32).reshape(longest, -1)
-    counts = np.frombuffer(row["counts"], np.int32 if len(row["counts"]) == 4 * ids.shape[1] else np.int64).astype(np.int64)
+    data, lengths, ids, counts = (_opened(row[c]) for c in ("data", "lengths", "ids", "counts"))
+    ends = np.cumsum(np.append(0, np.frombuffer(lengths, np.int32)), dtype=np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+    ids = np.frombuffer(ids, np.uint16 if len(ends) - 1 <= 1 << 16 else np.uint32).reshape(longest, -1)
+    counts = np.frombuffer(counts, np.int32 if len(counts) == 4 * row["n"] else np.int64).astype(np.int64)
     space, phrases = pa.scalar(b" ", pa.large_binary()), None
-    none = len(ends) > 1 and row["data"][: ends[1]] == b"."  # the end of a piece stands for no word
+    none = data[: ends[1]] == b"."  # the end of a piece stands for no word
     for place in ids:
         word = words.take(pa.array(place.astype(np.int32)))
         if phrases is None:
@@ -347,13 +363,13 @@ def merged(found: DataFrame, s: Settings, tasks: int) -> DataFrame:
             t = pa.concat_tables(held).group_by("phrase").aggregate([("f", "sum")])
             return t.select(["phrase", "f_sum"]).rename_columns(["phrase", "f"])
 
-        limit = 64 * chunk
+        limit = 16 * chunk
         for b in batches:
             for row in b.to_pylist():
                 if (row["part"], row["lang"]) != key:
                     if held:
                         yield out(added())
-                    key, held, size, limit = (row["part"], row["lang"]), [], 0, 64 * chunk
+                    key, held, size, limit = (row["part"], row["lang"]), [], 0, 16 * chunk
                 elif size > limit:
                     t = added()
                     # Runs come in the order of their first phrases: below this one nothing more can come.
@@ -361,7 +377,7 @@ def merged(found: DataFrame, s: Settings, tasks: int) -> DataFrame:
                     yield out(t.filter(done))
                     held = [t.filter(pc.invert(done))]
                     size = held[0].num_rows
-                    limit = max(64 * chunk, 2 * size)
+                    limit = max(16 * chunk, 2 * size)
                 held.append(_read(row, longest))
                 size += held[-1].num_rows
         if held:
@@ -375,7 +391,7 @@ def phrase_counts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(lang, phrase, words, f) of every phrase of ``least`` occurrences or
     more; the phrase of no words has the count of all words of the language."""
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return merged(runs(docs, s, tasks), s, tasks)
+    return merged(runs(docs, s, 2 * tasks), s, tasks)
 
 
 def collocations(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

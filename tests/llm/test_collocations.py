@@ -58,9 +58,9 @@ def texts():
 
 @pytest.mark.parametrize("s", [
     Settings(),
-    Settings(entries=300, tokens=64, burst=8, chunk=16, salts=2),  # spills, bursts and cuts inside texts
-    Settings(longest=2, least=3, inside=60, top=5, entries=50, tokens=10, burst=4, chunk=4),
-    Settings(longest=4, least=4, entries=1000, tokens=500, burst=2),
+    Settings(entries=300, bytes=300, burst=8, chunk=16, salts=2),  # spills, bursts and cuts inside texts
+    Settings(longest=2, least=3, inside=60, top=5, entries=50, bytes=40, burst=4, chunk=4),
+    Settings(longest=4, least=4, entries=1000, bytes=3000, burst=2),
 ])
 def test_collocations_equal_plain_counts(spark, s):
     rows = list(texts())

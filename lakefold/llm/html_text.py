@@ -3,8 +3,10 @@
 A page becomes a tree of elements.  Paragraphs pass points for their length
 and commas to their ancestors, less with every level; a container's points
 are discounted by the share of its text that is inside links.  The best
-container is kept, with those siblings that score well or read like prose;
-parts that are no article by element, role or name are left out.
+container is kept, or the article or main part that it is in, with those
+siblings that read like prose by their own size.  Parts that are no article by
+element, role or a sure name are left out; a name that may mean anything
+("search-tips", "legal") costs points, and the part only if it is no prose.
 
 The tree is a small per-page helper; pages are independent rows.
 """
@@ -50,8 +52,10 @@ _OTHER = re.compile(
     r"related\w*|recommend\w*|popular|trending|tags?|tagcloud|pagination|pager|print|search\w*|copyright|legal|hidden|skip\w*)(?:$|[\s_-])", re.I)
 _OWN = re.compile(r"(?:^|[\s_-])(?:article\w*|body|content|entry\w*|hentry|main|page|post\w*|story\w*|text|blog)(?:$|[\s_-])", re.I)
 _SURE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|comments?|commentlist|replies|reply|respond|sidebar|footer|nav|navigation|menu|share|sharing|"
-    r"social|related|notice|cookies?|banner|newsletter|subscribe|breadcrumbs?|promo|hidden)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|comments?|commentlist|disqus|replies|reply|respond|sidebar|footer|nav|navigation|menu|share|"
+    r"sharing|social|related|notice|cookies?|consent|gdpr|banner|newsletter|subscribe|signup|login|register|breadcrumbs?|promo|popup|modal|overlay|"
+    r"pagination|pager|tagcloud|trending|popular|hidden)(?:$|[\s_-])", re.I)
+_MODIFIER = re.compile(r"(?:^|(?<=\s))(?:has|with|no|without|not)[_-][^\s]*", re.I)  # "has-sidebar" says what stands elsewhere
 _PHRASE = frozenset("p a b i em strong span h1 h2 h3 h4 h5 h6 pre blockquote td li".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
 
@@ -64,11 +68,11 @@ _TAG_START = re.compile(r"<(?=[A-Za-z/!?])")
 
 
 class Node:
-    __slots__ = ("name", "attrs", "kids", "up", "points", "size", "linked", "commas", "order")
+    __slots__ = ("name", "attrs", "kids", "up", "points", "size", "linked", "commas", "order", "weak")
 
     def __init__(self, name: str, up: Node | None, attrs: str = ""):
         self.name, self.up, self.attrs, self.kids = name, up, attrs, []
-        self.points = 0.0
+        self.points, self.weak = 0.0, False
         self.size = self.linked = self.commas = 0
 
     def named(self) -> dict[str, str]:
@@ -146,8 +150,23 @@ def parse(page: str) -> Node:
     return root
 
 
+def _within(node: Node, names: tuple[str, ...]) -> bool:
+    up = node.up
+    while up is not None and up.name not in names:
+        up = up.up
+    return up is not None
+
+
+def _within(node: Node, names: tuple[str, ...]) -> bool:
+    up = node.up
+    while up is not None and up.name not in names:
+        up = up.up
+    return up is not None
+
+
 def _dropped(node: Node) -> bool:
-    """Parts that are no article, by element, role or name."""
+    """Parts that are no article, by element, role or sure name; a node with
+    an unsure name is marked ``weak``."""
     if node.name in DROPPED:
         return True
     if node.name in ("body", "html", "main"):
@@ -159,27 +178,56 @@ def _dropped(node: Node) -> bool:
     if "display:none" in style or "visibility:hidden" in style:
         return True
     if node.name == "header":
-        # The page's header; an article's own one holds its headline.
-        up = node.up
-        while up is not None and up.name not in ("article", "main"):
-            up = up.up
-        return up is None
-    names = f"{named.get('class', '')} {named.get('id', '')}"
+        return not _within(node, ("article", "main"))  # the page's header; an article's own one holds its headline
+    names = _MODIFIER.sub(" ", f"{named.get('class', '')} {named.get('id', '')}")
     if not names.strip():
         return False
-    if node.name in _PHRASE:
-        return bool(_SURE.search(names))
-    if node.name == "article" or _OWN.search(names):  # an article's name next to another one's: only the plain cases
-        return bool(_SURE.search(names))
-    return bool(_OTHER.search(names))
+    if _SURE.search(names):
+        return not _holds(node, ("article", "main"))  # a wrapper of the article is none of these
+    node.weak = node.name not in _PHRASE and node.name != "article" and not _OWN.search(names) and bool(_OTHER.search(names))
+    return False
+
+
+def _holds(node: Node, names: tuple[str, ...]) -> bool:
+    stack = [k for k in node.kids if not isinstance(k, str)]
+    while stack:
+        cur = stack.pop()
+        if cur.name in names:
+            return True
+        stack += [k for k in cur.kids if not isinstance(k, str)]
+    return False
 
 
 def _prune(node: Node) -> None:
-    stack = [node]
+    stack, weak = [node], []
     while stack:
         cur = stack.pop()
         cur.kids = [k for k in cur.kids if isinstance(k, str) or k.name in ("br", "hr") or not _dropped(k)]
         stack += [k for k in cur.kids if not isinstance(k, str)]
+        weak += [k for k in cur.kids if not isinstance(k, str) and k.weak]
+    for cur in weak:  # an unsure name goes with a part that does not read like one of the article
+        order = _measure(cur)
+        long_, size = _prose(cur)
+        inside = _within(cur, ("article", "main"))
+        if cur.up is not None and (_link_share(cur) >= 0.3 or size < 100 or not (inside or long_ >= 2 or size >= 400)):
+            cur.up.kids = [k for k in cur.up.kids if k is not cur]
+        for n in order:
+            n.size = n.linked = n.commas = 0  # measured again with the page
+
+
+def _prose(node: Node) -> tuple[int, int]:
+    """Text blocks of 80 characters or more with few links below (and at) a
+    measured node: how many, and their size together."""
+    many = size = 0
+    stack = [node]
+    while stack:
+        cur = stack.pop()
+        if cur.name in BLOCK and cur.name not in HEADINGS and _own_text(cur):
+            own = sum(len("".join(k.split())) if isinstance(k, str) else k.size for k in cur.kids if isinstance(k, str) or k.name not in BLOCK)
+            if own >= 80 and _link_share(cur) < 0.3:
+                many, size = many + 1, size + own
+        stack += [k for k in cur.kids if not isinstance(k, str)]
+    return many, size
 
 
 def _measure(root: Node) -> list[Node]:
@@ -233,6 +281,8 @@ def _score(order: list[Node]) -> Node | None:
         named = node.named()
         if _OWN.search(f"{named.get('class', '')} {named.get('id', '')} {named.get('itemprop', '')}") or named.get("role") in ("main", "article"):
             base += 5.0
+        if node.weak:
+            base -= 5.0
         total = (node.points + base) * (1 - _link_share(node))
         node.points = total
         if total > most:
@@ -241,25 +291,47 @@ def _score(order: list[Node]) -> Node | None:
 
 
 def _kept(best: Node) -> list[Node | str]:
-    """The article or main part around the best container; without one, the
-    widest container with few links and all that stands beside it but links."""
-    while best.up is not None and best.up.name not in ("body", "html") and best.up.size and best.size >= 0.95 * best.up.size:
-        best = best.up  # a wrapper adds nothing but, say, the headline
-    # The article that the container is a part of, or the page's main part.
+    """The article or main part around the best container, with its headline;
+    without one, the container and all beside it, level by level, that reads
+    like the article by its own size."""
     up = [best]
     while up[-1].up is not None and up[-1].up.name not in ("body", "html"):
         up.append(up[-1].up)
     whole = next((u for u in up if u.name == "article"), None) or next((u for u in up if u.name == "main"), None)
     if whole is not None and _link_share(whole) < 0.3:
-        best = whole
-    elif whole is None:
-        for u in up[1:]:
-            if _link_share(u) >= 0.3:
-                break
-            best = u
-    if best.up is None or best.name in ("body", "html", "main"):
-        return [best]
-    return [k for k in best.up.kids if k is best or isinstance(k, str) or k.size and _link_share(k) < 0.3]
+        before = whole.up.kids[:whole.up.kids.index(whole)] if whole.up is not None and whole.name == "article" else []
+        more = [k for k in (whole.up.kids if before or whole.name == "article" else []) if k is not whole and not isinstance(k, str)]
+        heads = [k for k in more if k in before and k.name in ("h1", "h2", "hgroup") and _link_share(k) < 0.3]
+        parts = [k for k in more if k.name in ("article", "section") and not k.weak and _reads(k)]
+        return [k for k in (whole.up.kids if whole.up is not None else [whole]) if k is whole or k in heads or k in parts]
+    kept: list[Node | str] = [best]
+    for u in up:
+        if u.up is None:
+            break
+        at = u.up.kids.index(u)
+        left = [k for k in u.up.kids[:at] if _beside(k)]
+        right = [k for k in u.up.kids[at + 1:] if _beside(k)]
+        kept = [*left, *kept, *right]
+        if u.up.name in ("body", "html"):
+            break
+    return kept
+
+
+def _reads(node: Node) -> bool:
+    """Whether most of a part is prose, in two paragraphs or a long one."""
+    many, size = _prose(node)
+    return _link_share(node) < 0.3 and (many >= 2 or size >= 200) and 2 * size >= node.size
+
+
+def _beside(k: Node | str) -> bool:
+    """Whether what stands beside the best container belongs to the article."""
+    if isinstance(k, str):
+        return bool(k.strip())
+    if not k.size or k.weak or _link_share(k) >= 0.3:
+        return False
+    if k.name in HEADINGS or k.name in ("hgroup", "p", "pre", "blockquote", "figure", "table", "ul", "ol", "dl") or k.name not in BLOCK:
+        return True
+    return _reads(k)
 
 
 def _text(nodes: list[Node | str]) -> str:
@@ -272,13 +344,41 @@ def _text(nodes: list[Node | str]) -> str:
             pieces.append(cur)
         elif cur.name in BLOCK:
             lists = cur.name in ("ul", "ol", "table", "tr", "td", "div", "section") and cur.size and _link_share(cur) > 0.6
-            if not lists:  # lists of links are menus
+            if not lists or _sources(cur):  # lists of links are menus
                 stack += ["\n", *reversed(cur.kids), "\n"]
         else:
             stack += reversed(cur.kids)
     return " ".join("".join(pieces).split())
 
 
+def _sources(node: Node) -> bool:
+    """Links of an article that are named at length: its sources, not a menu."""
+    if not _within(node, ("article", "main")):
+        return False
+    links, stack = [], [node]
+    while stack:
+        cur = stack.pop()
+        if cur.name == "a":
+            links.append(cur.size)
+        else:
+            stack += [k for k in cur.kids if not isinstance(k, str)]
+    return bool(links) and sum(links) >= 18 * len(links)
+
+
+def _sources(node: Node) -> bool:
+    """Links of an article that are named at length: its sources, not a menu."""
+    if not _within(node, ("article", "main")):
+        return False
+    links, stack = [], [node]
+    while stack:
+        cur = stack.pop()
+        if cur.name == "a":
+            links.append(cur.size)
+        else:
+            stack += [k for k in cur.kids if not isinstance(k, str)]
+    return bool(links) and sum(links) >= 18 * len(links)
+
+
 def main_text(page: str | None) -> str:
     """The article of a page; empty for null and empty pages, and for those
     without any text outside menus and the like."""
@@ -302,6 +402,8 @@ def extracted(page: Column) -> Column:
 
 
 def report(pages: DataFrame) -> DataFrame:
-    """Per page: page_id, url, text, n_chars.  Repeated rows are each returned."""
+    """Per page: page_id, url, text, n_chars.  A null or empty page has an empty
+    text; repeated rows are each returned; other columns, also of these names,
+    are left alone; an empty table gives an empty result."""
     out = pages.select("page_id", "url", extracted(F.col("html")).alias("text"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

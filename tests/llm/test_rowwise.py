@@ -191,6 +191,37 @@ def test_main_text_keeps_all_parts_of_long_articles():
     assert html_text.main_text(f"<html><body>{menu}{inner}{menu}</body></html>") == want
 
 
+BODY = "".join(f"<p>{k} {PROSE}</p>" for k in range(6))
+READ = " ".join(f"{k} {PROSE}".strip() for k in range(6))
+TEASER = "<div><h3>Read next</h3><p>The new one, see here, is short.</p></div><div><b>Jane Doe</b> writes on things.</div>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='research search-tips'>{BODY}</div>", READ), (f"<div id='copyright-law'>{BODY}</div>", READ),
+    (f"<div class='page has-sidebar'>{BODY}</div><div class=sidebar><p>{PROSE}</p></div>", READ),
+    (f"<div class='nav-open'><article>{BODY}</article></div><div class=legal><p>All rights, and more.</p></div>", READ),
+    (f"<article>{BODY}<div class=review><p>{PROSE}</p></div><div class=legal><p>{PROSE}</p></div><section class=print><p>{PROSE}</p></section></article>",
+     READ + f" {PROSE}" * 3),
+    (f"<article><h1>H</h1>{BODY}</article>{TEASER}", "H " + READ), (f"<h1>H</h1><article>{BODY}</article>{TEASER}", "H " + READ),
+    (f"<div class=wrap><div class=text><h1>H</h1>{BODY}</div>{TEASER}</div>", "H " + READ),
+    (f"<article>{BODY}<h2>Sources</h2><ul><li><a href=a>A long title of some study</a></li><li><a href=b>Another long title of a study</a></li></ul>"
+     "<ul><li><a href=c>Home</a></li><li><a href=d>More</a></li></ul></article>",
+     READ + " Sources A long title of some study Another long title of a study"),
+    (f"<div class=text>{BODY}</div><div class=search><p>Find, or look for, pages.</p></div>", READ),
+])
+def test_names_and_neighbours(page, want):
+    assert html_text.main_text(page) == " ".join(want.split())
+
+
+def test_page_report_with_repeats_clashing_columns_and_nothing(spark):
+    rows = [(1, "u", f"<article><p>{PROSE}</p></article>", "mine", 5), (1, "u", None, "mine", 5), (None, None, "", None, None)]
+    pages = spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string, text string, n_chars int")
+    got = [tuple(r) for r in html_text.report(pages).collect()]
+    one = (1, "u", PROSE.strip(), len(PROSE.strip()))
+    assert got == [one, (1, "u", "", 0), (None, None, "", 0), one]
+    assert html_text.report(pages.limit(0)).collect() == []
+
+
 def test_pages_of_the_tables_give_their_articles(spark):
     import html
 

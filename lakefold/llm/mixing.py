@@ -6,11 +6,12 @@ again by weight.  A document is then expected ``e`` times, ``e`` being its
 source's target over its size (times the document's own weight, if given).
 Whole copies, floor(e), are certain.  For the rest, documents are ranked by
 random odds over inclusion odds, (u / (1 - u)) / (p / (1 - p)) with
-p = e - floor(e), and taken in that order as long as they fit the words that
-the source still lacks; the best-fitting document left closes the gap.
+p = e - floor(e), and taken in that order if they fit the words that the
+source still lacks; what does not fit is passed over, until nothing is left
+that fits.
 
 Nothing sorts a source in one task: the rank is cut into fine cells whose
-word counts are added first, and only the cell that holds the cut is read
+word counts are added first, and only the cell that holds a cut is read
 row by row.  ``u`` is a hash of id and text, so reruns agree, and repeated
 rows are drawn alike.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from lakefold.llm.common import WORD, stored
 
 CELLS = 1 << 16
+FEW_SOURCES = 50_000  # rows of a table of sources that is broadcast at most
 
 
 def word_count(text: Column) -> Column:
@@ -76,49 +78,75 @@ def sized(docs: DataFrame, weight_col: str | None = None, seed: str = "") -> Dat
     return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw(seed=seed).alias("u"), weight.alias("weight"))
 
 
-def cuts(sizes: DataFrame, weights: list[float], total: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """One row a source: target, and up to which rank its documents are taken."""
-    t = stored(targets(sizes, weights, total, cap), "targets")
-    rows = _ranked(sizes.join(t.withColumnRenamed("source", "s"), sizes["source"].eqNullSafe(F.col("s"))).drop("s"), cap)
-    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.sum(F.col("size") * F.col("whole")).alias("certain"))
-    cells = stored(cells, "cells")  # at most CELLS + 1 rows a source
-    lack = cells.groupBy("source").agg(F.sum("certain").alias("certain"))
-    lack = t.join(lack.withColumnRenamed("source", "s"), t["source"].eqNullSafe(F.col("s")), "left").drop("s")
-    lack = lack.withColumn("lack", F.col("target") - F.coalesce("certain", F.lit(0)))
-    run = F.sum("words").over(Window.partitionBy("source").orderBy("cell"))
-    full = cells.filter("cell IS NOT NULL").withColumn("upto", run)
-    full = full.join(lack.select(F.col("source").alias("s"), "lack"), full["source"].eqNullSafe(F.col("s"))).drop("s")
-    fit = full.groupBy("source").agg(
-        F.min(F.when(F.col("upto") > F.col("lack"), F.col("cell"))).alias("cut_cell"),
-        F.coalesce(F.max(F.when(F.col("upto") <= F.col("lack"), F.col("upto"))), F.lit(0)).alias("below"))
-    cut = lack.join(fit.withColumnRenamed("source", "s"), lack["source"].eqNullSafe(F.col("s")), "left").drop("s")
-    cut = stored(cut.withColumns({"cut_cell": F.coalesce("cut_cell", F.lit(CELLS)), "below": F.coalesce("below", F.lit(0))}), "cut")
-    # Inside the cell that holds the cut.
-    at = cut.select(F.col("source").alias("s"), "cut_cell", "below", "lack")
-    inside = rows.join(at, rows["source"].eqNullSafe(F.col("s")) & (rows["cell"] == F.col("cut_cell"))).drop("s")
-    upto = F.col("below") + F.sum("size").over(Window.partitionBy("source").orderBy("z").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    inside = inside.withColumn("upto", upto).filter("upto <= lack").groupBy("source").agg(F.max("z").alias("z_cut"), F.max("upto").alias("upto"))
-    cut = cut.join(inside.withColumnRenamed("source", "s"), cut["source"].eqNullSafe(F.col("s")), "left").drop("s")
-    cut = stored(cut.withColumn("gap", F.col("lack") - F.coalesce("upto", "below")), "cut")
-    # The largest document that still fits what is lacking.
-    near = cut.select(F.col("source").alias("s"), "cut_cell", "z_cut", "gap")
-    left = rows.join(near, rows["source"].eqNullSafe(F.col("s"))).drop("s")
-    left = left.filter(~_drawn() & (F.col("size") <= F.col("gap")) & F.col("z").isNotNull())
-    last = left.groupBy("source").agg(F.max_by("z", F.struct("size", -F.col("z"))).alias("z_last"))
-    return cut.join(last.withColumnRenamed("source", "s"), cut["source"].eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "weighed", "target", "cut_cell", "z_cut", "z_last")
-
-
-def _drawn() -> Column:
-    return F.coalesce(F.col("cell") < F.col("cut_cell"), F.lit(False)) | F.coalesce(F.col("z") <= F.col("z_cut"), F.lit(False))
-
-
-def copies(sizes: DataFrame, cut: DataFrame, cap: float = 2.0) -> DataFrame:
+def _few(df: DataFrame) -> DataFrame:
+    """A stored table of one row a source, broadcast if these are few: a hot
+    source's documents then stay where they are."""
+    return F.broadcast(df) if df.count() <= FEW_SOURCES else df
+
+
+def _of_source(rows: DataFrame, by: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their source's row in ``by``."""
+    by = by.withColumnRenamed("source", "_s")
+    return rows.join(by, rows["source"].eqNullSafe(F.col("_s"))).drop("_s")
+
+
+def cuts(sizes: DataFrame, weights: list[float], total: float = 1.5, cap: float = 2.0) -> tuple[DataFrame, DataFrame]:
+    """One row a source: target, and the spans of ranks that are taken, each
+    with the words up to which a document was taken there; and the ranks that
+    several rows share.
+
+    In every round each source takes, from its last place in the order on,
+    the documents that fit what it still lacks, up to the first that no longer
+    does; the rounds end when no source has a document left that fits.  What
+    is taken is the same as by going through the order document by document,
+    past those that do not fit.  Rows of one rank are taken together."""
+    t = _few(stored(targets(sizes, weights, total, cap), "targets"))
+    rows = _ranked(_of_source(sizes, t), cap)
+    units = rows.filter("z IS NOT NULL").groupBy("source", "z", "cell").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"))
+    units = stored(units, "units")
+    certain = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("whole")).alias("certain"))
+    lack = _of_source(t, certain).withColumn("gap", F.col("target") - F.col("certain"))
+    state = stored(lack.select("source", "source_size", "weighed", "target", "gap", F.lit(0.0).alias("pos"),
+                               F.array().cast("array<struct<lo:double,hi:double,most:double>>").alias("spans")), "cut")
+    while True:
+        at = _few(state.select("source", "gap", "pos"))
+        left = _of_source(units, at).filter("z > pos AND words <= gap")
+        cells = left.groupBy("source", "cell").agg(F.sum("words").alias("words"), F.max("z").alias("z"), F.max("gap").alias("gap"))
+        run = F.sum("words").over(Window.partitionBy("source").orderBy("cell"))  # at most CELLS rows a source
+        cells = stored(cells.withColumn("upto", run), "cells")
+        fits = F.col("upto") <= F.col("gap")
+        fit = cells.groupBy("source").agg(
+            F.min(F.when(~fits, F.col("cell"))).alias("cut_cell"), F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("below"),
+            F.max(F.when(fits, F.col("z"))).alias("z_below"))
+        fit = stored(fit, "cut")
+        if fit.isEmpty():
+            break
+        # Inside the cell that holds the cut.
+        inside = _of_source(left, _few(fit)).filter(F.col("cell") == F.col("cut_cell"))
+        upto = F.col("below") + F.sum("words").over(Window.partitionBy("source").orderBy("z"))
+        inside = inside.withColumn("upto", upto).filter("upto <= gap").groupBy("source").agg(F.max("z").alias("z_cut"), F.max("upto").alias("upto"))
+        fit = fit.join(inside.withColumnRenamed("source", "_s"), fit["source"].eqNullSafe(F.col("_s")), "left").drop("_s")
+        got = fit.select(F.col("source").alias("_s"), F.coalesce("z_cut", "z_below").alias("hi"), F.coalesce("upto", "below").alias("got"))
+        more = state.join(got, state["source"].eqNullSafe(F.col("_s")), "left")
+        span = F.array(F.struct(F.col("pos").alias("lo"), "hi", F.col("gap").alias("most")))
+        state = stored(more.select(
+            "source", "source_size", "weighed", "target", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"),
+            F.coalesce("hi", "pos").alias("pos"), F.when(F.col("hi").isNotNull(), F.concat("spans", span)).otherwise(F.col("spans")).alias("spans")), "cut")
+    return state.drop("gap", "pos"), units.filter("rows > 1").select("source", "z", F.col("words").alias("together"))
+
+
+def copies(sizes: DataFrame, cut: tuple[DataFrame, DataFrame], cap: float = 2.0) -> DataFrame:
     """``sizes`` (with any further columns) and how many ``copies`` the mix takes of each row."""
-    cut = cut.withColumnRenamed("source", "s")
-    rows = _ranked(sizes.join(cut, sizes["source"].eqNullSafe(F.col("s"))).drop("s"), cap)
-    more = _drawn() | F.coalesce(F.col("z") == F.col("z_last"), F.lit(False))
-    return rows.withColumn("copies", (F.col("whole") + more.cast("long")).cast("long"))
+    by, together = cut
+    rows = _ranked(_of_source(sizes, _few(by)), cap)
+    words = F.col("size")
+    if not together.isEmpty():
+        again = _few(stored(together.withColumnsRenamed({"source": "_s", "z": "_z"}), "together"))
+        rows = rows.join(again, rows["source"].eqNullSafe(F.col("_s")) & (rows["z"] == F.col("_z")), "left").drop("_s", "_z")
+        words = F.coalesce("together", "size")
+    rows = rows.withColumn("_words", words)
+    taken = F.exists("spans", lambda x: (F.col("z") > x["lo"]) & (F.col("z") <= x["hi"]) & (F.col("_words") <= x["most"]))
+    return rows.withColumn("copies", (F.col("whole") + F.coalesce(taken, F.lit(False)).cast("long")).cast("long"))
 
 
 def report(docs: DataFrame, weights: list[float], total: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -133,9 +161,16 @@ def report(docs: DataFrame, weights: list[float], total: float = 1.5, cap: float
 
 def mix(docs: DataFrame, weights: list[float], total: float = 1.5, cap: float = 2.0) -> DataFrame:
     """The mixed corpus: every taken document once for each copy, with its
-    number in ``copy``.  Other columns stay as they are."""
+    number in ``copy`` (of an input that has such a column, in ``copy_1``, or
+    the next name that is free).  Other columns stay as they are.
+
+    Null and empty texts have no words and are not taken; a null source is a
+    source; an empty table gives an empty result."""
+    taken, name = {c.lower() for c in docs.columns}, "copy"
+    while name in taken:
+        name = f"copy_{int(name[5:] or 0) + 1}"
     mine = docs.withColumn("_llm_row", F.struct(*docs.columns))
     sizes = mine.select("_llm_row", "source", word_count(F.col("text")).alias("size"), draw().alias("u"), F.lit(1.0).alias("weight"))
     got = copies(sizes, cuts(stored(sized(docs), "sizes"), weights, total, cap), cap).filter("copies > 0")
-    out = got.select("_llm_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
-    return out.select(*(F.col("_llm_row").getField(c).alias(c) for c in docs.columns if c != "copy"), "copy")
+    out = got.select("_llm_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(name))
+    return out.select(*(F.col("_llm_row").getField(c).alias(c) for c in docs.columns), name)

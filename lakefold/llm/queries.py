@@ -84,7 +84,7 @@ MIX_WEIGHTS = [3.0, 1.0, 2.0]
 
 
 @register("op4_source_mixing", f"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
     (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
   FROM documents),
@@ -101,11 +101,14 @@ e AS (
 z AS (
   SELECT *, floor(e) AS whole, CASE WHEN e > floor(e) AND size > 0 THEN u * (1 - (e - floor(e))) / (u * (1 - (e - floor(e))) + (1 - u) * (e - floor(e))) END AS z,
     target - sum(size * floor(e)) OVER (PARTITION BY source) AS lack FROM e),
-r AS (SELECT *, z IS NOT NULL AND sum(CASE WHEN z IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY z NULLS LAST RANGE UNBOUNDED PRECEDING) <= lack AS fits FROM z),
-g AS (SELECT source, max(lack) - coalesce(sum(size) FILTER (fits), 0) AS gap FROM r GROUP BY source),
-l AS (SELECT r.source, arg_max(z, (size, -z)) AS z_last FROM r JOIN g ON r.source IS NOT DISTINCT FROM g.source WHERE z IS NOT NULL AND NOT fits AND size <= gap GROUP BY r.source)
-SELECT doc_id, size, source_size, target, CAST(size * (whole + CAST(fits OR coalesce(z = z_last, false) AS INT)) AS BIGINT) AS taken
-FROM r LEFT JOIN l ON r.source IS NOT DISTINCT FROM l.source""")
+o AS (SELECT source, z, lack, sum(size) AS words, row_number() OVER (PARTITION BY source ORDER BY z) AS k FROM z WHERE z IS NOT NULL GROUP BY source, z, lack),
+walk AS (
+  SELECT source, z, k, words <= lack AS fits, CASE WHEN words <= lack THEN lack - words ELSE lack END AS gap FROM o WHERE k = 1
+  UNION ALL
+  SELECT o.source, o.z, o.k, o.words <= w.gap, CASE WHEN o.words <= w.gap THEN w.gap - o.words ELSE w.gap END
+  FROM walk w JOIN o ON o.source IS NOT DISTINCT FROM w.source AND o.k = w.k + 1)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CAST(coalesce(fits, false) AS INT)) AS BIGINT) AS taken
+FROM z LEFT JOIN walk w ON w.source IS NOT DISTINCT FROM z.source AND w.z = z.z""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of each document."""
     return mixing.report(table(spark, sf_dir, "documents"), MIX_WEIGHTS)

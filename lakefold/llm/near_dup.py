@@ -91,9 +91,10 @@ def _minwise(s: Settings) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(docs: DataFrame, s: Settings) -> DataFrame:
-    """(doc_id, n, fp, fp2, roots, sketch) of each row: set size, the set's
-    two digests, its root values in the trees, and 128 one-byte values."""
-    schema = "doc_id long, n long, fp long, fp2 long, roots array<long>, sketch binary"
+    """(doc_id, h, n, fp, fp2, roots, sketch) of each row: a hash of the text,
+    set size, the set's two digests, its root values in the trees, and 128
+    one-byte values."""
+    schema = "doc_id long, h long, n long, fp long, fp2 long, roots array<long>, sketch binary"
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         xor, mul = _minwise(s)
@@ -112,11 +113,15 @@ def features(docs: DataFrame, s: Settings) -> DataFrame:
                              (least[:_PLACES] >> np.uint64(56)).astype(np.uint8).tobytes()))
             out = pd.DataFrame(rows, columns=["n", "fp", "fp2", "roots", "sketch"])
             out = out.astype({"fp": "Int64", "fp2": "Int64"})
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
+            out.insert(0, "doc_id", b["doc_id"].astype("Int64"))
+            out.insert(1, "h", b["h"].to_numpy())
             yield out
 
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return some.mapInPandas(of, schema)
+    return _keyed(docs).select("doc_id", "h", "text").mapInPandas(of, schema)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "h": F.xxhash64("text")})
 
 
 # ------------------------------------------------------------------- trees
@@ -240,25 +245,32 @@ def _proposed_forest(members: DataFrame, s: Settings) -> DataFrame:
 
 
 def _mixed(members: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """Members of nodes that hold different components, and whether the node
-    can confirm its links itself (``whole``)."""
-    rows = members.join(labels, "fp")
+    """Members of nodes that hold different components, and in how many
+    blocks the node confirms its links itself (0: it proposes pairs).
+
+    A block holds ``small`` members and half of ``whole_items`` shingles on average."""
+    rows = members.drop("block", "blocks").join(labels, "fp")
     nodes = rows.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("k"),
-                                     F.sum("n").alias("items_"), F.max("blocks").alias("b")).filter("x <> y")
-    whole = (F.col("k") > s.whole) & (F.col("items_") <= s.whole_items) & (F.col("b") == 1)
-    return rows.join(nodes.select("node", whole.alias("whole")), "node")
+                                     F.sum("n").alias("items_")).filter("x <> y")
+    blocks = F.ceil(F.greatest(F.col("k") / s.small, 2 * F.col("items_") / s.whole_items)).cast("int")
+    blocks = F.when((F.col("k") > s.whole) & (F.col("items_") <= s.whole_items) & (F.col("k") <= s.small), 1).otherwise(blocks)
+    rows = rows.join(nodes.select("node", F.when(F.col("k") > s.whole, blocks).otherwise(0).alias("blocks")), "node")
+    block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("fp", F.lit(3)), F.col("blocks"))).otherwise(0)
+    return rows.withColumn("block", block.cast("int"))
 
 
 def _linked_rest(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Round two in larger nodes: links between different components, as
-    edges to the smallest of those joined in the node."""
+    edges to the smallest of those joined in the node.  The blocks of a very
+    large one meet each other in cells of bounded sets."""
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _groups(batches, ["node"]):
-            fp, label, n = (frame[c].to_numpy() for c in ("fp", "label", "n"))
+        for frame in _groups(batches, ["node", "i", "j"]):
+            fp, label, n, block = (frame[c].to_numpy() for c in ("fp", "label", "n", "block"))
+            across = frame["i"].to_numpy() != frame["j"].to_numpy()
             sk = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, _PLACES)
             items = [np.frombuffer(x, np.uint64) for x in frame["items"]]
-            at = _bounds(frame, ["node"])
+            at = _bounds(frame, ["node", "i", "j"])
             out = []
             for a, b in zip(at[:-1], at[1:]):
                 root = {x: x for x in label[a:b].tolist()}
@@ -270,7 +282,10 @@ def _linked_rest(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
                     return x
 
                 agree = _agree(sk[a:b], n[a:b], s)
-                x, y = np.nonzero(np.triu((agree >= s.floor_agree) & (label[a:b, None] != label[None, a:b]), 1))
+                near = (agree >= s.floor_agree) & (label[a:b, None] != label[None, a:b])
+                if across[a]:
+                    near &= block[a:b, None] != block[None, a:b]
+                x, y = np.nonzero(np.triu(near, 1))
                 order = np.argsort(-agree[x, y], kind="stable")  # the closest first: most others then need no look
                 for i, j in zip((a + x[order]).tolist(), (a + y[order]).tolist()):
                     u, v = top(int(label[i])), top(int(label[j]))
@@ -279,36 +294,33 @@ def _linked_rest(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
                         out.append((min(fp[i], fp[j]), max(fp[i], fp[j])))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    flat = rows.select("node", "fp", "label", "n", "sketch").join(sets, "fp")
-    return flat.repartition("node").sortWithinPartitions("node", "fp").mapInPandas(link, "a long, b long").distinct()
+    # A block meets itself and the later blocks of its node.
+    cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                         "block", "fp", "label", "n", "sketch")
+    flat = cells.join(sets, "fp").repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "fp")
+    return flat.mapInPandas(link, "a long, b long").distinct()
 
 
 def _proposed_rest(rows: DataFrame, s: Settings) -> DataFrame:
-    """Round two in small nodes: the pairs between different components that may still link."""
-    # A block meets itself and the later blocks of its node.
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    cells = rows.select("node", "fp", "label", "sketch", "n", "block", F.explode(others).alias("other"))
-    cells = cells.select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                         "fp", "label", "sketch", "n", "block")
+    """Round two in nodes of ``whole`` members at most: the pairs between
+    different components that may still link."""
 
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _groups(batches, ["node", "i", "j"]):
-            fp, label, node = (frame[c].to_numpy() for c in ("fp", "label", "node"))
-            i, j, block, n = (frame[c].to_numpy() for c in ("i", "j", "block", "n"))
+        for frame in _groups(batches, ["node"]):
+            fp, label, node, n = (frame[c].to_numpy() for c in ("fp", "label", "node", "n"))
             sk = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, _PLACES)
-            at = _bounds(frame, ["node", "i", "j"])
+            at = _bounds(frame, ["node"])
             rows = [np.zeros((0, 3), np.int64)]
             for a, b in zip(at[:-1], at[1:]):
                 near = (_agree(sk[a:b], n[a:b], s) >= s.floor_agree) & (label[a:b, None] != label[None, a:b])
-                if i[a] != j[a]:
-                    near &= block[a:b, None] != block[None, a:b]
                 x, y = np.nonzero(np.triu(near, 1))
                 if len(x):
-                    rows.append(np.stack([node[a + x] ^ (i[a] * 1009 + j[a]), fp[a + x], fp[a + y]], 1))
+                    rows.append(np.stack([node[a + x], fp[a + x], fp[a + y]], 1))
             got = np.concatenate(rows)
             yield pd.DataFrame({"cell": got[:, 0], "a": got[:, 1:].min(1), "b": got[:, 1:].max(1)})
 
-    flat = cells.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "fp")
+    flat = rows.select("node", "fp", "label", "sketch", "n").repartition("node").sortWithinPartitions("node", "fp")
     return flat.mapInPandas(propose, _PAIRS).groupBy("a", "b").agg(F.min("cell").alias("cell"))
 
 
@@ -392,22 +404,19 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row.
-
-    ``component_id`` is the smallest id reachable by links.  A text without
-    words is linked with nothing.  A row without id belongs to its
-    component but does not name it, and is not kept; repeated rows are each
-    returned."""
+def _labelled(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, h, n, fp) of each row, and (fp, label, component_id) of each
+    shingle set: the sets of one label are linked."""
     rows = stored(features(docs, s), "features")
+    # One class a shingle set, told by its digest; some row of it stands for its text.
     some = rows.filter("n > 0")
-    # One row a shingle set; a set is told by its digests and size.
-    first = some.groupBy("fp", "fp2", "n").agg(F.min("doc_id").alias("doc_id"))
-    first = stored(first.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "classes")
-    classes = some.select("doc_id", "n", "fp", "roots", "sketch").join(first, ["doc_id", "fp"]).dropDuplicates(["fp"])
-    members = stored(_members(stored(classes, "classes"), s), "members")
+    stands = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "h")).alias("row")
+    classes = some.groupBy("fp").agg(stands, F.first("n").alias("n"), F.first("roots").alias("roots"), F.first("sketch").alias("sketch"))
+    classes = stored(classes.select("fp", F.col("row.doc_id").alias("doc_id"), F.col("row.h").alias("h"), "n", "roots", "sketch"), "classes")
+    members = stored(_members(classes, s), "members")
     pairs = stored(_proposed_forest(members, s), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(first, "fp")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    wanted = stored(wanted.join(classes.select("fp", "doc_id", "h"), "fp"), "wanted")
     sets = stored(_sets(docs, wanted, s), "sets")
     links = _confirmed(pairs, sets, s)
     labels = components(links)
@@ -415,30 +424,43 @@ def duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     every = wanted.select("fp").join(labels, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"))
     every = stored(every, "labels")
     mixed = stored(_mixed(members, every, s), "mixed")
-    rest = _confirmed(_proposed_rest(mixed.filter(~F.col("whole")), s), sets, s)
-    rest = stored(rest.unionByName(_linked_rest(mixed.filter("whole"), sets, s)), "links")
+    rest = _confirmed(_proposed_rest(mixed.filter("blocks = 0"), s), sets, s)
+    rest = stored(rest.unionByName(_linked_rest(mixed.filter("blocks > 0"), sets, s)), "links")
     if not rest.isEmpty():
         la, lb = every.select(F.col("fp").alias("a"), F.col("label").alias("x")), every.select(F.col("fp").alias("b"), F.col("label").alias("y"))
         again = components(rest.join(la, "a").join(lb, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         every = every.join(again.select(F.col("fp").alias("label"), F.col("label").alias("last")), "label", "left").select(
             "fp", F.coalesce("last", "label").alias("label"))
-    named = first.join(every, "fp", "left").select("fp", "doc_id", F.coalesce("label", "fp").alias("label"))
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "label").select("fp", "component_id")
-    out = rows.select("doc_id", "n", "fp").join(named, "fp", "left")
+    named = classes.select("fp", "doc_id").join(every, "fp", "left").select("fp", "doc_id", F.coalesce("label", "fp").alias("label"))
+    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))  # null where no row has an id
+    return rows.select("doc_id", "h", "n", "fp"), named.join(smallest, "label").select("fp", "label", "component_id")
+
+
+def duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row.
+
+    ``component_id`` is the smallest id reachable by links.  A text without
+    words is linked with nothing.  A row without id links like any other, but
+    does not name its component and is not kept; a component without any id
+    has none.  Rows that repeat an id are linked by their own texts; repeated
+    rows are each returned; an empty table gives an empty result."""
+    rows, named = _labelled(docs, s)
+    out = rows.join(named.drop("label"), "fp", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """(fp, items): the full set of each wanted class, from its document's text."""
+    """(fp, items): the full set of each wanted class, from the text of the row that stands for it."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"fp": b["fp"].to_numpy(), "items": [u.tobytes() for u in shingle_sets(b["text"].tolist(), s.width)]})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    wanted = wanted.withColumnsRenamed({"doc_id": "_id", "h": "_h"})
+    keyed = _keyed(docs).select("doc_id", "h", "text")
+    texts = keyed.join(wanted, (keyed["h"] == wanted["_h"]) & keyed["doc_id"].eqNullSafe(wanted["_id"]))
     sets = texts.select("fp", "text").mapInPandas(of, "fp long, items binary")
     return sets.dropDuplicates(["fp"])
 
@@ -446,7 +468,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
 def deduplicate(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One document of each group, the one with the smallest id, as it was.
 
-    Of rows that repeat an id one stays; rows without id stay."""
-    kept = duplicates(docs, s).filter("kept").select("doc_id").distinct()
-    some = docs.filter(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    return some.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    Of texts under that id the one with the smaller hash stays, of repeated
+    rows one.  Rows without id stay; texts without words are no copies of one
+    another, so of these only repeated ids go.  An empty table gives an empty
+    result."""
+    rows, named = _labelled(docs, s)
+    rows = rows.filter("doc_id IS NOT NULL").join(named.select("fp", "label"), "fp", "left")
+    group = F.struct(F.col("label").isNull().alias("alone"), F.coalesce("label", "doc_id").alias("of"))
+    best = rows.groupBy(group.alias("g")).agg(F.min(F.struct("doc_id", "h")).alias("row"))
+    best = stored(best.select(F.col("row.doc_id").alias("_llm_id"), F.col("row.h").alias("_llm_h")).distinct(), "kept")
+    keyed = docs.withColumns({"_llm_d": F.col("doc_id").cast("long"), "_llm_t": F.xxhash64("text")})
+    same = (keyed["_llm_d"] == best["_llm_id"]) & (keyed["_llm_t"] == best["_llm_h"])
+    one = keyed.join(best, same, "left_semi").dropDuplicates(["_llm_d", "_llm_t"])
+    return one.unionByName(keyed.filter(F.col("_llm_d").isNull())).select(*docs.columns)

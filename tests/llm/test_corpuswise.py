@@ -85,6 +85,46 @@ def test_dedup_edge_rows(spark):
     assert len(report) == 6 and {(r.doc_id, r.component_id, r.kept) for r in report if r.doc_id == 5} == {(5, 3, False)}
 
 
+def words_of(rng, n, vocab=400):
+    return [rng.choice("uvwxyz") + str(rng.randint(0, vocab)) for _ in range(n)]
+
+
+def test_links_run_through_rows_without_id(spark):
+    """1 and 2 are no copies of one another, but both of a row without id."""
+    base = words_of(random.Random(1), 200)
+    left, right = base[:], base[:]
+    left[10:14], right[150:154] = words_of(random.Random(2), 4, 10**6), words_of(random.Random(3), 4, 10**6)
+    for k in (40, 60, 80):
+        left[k] = "left"
+    for k in (100, 110, 120):
+        right[k] = "right"
+    rows = [(1, " ".join(left)), (2, " ".join(right)), (None, " ".join(base)), (3, "quite another text of few words")]
+    sets = [near_dup.shingle_sets([t], 5).__next__() for _, t in rows[:3]]
+    share = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    assert share(sets[0], sets[2]) >= 0.75 <= share(sets[1], sets[2]) and share(sets[0], sets[1]) < 0.75
+    got = near_dup.duplicates(docs_frame(spark, extended([(i, t, "s") for i, t in rows]))).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (None, 1, False), (3, 3, True)}
+
+
+def test_texts_of_one_id_link_each_by_itself(spark):
+    a, b = words_of(random.Random(4), 30), words_of(random.Random(5), 30)
+    rows = [(1, " ".join(a), "a"), (1, " ".join(b), "b"), (2, " ".join(b) + " more", "c"), (5, "", "d"), (5, "", "e"), (6, None, "f")]
+    docs = docs_frame(spark, extended(rows))
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in near_dup.duplicates(docs).collect()}
+    assert got == {(1, 26, 1), (2, 27, 1), (5, 0, 5), (6, 0, 6)}
+    kept = sorted((r.doc_id, r.source) for r in near_dup.deduplicate(docs).collect())
+    assert [i for i, _ in kept] == [1, 1, 5, 6] and kept[:2] == [(1, "a"), (1, "b")]  # two groups, both named 1
+
+
+def test_nodes_of_many_shingles_confirm_links_in_cells(spark):
+    rng = random.Random(11)
+    base = words_of(rng, 120)
+    rows = [(k, edited(rng, base, rng.choice([0.01, 0.03, 0.05]))) for k in range(90)]
+    s = near_dup.Settings(small=16, levels=1, whole=4, whole_items=1500)
+    got = near_dup.duplicates(docs_frame(spark, extended([(i, t, "s") for i, t in rows])), s).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_components(rows)
+
+
 # ------------------------------------------------------------------ mixing
 
 def plain_targets(sizes, weights):
@@ -133,6 +173,36 @@ def test_mixing_reaches_targets(spark):
     assert mixing.report(docs.limit(0), [1.0]).count() == 0
 
 
+def test_mixing_goes_past_documents_that_do_not_fit(spark):
+    """Very long documents early in the order: what fits behind them is taken."""
+    rng = random.Random(7)
+    rows = [(k, "w " * rng.choice([3, 7, 50, 50, 50]), "a") for k in range(200)] + [(1000 + k, "w " * 9000, "a") for k in range(3)]
+    rows += [(2000 + k, "w " * rng.randint(1, 400), "b") for k in range(40)] + [(3000, "w " * 77, None)]
+    docs = docs_frame(spark, extended(rows))
+    for weights in ([1.0], [1.0, 9.0, 1.0]):
+        got = mixing.report(docs, weights).collect()
+        for source in ("a", "b", None):
+            mine = [r for r in got if (r.doc_id < 2000, 2000 <= r.doc_id < 3000, r.doc_id == 3000)["ab".find(source) if source else 2]]
+            lacks = mine[0].target - sum(r.taken for r in mine)
+            more = [r.size for r in mine if r.size and r.taken < r.size * math.ceil(mine[0].target / mine[0].source_size)]
+            assert lacks >= 0 and (not more or lacks < min(more))  # no document is left that fits
+
+
+def test_mixing_keeps_a_column_named_copy(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", "mine")], "doc_id long, text string, source string, copy string")
+    out = mixing.mix(docs, [1.0])
+    assert out.columns == ["doc_id", "text", "source", "copy", "copy_1"]
+    assert [tuple(r) for r in out.collect()] == [(1, "a b", "s", "mine", 1)]
+
+
+def test_mixing_joins_few_and_many_sources_alike(spark, monkeypatch):
+    rows = [(k, "w " * (k % 13), f"s{k % 9}") for k in range(300)] + [(1, "w", "s1")] * 3
+    docs = docs_frame(spark, extended(rows))
+    want = sorted(map(tuple, mixing.report(docs, [3.0, 1.0]).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    assert sorted(map(tuple, mixing.report(docs, [3.0, 1.0]).collect())) == want
+
+
 def test_mixing_by_document_weight_prefers_heavy_ones(spark):
     rows = [(k, "w " * 10, "s", 0, "4" if k % 2 else "1", "") for k in range(400)]
     docs = docs_frame(spark, rows)

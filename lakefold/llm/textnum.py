@@ -90,13 +90,15 @@ def subwords(words: list[str], low: int, high: int, buckets: int) -> tuple[np.nd
     return np.concatenate(numbers), (np.concatenate(hashes) % np.uint64(buckets)).astype(np.int64)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, zeros: int, ones: int) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, zeros: int, ones: int,
+                    longest: int = 100_000) -> DataFrame:
     """(doc_id, text, y) of at most ``zeros`` and ``ones`` labelled documents
     of the two classes, chosen by a hash of the id among the rows that may be
-    learnt from.
+    learnt from: one row an id, the least of its texts.
 
     A document with several labels counts as 1 if any of them is 1; rows
-    without id, label or text are not learnt from."""
+    without id, label or text, and texts of more than ``longest`` bytes, are
+    not learnt from."""
     one = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & learn)
     one = one.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id"]
@@ -105,7 +107,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         some = one.filter(F.col("y") == y).orderBy(*order).limit(bound)
         picked = some if picked is None else picked.unionByName(some)
     # The chosen ids are at most zeros + ones rows.
-    return docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id")
+    texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= longest).join(F.broadcast(picked), "doc_id")
+    return texts.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")
 
 
 def class_rates(labels: DataFrame, label: str, learn: Column) -> tuple[int, int]:

@@ -64,7 +64,7 @@ def _sigmoid(x):
 
 
 def _bags(texts: list[str], s: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each text's buckets, and how many of its subwords fall in each."""
+    """Each text's buckets, and how many of its subwords fall in each (65,535 stands for more)."""
     bags = []
     for _, part in slices(texts, 1_000_000):
         codes, offsets, words = encode([t.lower() for t in part], _TOKENS)
@@ -77,7 +77,7 @@ def _bags(texts: list[str], s: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
             ends = np.cumsum(sizes)
             at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[w] - (ends - sizes), sizes)
             subs, back = np.unique(bucket[at], return_inverse=True)
-            bags.append((subs, np.bincount(back, np.repeat(n, sizes), len(subs)).astype(np.float32)))
+            bags.append((subs, np.minimum(np.bincount(back, np.repeat(n, sizes), len(subs)), 65_535).astype(np.uint16)))
     return bags
 
 
@@ -104,7 +104,7 @@ def fit(texts: list[str], y: np.ndarray, s: Settings, prior: float | None = None
         for at in range(0, len(perm), s.batch):
             rows = perm[at:at + s.batch]
             subs = np.concatenate([bags[d][0] for d in rows])
-            part = np.concatenate([bags[d][1] * (s.gain / bags[d][1].sum()) for d in rows])  # average, times the gain
+            part = np.concatenate([bags[d][1] * np.float32(s.gain / bags[d][1].sum()) for d in rows])  # average, times the gain
             sizes = np.array([len(bags[d][0]) for d in rows])
             first = np.append(0, np.cumsum(sizes))[:-1]
             pooled = np.add.reduceat(emb[subs] * part[:, None], first, axis=0)
@@ -172,11 +172,25 @@ def learnable(col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
-    """Fit on a bounded sample of the learnable labelled documents."""
+    """Fit on a bounded sample of the learnable labelled documents, in one
+    task: the driver gets the weights only, and a lost executor's task is run
+    again on the same sample."""
     neg, pos = class_rates(labels, "toxic", learnable())
-    rows = labelled_sample(docs, labels, "toxic", learnable(), s.clean, s.toxic).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
-    return fit([r.text for r in rows], np.array([r.y for r in rows], int), s, pos / (neg + pos) if neg + pos else 0.0)
+    rate = pos / (neg + pos) if neg + pos else 0.0
+    sample = labelled_sample(docs, labels, "toxic", learnable(), s.clean, s.toxic)
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        if not parts:
+            return
+        rows = pd.concat(parts).sort_values("doc_id", kind="stable")
+        model = fit(rows["text"].tolist(), rows["y"].to_numpy(int), s, rate)
+        yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    got = sample.repartition(1).mapInPandas(learn, "weights binary, bias double").first()
+    if got is None:  # nothing to learn from
+        return fit([], np.zeros(0, int), s, rate)
+    return Model(np.frombuffer(got.weights, np.float32), got.bias, s.low, s.high)
 
 
 def with_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s: Settings = Settings()) -> DataFrame:

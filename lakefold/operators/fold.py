@@ -2,8 +2,9 @@
 (W1-W5), and skew-safe as-of lookup.
 
 Rows carry a page (or batch) number.  Skew: every step first reduces a key
-to at most one row per page with a partial aggregate, so a window over a key
-sees at most ``#pages`` rows, however many rows the key has.  Interval
+to at most one row per page with a partial aggregate, and change events (W2,
+W3) are found inside (key, range of pages), with the last version carried
+from range to range, so neither a key's rows nor its pages meet in one task.  Interval
 windows (W5, as-of) are split into time buckets: a window runs inside a
 (key, bucket) and the carry-over between buckets comes from a per-bucket
 aggregate, so no single key lands whole in one task.
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakefold.functions.hashing import ident
 from lakefold.operators.merge import dedup_latest
@@ -32,20 +34,74 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], page_col: str, pos_col: s
     return dedup_latest(df, keys, [page_col] + ([pos_col] if pos_col else []))
 
 
+def floor_div(col: str, n: int) -> Column:
+    """Integer division that rounds down for negative numbers too."""
+    return F.expr(f"(CAST({ident(col)} AS BIGINT) - pmod(CAST({ident(col)} AS BIGINT), {int(n)}L)) div {int(n)}L")
+
+
+def _ranged(rows: DataFrame, page_col: str, size: int) -> tuple[DataFrame, int]:
+    """With the number ``_r`` of the range of ``size`` neighbouring pages that
+    a row's page lies in, and the greatest number (0: one range).  Pages that
+    are no whole numbers are numbered in their order first."""
+    if not isinstance(rows.schema[page_col].dataType, T.IntegralType):
+        from lakefold.operators.select import global_row_number
+
+        pages = global_row_number(rows.select(page_col).distinct(), [page_col]).withColumnsRenamed({page_col: "_page", "_row": "_no"})
+        rows = rows.join(pages, rows[page_col].eqNullSafe(F.col("_page"))).drop("_page")
+    else:
+        rows = rows.withColumn("_no", F.col(page_col).cast("long"))
+    ends = rows.agg(F.min("_no").alias("low"), F.max("_no").alias("high")).first()
+    low, high = ends.low or 0, ends.high or 0
+    number = F.expr(f"(_no - ({low}L)) div {int(size)}L")  # pages without number come first, as in any order
+    return rows.withColumn("_r", F.coalesce(number, F.lit(0).cast("long"))).drop("_no"), (high - low) // size
+
+
+def _carried(last: DataFrame, keys: Sequence[str], greatest: int, fan: int = 256) -> DataFrame:
+    """(keys, _r, _prev): what the nearest earlier range of the key left.
+
+    ``last`` has one row a key and range (``_r`` from 0 to ``greatest``) with
+    what the range leaves (``_last``, never null).  Ranges are combined
+    ``fan`` at a time, level by level, so no window holds more than these."""
+    k = list(map(ident, keys))
+    rows = last.withColumn("_up", F.expr(f"_r div {int(fan)}L"))
+    inside = F.lag("_last").over(Window.partitionBy(*k, "_up").orderBy("_r"))
+    rows = rows.withColumn("_prev", inside)
+    if greatest < fan:
+        return rows.select(*k, "_r", "_prev")
+    above = last.groupBy(*k, F.expr(f"_r div {int(fan)}L").alias("_up")).agg(F.max_by("_last", "_r").alias("_last"))
+    above = _carried(above.withColumnRenamed("_up", "_r"), keys, greatest // fan, fan)
+    above = above.select(*k, F.col("_r").alias("_up"), F.col("_prev").alias("_above"))
+    rows = join_null_safe(rows, above, [*keys, "_up"])
+    return rows.select(*k, "_r", F.coalesce("_prev", "_above").alias("_prev"))
+
+
 def change_events(df: DataFrame, keys: Sequence[str], page_col: str, hash_col: str = CONTENT_HASH,
-                  pos_col: str | None = None) -> DataFrame:
+                  pos_col: str | None = None, pages: int = 1024) -> DataFrame:
     """The rows a page-by-page merge would write: a key's row in a page is
     written if its hash differs from the previous page's version (A->B->A is
-    two changes).  Adds ``_change`` = insert / update."""
+    two changes).  Adds ``_change`` = insert / update.
+
+    Versions are compared inside a (key, range of ``pages`` pages); every
+    range of a key is summed up by the hash it leaves, and these are carried
+    from range to range, so a key in very many pages is dealt over many tasks."""
     per_page = last_per_page(df, keys, page_col, pos_col)
-    w = Window.partitionBy(*map(ident, keys)).orderBy(F.col(page_col))
-    prev = F.lag(F.col(hash_col)).over(w)
-    first = F.row_number().over(w) == 1
-    tagged = per_page.select("*", prev.alias("_prev_hash"), first.alias("_first"))
-    changed = tagged.filter(F.col("_first") | ~F.col(hash_col).eqNullSafe(F.col("_prev_hash")))
-    return changed.withColumn("_change", F.when(F.col("_first"), F.lit("insert")).otherwise(F.lit("update"))).drop(
-        "_prev_hash", "_first"
-    )
+    per_page, greatest = _ranged(per_page, page_col, pages)
+    k = list(map(ident, keys))
+    w = Window.partitionBy(*k, "_r").orderBy(F.col(page_col))
+    version = F.struct(F.col(hash_col).alias("h"))  # never null itself: a null hash is a version
+    prev = F.lag(version).over(w)
+    if greatest:
+        last = per_page.groupBy(*k, "_r").agg(F.max_by(version, F.struct(F.col(page_col))).alias("_last"))
+        # What a range starts from is a row before its first page: no join of the rows themselves.
+        start = _carried(last, keys, greatest).filter("_prev IS NOT NULL").withColumn("_own", F.lit(False))
+        rows = per_page.withColumn("_own", F.lit(True)).unionByName(start, allowMissingColumns=True)
+        w = Window.partitionBy(*k, "_r").orderBy("_own", F.col(page_col))
+        prev = F.coalesce(F.lag("_prev").over(w), F.lag(F.when(F.col("_own"), version)).over(w))
+        tagged = rows.withColumn("_was", prev).filter("_own").drop("_own", "_prev")
+    else:
+        tagged = per_page.withColumn("_was", prev)
+    changed = tagged.filter(F.col("_was").isNull() | ~F.col(hash_col).eqNullSafe(F.col("_was.h")))
+    return changed.withColumn("_change", F.when(F.col("_was").isNull(), F.lit("insert")).otherwise(F.lit("update"))).drop("_was", "_r")
 
 
 def fold_state(df: DataFrame, keys: Sequence[str], page_col: str, ts_col: str, hash_col: str = CONTENT_HASH,
@@ -64,16 +120,17 @@ def time_bucket(ts_col: str, bucket: str) -> Column:
     """Number of the time bucket ("1 day", "12 hours", ...) that a time lies
     in; null for a null time (``F.window`` would drop the row)."""
     n, unit = bucket.split()
-    return F.expr(f"unix_seconds(CAST({ident(ts_col)} AS TIMESTAMP)) div {int(n) * _SECONDS[unit.rstrip('s')]}")
+    seconds, size = f"unix_seconds(CAST({ident(ts_col)} AS TIMESTAMP))", int(n) * _SECONDS[unit.rstrip("s")]
+    return F.expr(f"({seconds} - pmod({seconds}, {size}L)) div {size}L")
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Left join on ``cols`` in which null equals null; ``left``'s columns are kept."""
+def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``cols`` in which null equals null; ``left``'s columns are kept."""
     r = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
     cond = F.lit(True)
     for c in cols:
-        cond = cond & left[c].eqNullSafe(r[f"_r_{c}"])
-    return left.join(r, cond, "left").drop(*(f"_r_{c}" for c in cols))
+        cond = cond & left[ident(c)].eqNullSafe(r[ident(f"_r_{c}")])
+    return left.join(r, cond, how).drop(*(f"_r_{c}" for c in cols))
 
 
 def valid_intervals(df: DataFrame, entity: Sequence[str], ts_col: str, bucket: str = "30 days",

@@ -100,24 +100,25 @@ def merge_state(
 
     insert / update -> the batch row; unchanged -> the stored row (its old
     ingestion time stays, Q9); kept -> stored row absent from the batch (Q8).
-    One full outer join = one shuffle of both sides on the keys.
+    One full outer join = one shuffle of both sides on the keys, of the keys,
+    the hash and those columns that are asked of the result: each column
+    stands by itself, so that the others are pruned below the exchange (counts
+    by action move keys and hashes only).
     """
     if target is None:
         return batch.withColumn(ACTION, F.lit(INSERT))
     cols = target.columns
     other = [c for c in cols if c not in keys]
-    packed = ", ".join(map(ident, other))
-    t = target.selectExpr(*map(ident, keys), f"struct({packed}) AS _t", "true AS _t_hit")
-    b = batch.selectExpr(*map(ident, keys), f"struct({packed}) AS _b", "true AS _b_hit")
-    h = ident(hash_col)
+    side = lambda df, p: df.selectExpr(*map(ident, keys), *(f"{ident(c)} AS {ident(p + c)}" for c in other), f"true AS {p}_hit")
+    j = side(target, "_t_").join(side(batch, "_b_"), list(keys), "full")
     action = (
-        f"CASE WHEN _t_hit IS NULL THEN '{INSERT}' WHEN _b_hit IS NULL THEN '{KEPT}' "
-        f"WHEN NOT (_b.{h} <=> _t.{h}) THEN '{UPDATE}' ELSE '{UNCHANGED}' END"
+        f"CASE WHEN _t__hit IS NULL THEN '{INSERT}' WHEN _b__hit IS NULL THEN '{KEPT}' "
+        f"WHEN NOT ({ident('_b_' + hash_col)} <=> {ident('_t_' + hash_col)}) THEN '{UPDATE}' ELSE '{UNCHANGED}' END"
     )
-    j = t.join(b, list(keys), "full").selectExpr("*", f"{action} AS {ACTION}")
+    j = j.selectExpr("*", f"{action} AS {ACTION}")
     take = f"{ACTION} IN ('{INSERT}', '{UPDATE}')"
     return j.selectExpr(
-        *[ident(c) if c in keys else f"CASE WHEN {take} THEN _b.{ident(c)} ELSE _t.{ident(c)} END AS {ident(c)}" for c in cols],
+        *[ident(c) if c in keys else f"CASE WHEN {take} THEN {ident('_b_' + c)} ELSE {ident('_t_' + c)} END AS {ident(c)}" for c in cols],
         ACTION,
     )
 

@@ -187,7 +187,33 @@ SELECT c_custkey, CAST(ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_acctba
        percent_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS pct
 FROM customer
 """
-_sql("c10_ntile_percent_rank", _C10B, tables=("customer",))
+
+
+@register("c10_ntile_percent_rank", _C10B)
+def c10_ntile_percent_rank(spark, sf_dir):
+    """Quartiles of few, large keys: each nation is dealt over many ranges."""
+    customers = derive.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    out = windows.ranked(customers, ["c_nationkey"], ["c_acctbal", "c_custkey"], tiles=4)
+    return out.select("c_custkey", F.col("tile").cast("int").alias("quartile"), F.col("percent_rank").alias("pct"))
+
+
+# Equal values: an order's priority and status rank alike.
+_C10C = """
+SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority, o_orderkey) AS rn,
+       rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority) AS rnk,
+       dense_rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority) AS drnk,
+       percent_rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority) AS pct
+FROM orders
+"""
+
+
+@register("c10_ranks_of_ties", _C10C)
+def c10_ranks_of_ties(spark, sf_dir):
+    """Ranks of five values in three keys: each value runs over many ranges."""
+    orders = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    out = windows.ranked(orders, ["o_orderstatus"], ["o_orderpriority"], tie=["o_orderkey"])
+    return out.select("o_orderkey", F.col("row_number").alias("rn"), F.col("rank").alias("rnk"), F.col("dense_rank").alias("drnk"),
+                      F.col("percent_rank").alias("pct"))
 
 
 # C11: analytic windows and frames over conversations (bucketed, exact) -------------------------
@@ -204,9 +230,7 @@ _sql("c10_ntile_percent_rank", _C10B, tables=("customer",))
 )
 def c11_running_and_moving(spark, sf_dir):
     conv = derive.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").cast("bigint").alias("n"))
-    out = windows.running_sum(conv, ["conv_id"], "turn", "n", bucket_size=64)
-    out = windows.dense_frame(out, ["conv_id"], "turn", "n", preceding=6, following=0, bucket_size=64)
-    out = windows.first_last(out, ["conv_id"], "turn", "n")
+    out = windows.series(conv, ["conv_id"], "turn", "n", preceding=6, following=0, bucket_size=64)
     return out.select("conv_id", "turn", "n", "running_sum", "moving_avg", "lag_value", "lead_value", "first_value", "last_value")
 
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package relies on (set by the cluster owner in
 # production; tests set them here).  UTC keeps ISO text and hashes stable.
@@ -69,6 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder of the shared checkpoint folder and
+    read back: every later reading sees the same rows."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/lakefold/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def set_utc(spark: SparkSession) -> None:
     """Pin the session zone; hashes and ISO text depend on it."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

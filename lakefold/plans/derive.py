@@ -60,7 +60,7 @@ def _cabin_aggs(k: int, cabin: str) -> list[str]:
             f"sum(CASE WHEN {keep} THEN {tax} END) AS {p}tax",
             f"min(CASE WHEN {keep} THEN {tax} END) AS {p}mintax",
             f"count_if({keep} AND l_linestatus = 'O') AS {p}open",
-            f"collect_set(CASE WHEN {keep} THEN l_suppkey END) AS {p}sups",
+            f"array_distinct(transform(filter(items, i -> {keep.replace('l_linenumber', 'i.n').replace('l_returnflag', 'i.r')} AND i.s IS NOT NULL), i -> i.s)) AS {p}sups",
             f"min(CASE WHEN {keep} THEN l_suppkey END) AS {p}minsup",
         ]
     return out
@@ -106,11 +106,12 @@ def availability_records(spark: SparkSession, sf_dir: str, as_of: str | None = N
         items = items.filter(F.col("l_shipdate") < cut)
     # Line numbers fold onto the four cabins, so that every line counts.
     aggs = [a for k, c in enumerate(S.CABINS, 1) for a in _cabin_aggs(k, c)]
-    # Numeric aggregates run in a code-generated hash aggregate; the supplier
-    # sets need an object aggregate, so they get their own.  Both come out
-    # hash-partitioned on the order key, so joining them adds no shuffle.
-    numeric = items.groupBy("l_orderkey").agg(*[F.expr(a) for a in aggs if "collect_set" not in a])
-    sets = items.groupBy("l_orderkey").agg(*[F.expr(a) for a in aggs if "collect_set" in a])
+    # Numeric aggregates run in a code-generated hash aggregate; the suppliers
+    # need an object aggregate, of one list an order, so they get their own.  Both
+    # come out hash-partitioned on the order key, so joining them adds no shuffle.
+    numeric = items.groupBy("l_orderkey").agg(*[F.expr(a) for a in aggs if "array_distinct" not in a])
+    listed = F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("r"), F.col("l_suppkey").alias("s")))
+    sets = items.groupBy("l_orderkey").agg(listed.alias("items")).selectExpr("l_orderkey", *[a for a in aggs if "array_distinct" in a])
     cabins = numeric.join(sets, "l_orderkey")
     nation = F.broadcast(table(spark, sf_dir, "nation"))
     region = F.broadcast(table(spark, sf_dir, "region"))

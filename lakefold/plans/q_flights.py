@@ -54,7 +54,7 @@ def _iso_sql_cols(kinds: list[tuple[str, str]]) -> str:
     ),
 )
 def k3_merge_state(spark, sf_dir):
-    return flights.snapshot_merge(spark, sf_dir).select("ID", ACTION, S.CONTENT_HASH, "Source")
+    return flights.snapshot_merge(spark, sf_dir, columns=["Source"]).select("ID", ACTION, S.CONTENT_HASH, "Source")
 
 
 @register(
@@ -64,7 +64,7 @@ def k3_merge_state(spark, sf_dir):
     + ") GROUP BY _action",
 )
 def a1_merge_counts(spark, sf_dir):
-    return merge_counts(flights.snapshot_merge(spark, sf_dir))
+    return merge_counts(flights.snapshot_merge(spark, sf_dir, columns=[]))
 
 
 @register(
@@ -75,7 +75,7 @@ def a1_merge_counts(spark, sf_dir):
 )
 def j1_merge_changes(spark, sf_dir):
     """Writer path: batch rows tagged, target read as keys + hash only."""
-    return merge_counts(flights.snapshot_changes(spark, sf_dir))
+    return merge_counts(flights.snapshot_changes(spark, sf_dir, columns=[]))
 
 
 # --- P1: flatten (94 columns, order kept) ----------------------------------

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakefold.functions.hashing import METADATA_COLUMNS, add_metadata, ident
+from lakefold.operators.fold import join_null_safe
 from lakefold.operators.merge import ACTION, INSERT, UNCHANGED, UPDATE, dedup_latest, merge_changes, null_key
 from lakefold.schemas import CONTENT_HASH
 
@@ -233,14 +234,22 @@ class ArchiveTable:
                     return stats | {"replayed": True, "rows_inserted": 0, "rows_updated": 0, "rows_written": 0, "files_written": 0,
                                     "rows_unchanged": 0, "duplicate_rows": 0}
                 clean = df.filter(~bad)
-                deduped = dedup_latest(clean, keys, [c for c in ["_seq", "UpdatedAt"] if c in clean.columns])
-                tagged = merge_changes(base_keys_hash, deduped, keys)
+                # Only keys, order and hash are moved to find out what changed; the rows follow for changed keys.
+                order = [c for c in ["_seq", "UpdatedAt"] if c in clean.columns and c not in keys]
+                told = [*keys, *order, CONTENT_HASH]
+                tagged = merge_changes(base_keys_hash, dedup_latest(clean.select(*map(ident, told)), keys, order), keys)
                 if cache_input:
                     tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
                 by = {r[ACTION]: int(r["count"]) for r in tagged.groupBy(ACTION).count().collect()}
                 stats["duplicate_rows"] = stats["input_rows"] - stats["null_key_rows"] - sum(by.values())
                 stats["rows_unchanged"] = by.get(UNCHANGED, 0)
-                out = tagged.filter(F.col(ACTION).isin(INSERT, UPDATE))
+                changed = tagged.filter(F.col(ACTION).isin(INSERT, UPDATE))
+                if base_keys_hash is None and not stats["duplicate_rows"]:
+                    out = clean.withColumn(ACTION, F.lit(INSERT))  # every row is new
+                else:
+                    out = join_null_safe(clean, changed, told, "inner")
+                    if stats["duplicate_rows"]:  # rows that repeat a key's latest version
+                        out = out.dropDuplicates(list(keys))
             else:
                 stats["input_rows"] = df.count()
                 out = df.withColumn(ACTION, F.lit(INSERT))

@@ -35,6 +35,7 @@ def load_all() -> None:
     # Import for the registration side effect.
     from lakefold.plans import (  # noqa: F401
         q_flights,
+        q_hotels,
         q_sources,
         q_ops,
         q_sql,

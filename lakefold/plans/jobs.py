@@ -26,10 +26,11 @@ from pyspark.sql import types as T
 from lakefold import schemas as S
 from lakefold.functions.hashing import add_metadata
 from lakefold.operators import fold, select
-from lakefold.operators.shape import flatten_availability, flatten_hotel_availability, flatten_hotels
+from lakefold.operators.shape import flatten_availability, flatten_hotel_availability, flatten_hotels, hotel_url
 from lakefold.operators.validate import availability_rules, split_valid, validate
 from lakefold.plans import derive
 from lakefold.session import ensure_checkpoint_dir
+from lakefold.sources import html as H
 from lakefold.sources import json_pages as J
 from lakefold.storage.table import ArchiveTable
 
@@ -181,3 +182,65 @@ def run_hotel_pipeline(spark: SparkSession, sf_dir: str, root: str, ingestion_ts
     a_stats = avail_t.save(rows, "merge", S.HOTEL_AVAIL_KEYS, ["is_points", "month"], ingestion_ts=ingestion_ts,
                            hash_exclude=["month"])
     return {"hotels": h_stats, "availability": a_stats}
+
+
+# The mark of a directory's link containers and of a hotel page's data.
+LINK_BOX, PAGE_DATA = "directory-card__button__container", ("id", "__NEXT_DATA__")
+
+
+def hotel_links(directory: DataFrame, site: str, html_col: str = "html") -> DataFrame:
+    """S5 + P4: (url, title) of the first link of each container of the
+    directory pages; each URL once."""
+    found = H.hotel_links(directory, html_col, H.element_re("div", LINK_BOX)).filter("has_link")
+    return found.select(hotel_url(F.lit(site), "path").alias("url"), "title").groupBy("url").agg(F.min("title").alias("title"))
+
+
+def run_hotel_ingest(spark: SparkSession, directory: DataFrame, pages: DataFrame, calendars: DataFrame, root: str, site: str,
+                     ingestion_ts: _dt.datetime | None = None) -> dict:
+    """K9 over landed sources: directory pages (html) -> links -> hotel pages
+    (url, html) -> their JSON -> hotels table -> rate calendars (nid,
+    is_points, text) of stored hotels -> availability table.
+
+    What cannot be stored is appended to ``<root>/rejects`` (url, nid,
+    reasons): links without a page, pages without exactly one data script,
+    JSON that breaks the rules, and calendars that do.  A page that landed
+    several times counts once, by its least text."""
+    links = hotel_links(directory, site)
+    landed = pages.groupBy("url").agg(F.min("html").alias("html"), F.lit(True).alias("there"))
+    found = links.join(landed, "url", "left")  # J7: misses stay
+    script = H.marked_script(found, "html", *PAGE_DATA).drop("html")
+    details = J.hotel_details(script.drop("title"), "script")
+    why = F.when(F.col("there").isNull(), F.array(F.lit("missing:page"))).when(
+        F.col("n_marked") != 1, F.array(F.concat(F.lit("scripts:"), F.col("n_marked").cast("string")))).otherwise(F.col("_reasons"))
+    details = details.withColumn("_reasons", why).persist(StorageLevel.MEMORY_AND_DISK)  # parsed once: stored, rejected, counted
+    cals = None
+    try:
+        hotels, bad = split_valid(details)
+        hotels_t = ArchiveTable(spark, f"{root}/hotels")
+        h_stats = hotels_t.save(flatten_hotels(hotels), "merge", S.HOTEL_KEYS, S.HOTEL_PARTITIONS, ingestion_ts=ingestion_ts)
+        told = ["url", "nid", "_reasons"]
+        cals = calendars.withColumn("_reasons", J.calendar_reasons(F.col("text")))
+        cals = cals.join(hotels_t.current(["nid"]), "nid", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)  # S8, J5
+        good, bad_cals = split_valid(cals)
+        rejects = bad.select(*told).unionByName(bad_cals.select(F.lit(None).cast("string").alias("url"), "nid", "_reasons"))
+        rejects.write.mode("append").parquet(f"{root}/rejects")
+        rows = flatten_hotel_availability(J.calendar_rows(good, "text", "nid", F.col("is_points")))
+        rows = rows.withColumn("month", F.substring("date", 1, 7))
+        avail_t = ArchiveTable(spark, f"{root}/hotel_availability")
+        a_stats = avail_t.save(rows, "merge", S.HOTEL_AVAIL_KEYS, ["is_points", "month"], ingestion_ts=ingestion_ts, hash_exclude=["month"])
+        by = {r.reason: r["count"] for r in spark.read.schema(rejects.schema).parquet(f"{root}/rejects")
+              .select(F.explode("_reasons").alias("reason")).groupBy("reason").count().collect()}  # one row a kind of reason
+    finally:
+        details.unpersist()
+        if cals is not None:
+            cals.unpersist()
+    return {"hotels": h_stats, "availability": a_stats, "rejects": by}
+
+
+def run_hotel_folder(spark: SparkSession, landed: str, root: str, site: str, **options) -> dict:
+    """K9 over a folder: ``directory`` (HTML files), ``pages`` and
+    ``calendars`` (JSON lines: url, html; nid, is_points, text)."""
+    directory = spark.read.option("wholetext", True).text(f"{landed}/directory").withColumnRenamed("value", "html")
+    pages = spark.read.schema("url string, html string").json(f"{landed}/pages")
+    calendars = spark.read.schema("nid long, is_points boolean, text string").json(f"{landed}/calendars")
+    return run_hotel_ingest(spark, directory, pages, calendars, root, site, **options)

@@ -88,6 +88,83 @@ def calendar_rows(df: DataFrame, text_col: str, nid: Column | str, is_points: Co
     )
 
 
+# Where a hotel page's JSON holds the columns of the hotels
+# table, and the kinds of value that each may have.
+_CONTENT, _META = "props.pageProps.nodeContent", "props.pageProps.metaTags"
+HOTEL_PATHS = {
+    "nid": (f"{_CONTENT}.nid", "int"),
+    "name": (f"{_CONTENT}.fieldDisplayTitle", "text"),
+    "canonical_url": (f"{_META}.canonical_url", "text"),
+    "code": (f"{_CONTENT}.fieldItemCode", "text"),
+    "num_rooms": (f"{_CONTENT}.fieldNumRooms", "int"),
+    "country": (f"{_CONTENT}.fieldCountryName", "text"),
+    "title": (f"{_META}.title", "text"),
+    "description": (f"{_META}.description", "text"),
+    "choice_points": (f"{_CONTENT}.choicePointsValue", "text or int"),
+    "average_rate": (f"{_CONTENT}.fieldAvgRateDisplay", "text"),
+    "synxis_id": (f"{_CONTENT}.fieldSynxisId", "text or int"),
+    "book_with_points": (f"{_CONTENT}.fieldIPreferBookWithPoints", "bool"),
+    "book_with_choice": (f"{_CONTENT}.participatesInChoicePoints", "bool"),
+}
+_CASTS = {"int": "long", "text": "string", "text or int": "string", "bool": "boolean", "number": "double"}
+
+
+def variant_field(v: Column, path: str, kind: str) -> tuple[Column, Column]:
+    """(value, whether a value is there that is not of the kind) of a path in
+    a variant.  Any part of the path may be missing: the value is then null.
+    Numbers may come as text, text not as numbers unless the kind says so."""
+    where = f"$.{path}" if path else "$"
+    raw, value = F.try_variant_get(v, where, "variant"), F.try_variant_get(v, where, _CASTS[kind])
+    shape = F.schema_of_variant(raw)
+    wrong = value.isNull()
+    if kind.startswith("text"):
+        wrong = ~(shape == "STRING") if kind == "text" else ~shape.isin("STRING", "BIGINT")
+    elif kind == "int":
+        exact = F.try_variant_get(v, where, "double")
+        wrong = value.isNull() | shape.isin("BOOLEAN") | (exact != value)
+    elif kind == "bool":  # a truth value, its text, 0 or 1
+        number = F.coalesce(F.try_variant_get(v, where, "long"), F.lit(2))
+        wrong = value.isNull() | ~(shape.isin("BOOLEAN", "STRING") | (shape == "BIGINT") & number.isin(0, 1))
+    there = raw.isNotNull() & ~F.coalesce(F.is_variant_null(raw), F.lit(False))
+    return F.when(there, value), there & F.coalesce(wrong, F.lit(True))
+
+
+def hotel_details(pages: DataFrame, json_col: str, url_col: str = "url") -> DataFrame:
+    """The JSON of hotel pages -> the 14 hotel columns and ``_reasons``:
+    no JSON, no ``nid``, or values of another kind.  Other columns stay."""
+    rows = pages.withColumn("_json", F.try_parse_json(F.col(json_col)))
+    found = {c: variant_field(F.col("_json"), path, kind) for c, (path, kind) in HOTEL_PATHS.items()}
+    checks = [F.when(F.col("_json").isNull(), F.lit("json")),
+              F.when(F.col("_json").isNotNull() & found["nid"][0].isNull() & ~found["nid"][1], F.lit("missing:nid")),
+              *(F.when(F.col("_json").isNotNull() & wrong, F.lit(f"type:{c}")) for c, (_, wrong) in found.items())]
+    mine = {"url": F.col(url_col)} | {c: value for c, (value, _) in found.items()}
+    keep = [c for c in pages.columns if c not in (json_col, *mine)]
+    return rows.select(*keep, *(mine[f.name].cast(f.dataType).alias(f.name) for f in S.HOTELS.fields),
+                       F.array_compact(F.array(*checks)).alias("_reasons"))
+
+
+def calendar_reasons(text: Column) -> Column:
+    """P5 for a rate calendar's JSON: what is wrong with it, over all its days
+    (empty: nothing).  ``results`` is a map of days, or an empty list.  One bad
+    day rejects its calendar, as one bad record rejects its page."""
+    v = F.try_parse_json(text)
+    count, bad_count = variant_field(v, "count", "int")
+    _, bad_currency = variant_field(v, "currency_code", "text")
+    results = F.try_variant_get(v, "$.results", "variant")
+    shape = F.coalesce(F.schema_of_variant(results), F.lit("VOID"))
+    no_map = results.isNotNull() & ~shape.startswith("OBJECT") & (shape != "ARRAY<VOID>")
+    days = F.map_values(F.try_variant_get(v, "$.results", "map<string,variant>"))
+
+    def any_day(field: str, kind: str) -> Column:
+        return F.coalesce(F.exists(days, lambda d: variant_field(d, field, kind)[1]), F.lit(False))
+
+    no_day = F.coalesce(F.exists(days, lambda d: ~F.coalesce(F.schema_of_variant(d).startswith("OBJECT"), F.lit(False))), F.lit(False))
+    told = [(v.isNull(), "json"), (v.isNotNull() & count.isNull() & ~bad_count, "missing:count"), (bad_count, "type:count"),
+            (bad_currency, "type:currency_code"), (no_map, "type:results"), (no_day, "type:results[]"),
+            *((any_day(f, k), f"type:results[].{f}") for f, k in (("lowestRate", "number"), ("lowestPointsRate", "int"), ("available", "bool")))]
+    return F.array_compact(F.array(*(F.when(F.coalesce(cond, F.lit(False)), F.lit(reason)) for cond, reason in told)))
+
+
 def request_params(**params) -> dict:
     """Drop unset parameters; dates become ISO text."""
     import datetime as _dt

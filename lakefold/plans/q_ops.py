@@ -15,6 +15,7 @@ from lakefold.plans import derive
 from lakefold.plans import oracle as O
 from lakefold.plans.catalog import register
 from lakefold.plans.q_sources import _AVAIL_SQL, _HOTELS_SQL, hotel_availability_rows
+from lakefold.sources import json_pages as J
 
 FLAT = O.availability_flat_sql(None)
 
@@ -65,6 +66,30 @@ def f6_direct_carriers(spark, sf_dir):
     return _ids(select.search(flat(spark, sf_dir), cabins=["economy"], only_direct=True, carriers=["S7", "S42", "S77"]))
 
 
+_FLIES = "len(list_intersect(list_transform(string_split({c}Airlines, ','), lambda x: trim(x)), ['S3', 'S8', 'S21', 'S55'])) > 0"
+
+
+@register("s4_carriers_alone", f"SELECT ID FROM ({FLAT}) WHERE {' OR '.join(_FLIES.format(c=c) for c in S.CABINS)}")
+def s4_carriers_alone(spark, sf_dir):
+    """Carriers without a cabin: any cabin may fly them."""
+    return _ids(select.search(flat(spark, sf_dir), carriers=["S3", "s8", "S21", "S55"]))
+
+
+_CABINS_DIRECT = " OR ".join(f"({c}Available AND {c}Direct AND {_FLIES.format(c=c)})" for c in ("Y", "J"))
+
+
+@register(
+    "s4_search_paged",
+    f"""SELECT ID, strftime(Date, '%Y-%m-%d') AS day FROM ({FLAT}) WHERE ({_CABINS_DIRECT}) AND Date >= DATE '1994-01-01'
+        ORDER BY Date, ID LIMIT 20 OFFSET 5""",
+)
+def s4_search_paged(spark, sf_dir):
+    """Several cabins, direct flights and carriers together (one cabin must meet all three), ordered and paged."""
+    out = select.search(flat(spark, sf_dir), cabins=["economy", "business"], only_direct=True, carriers=["S3", "S8", "S21", "S55"],
+                        start_date="1994-01-01", order_by=["Date", "ID"], skip=5, take=20)
+    return out.select("ID", F.date_format("Date", "yyyy-MM-dd").alias("day"))
+
+
 @register("f7_raw_values", f"SELECT ID, FMileageCostRaw AS miles FROM ({FLAT}) WHERE FAvailableRaw")
 def f7_raw_values(spark, sf_dir):
     df = select.search(flat(spark, sf_dir), cabins=["first"], include_filtered=False)
@@ -123,6 +148,35 @@ def u2_points_union_cash(spark, sf_dir):
     return both.groupBy("is_points").agg(F.count(F.lit(1)).alias("rows"), F.sum("lowest_points_rate").alias("pts"))
 
 
+@register("p6_empty_calendars", f"""SELECT nid, count(date) AS days FROM (
+    SELECT u.nid, a.date FROM (SELECT DISTINCT user_id AS nid FROM events) u LEFT JOIN ({_AVAIL_SQL}) a ON a.nid = u.nid AND u.nid % 3 <> 0) GROUP BY nid""")
+def p6_empty_calendars(spark, sf_dir):
+    """Calendars whose ``results`` is an empty list in place of a map have no days, and are no error."""
+    cals = derive.calendar_texts(spark, sf_dir)
+    empty = F.regexp_replace("text", r'"results":.*$', '"results":[]}')
+    cals = cals.withColumn("text", F.when(F.col("nid") % 3 == 0, empty).otherwise(F.col("text")))
+    cals = cals.withColumn("_reasons", J.calendar_reasons(F.col("text"))).filter(F.size("_reasons") == 0)
+    rows = J.calendar_rows(cals, "text", "nid", F.col("is_points")).groupBy("nid").agg(F.count(F.lit(1)).alias("days"))
+    return cals.select("nid").distinct().join(rows, "nid", "left").select("nid", F.coalesce("days", F.lit(0)).alias("days"))
+
+
+@register(
+    "q1_sql_report",
+    """SELECT o_orderpriority, count(*) AS n, 5 AS rows FROM orders GROUP BY o_orderpriority ORDER BY n DESC, o_orderpriority LIMIT 3""",
+)
+def q1_sql_report(spark, sf_dir):
+    """The first rows of a statement over a stored archive table, and how many it has."""
+    from lakefold.plans.jobs import scratch_dir
+    from lakefold.plans.sqlrun import run_sql_report
+    from lakefold.storage.table import ArchiveTable
+
+    t = ArchiveTable(spark, scratch_dir(spark, "report"))
+    t.save(derive.table(spark, sf_dir, "orders"), "overwrite", partition_by=["o_orderpriority"])
+    got = run_sql_report(spark, "SELECT o_orderpriority, count(*) AS n FROM archive GROUP BY 1 ORDER BY n DESC, 1", {"archive": t}, limit=3)
+    rows = [(*r, got["rows"]) for r in got["data"]]
+    return spark.createDataFrame(rows, "o_orderpriority string, n long, rows int")
+
+
 # --- F11 / F15 / J6: first-N hotels, batches of 30, hotel x rate kind -------------------------
 @register("f11_first_n_hotels", f"SELECT nid FROM ({_HOTELS_SQL}) ORDER BY nid LIMIT 30")
 def f11_first_n_hotels(spark, sf_dir):
@@ -193,10 +247,14 @@ def f14_top_orders(spark, sf_dir):
     return select.top_k(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10)
 
 
-@register("f16_preview", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 10")
+@register(
+    "f16_preview",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
+       FROM orders ORDER BY o_orderkey LIMIT 10""",
+)
 def f16_preview(spark, sf_dir):
-    o = derive.table(spark, sf_dir, "orders").drop("o_orderdate")
-    return select.preview(o, ["o_orderkey"])
+    shown = select.preview(derive.table(spark, sf_dir, "orders"), ["o_orderkey"])
+    return shown.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
 # --- W1-W3: fold of all event pages in one job --------------------------------------------

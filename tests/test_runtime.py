@@ -24,6 +24,20 @@ def test_run_sql_blank_and_errors(spark):
     assert "error" in bad
 
 
+def test_sql_report_returns_rows_in_order_and_errors_of_shown_columns(spark, scratch):
+    rep = run_sql_report(spark, "SELECT id, id AS id, null AS nothing, interval 1 day AS d FROM range(1000) ORDER BY id DESC", limit=3)
+    assert rep["columns"] == ["id", "id", "nothing", "d"] and rep["rows"] == 1000 and rep["truncated"]
+    assert [r[:3] for r in rep["data"]] == [[999, 999, None], [998, 998, None], [997, 997, None]]
+    # Only the shown column fails: a count of the rows would not notice.
+    bad = run_sql_report(spark, "SELECT id, assert_true(id < 5) AS checked FROM range(10)")
+    assert "assert_true" in bad["error"].lower() or "is not true" in bad["error"]
+    none = run_sql_report(spark, "SELECT 1 AS x WHERE false")
+    assert (none["rows"], none["data"], none["truncated"]) == (0, [], False)
+    t = ArchiveTable(spark, scratch + "/t")
+    t.save(spark.range(4).toDF("k"), "merge", ["k"])
+    assert run_sql_report(spark, "SELECT sum(k) AS s FROM stored", {"stored": t})["data"] == [[6]]
+
+
 def test_validation_rules_and_strict(spark, wide_rows):
     rows = [*wide_rows, sample_record(3, YMileageCost=""), sample_record(4, Route=None), sample_record(5, YAvailable=None),
             sample_record(6, ParsedDate="soon"), sample_record(7, ID=None, WRemainingSeats=None)]

@@ -114,7 +114,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"), MIX_WEIGHTS)
 
 
-@register("op3_near_duplicates")
+@register("op3_near_duplicates", f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]) END) AS shingle
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+walk AS (SELECT doc_id AS id, doc_id AS reach FROM d UNION SELECT w.id, l.b FROM walk w JOIN link l ON l.a = w.reach),
+comp AS (SELECT id, min(reach) AS component_id FROM walk GROUP BY id)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN comp ON comp.id = doc_id LEFT JOIN n USING (doc_id)""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingles agree in three quarters."""
     return near_dup.duplicates(table(spark, sf_dir, "documents"))

@@ -39,7 +39,7 @@ _ZERO = re.compile(r"^([0-9]+)(?:\.0)+$")
 class Settings:
     coverage: float = 0.8    # least share of a notice's words
     apart: int = 6           # most foreign words between two aligned ones
-    marks: tuple = ("licen", "copyright", "permission", "redistribut", "waived", "rights")  # starts of marking words
+    marks: tuple = ("licen", "copyright", "permission", "redistribut", "waived", "rights", "unencumbered")  # starts of marking words
 
 
 def words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
@@ -195,7 +195,10 @@ def with_licenses(docs: DataFrame, notices=None, s: Settings = Settings(), text_
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per document: its licences, how many notices, their spans, the best coverage."""
+    """Per document: its licences, how many notices, their spans, the best
+    coverage.  Null and empty texts have none; of notices that tie for a place
+    the earlier one in the table counts; repeated rows are each returned; an
+    empty table gives an empty result."""
     d = with_licenses(docs.select("doc_id", "text"))
     span = lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"), x["end"].cast("string"))
     return d.select(

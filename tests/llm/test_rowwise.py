@@ -271,6 +271,27 @@ def test_licences_side_by_side():
     assert [g["license"] for g in finder.find(mixed)] == ["CC-BY-4.0", "CC-BY-SA-4.0", "MIT", "MIT"]
 
 
+BSD = [body for name, body in licenses.NOTICES if "Redistributions in binary form" in body]
+
+
+@pytest.mark.parametrize("text, names", [
+    (BSD[0] + " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS", ["BSD-3-Clause"]), (BSD[1] + " BY THE AUTHOR ``AS IS''", ["BSD-2-Clause"]),
+    (f"{BSD[1]} BY X. {BSD[0]}", ["BSD-2-Clause", "BSD-3-Clause"]),
+    ("# SPDX-License-Identifier: BSD-2-Clause\nimport x", ["BSD-2-Clause"]), ("// SPDX-License-Identifier: MIT", ["MIT"]),
+    ("SPDX-License-Identifier: MPL-1.1", []), ("Licensed under the GNU GPL v3.", ["GPL-3.0"]), ("Licensed under the GNU GPL v4.", []),
+    ("Some prose that ends here. All rights reserved.", ["reserved"]), ("Copyright 2031 Some One. All rights reserved.", ["reserved"]),
+    ("He reserved all rights of way.", []),
+])
+def test_kin_are_told_apart(text, names):
+    assert [g["license"] for g in licenses.Finder(licenses.NOTICES, licenses.Settings()).find(text)] == names
+
+
+def test_licence_report_with_repeats_and_nothing(spark):
+    docs = spark.createDataFrame([(1, "All rights reserved.", "x"), (1, "All rights reserved.", "x")], "doc_id long, text string, licenses string")
+    assert [tuple(r) for r in licenses.report(docs).collect()] == [(1, 1, "reserved", "reserved:0:19", 1.0)] * 2
+    assert licenses.report(docs.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("text", [
     "Licensed under the BSD License.", "Licensed under CC BY-ND 4.0.", "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY 3.0.",
     "This work is licensed under the GNU Lesser General Public License, version 3.",

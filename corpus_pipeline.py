@@ -15,27 +15,33 @@ from lakefold.llm.queries import MIX_WEIGHTS
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go.  Learnt from the labelled documents
-    among those that the stage gets."""
+    among those that the stage gets.  Null and empty texts score by the bias
+    alone and stay; repeated rows stay or go together; no rows give none."""
     return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the smallest id."""
+    """One document of each group of near copies stays: the smallest id.
+    Texts without words and rows without id are no copies; of rows that repeat
+    an id and its text one stays."""
     return near_dup.deduplicate(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a ten-word window of a benchmark item go."""
+    """Documents that hold a ten-word window of a benchmark item go.  Null and
+    empty texts hold none; null and empty items have none."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is masked by its kind; ``n_chars`` follows the text."""
+    """Personal data is masked by its kind; ``n_chars`` follows the text.
+    Null texts stay null, all rows stay."""
     return pii.redact(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are mixed to their target weights: one row a copy taken."""
+    """Sources are mixed to their target weights: one row a copy taken.  A null
+    source is a source; texts without words are not taken."""
     return mixing.mix(docs, MIX_WEIGHTS)
 
 
@@ -48,8 +54,8 @@ STAGES = [
 ]
 
 # A trained classifier and a trained tagger decide what stays and what it
-# reads: SQL cannot express them.  tests/llm holds near_dedup against all
-# pairs; of the other stages it checks rows and columns, not a plain version.
+# reads: SQL cannot express them.  tests/llm holds every stage against a plain
+# version (near_dedup: all pairs; toxicity: a plain forward pass of its model).
 ORACLE_SQL = None
 
 

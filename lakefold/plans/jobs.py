@@ -67,12 +67,23 @@ def land_pages(records: DataFrame, path: str, page_size: int = PAGE_SIZE) -> Non
     out.write.mode("overwrite").partitionBy("program").json(path)
 
 
-def landed_once(spark: SparkSession, key: str, writer) -> str:
-    """Folder of derived landed files for ``key`` under the shared checkpoint
-    folder, written by ``writer(path)`` the first time only (a marker file
-    is written last, so a half-written landing is redone)."""
+def files_digest(*tables: DataFrame) -> int:
+    """A number that changes with the files (path, size, time) of the tables."""
+    total = 0
+    for t in tables:
+        m = t.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        total ^= m.agg(F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time")).alias("x")).first().x or 0
+    return total
+
+
+def landed_once(spark: SparkSession, key: str, writer, *inputs: DataFrame) -> str:
+    """Folder of derived landed files for ``key`` and the files of ``inputs``
+    under the shared checkpoint folder, written by ``writer(path)`` the first
+    time only (a marker file is written last, so a half-written landing is
+    redone; other input files are landed anew)."""
     import hashlib
 
+    key = f"{key}:{files_digest(*inputs)}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakefold/landed-{hashlib.sha1(key.encode()).hexdigest()[:16]}"
     try:
         spark.read.text(f"{path}/_landed").take(1)

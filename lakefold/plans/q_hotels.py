@@ -149,3 +149,32 @@ def k9_hotel_pages(spark, sf_dir):
     rejects = rejects.select("url", F.element_at("_reasons", 1).alias("outcome"), F.lit(0).cast("long").alias("days"))
     both = stored.unionByName(rejects)
     return both.select(F.regexp_extract("url", "([0-9]+)$", 1).cast("long").alias("page_id"), "outcome", "days")
+
+
+_ROUTE_FAULT = """CASE (c_custkey // 20) % 7 WHEN 1 THEN 'missing:routes[].Distance' WHEN 2 THEN 'type:routes[].NumDaysOut' WHEN 3 THEN 'type:routes'
+  WHEN 4 THEN 'json' WHEN 5 THEN 'type:routes[].OriginAirport' ELSE 'valid' END"""
+
+
+@register("p5_route_reasons", f"""SELECT reason, count(*) AS pages, CAST(sum(n) AS BIGINT) AS routes FROM (
+    SELECT c_custkey // 20 AS page, {_ROUTE_FAULT} AS reason, count(*) AS n FROM customer GROUP BY ALL) GROUP BY reason""")
+def p5_route_reasons(spark, sf_dir):
+    """Pages of twenty routes: one bad route rejects its page; the routes that go with it are counted."""
+    c = derive.table(spark, sf_dir, "customer")
+    page, first = F.expr("c_custkey div 20"), F.col("c_custkey") % 20 == 7
+    fault = page % 7
+    route = F.struct(
+        F.concat(F.lit("route-"), F.col("c_custkey").cast("string")).alias("ID"), F.col("c_name").alias("OriginAirport"),
+        F.col("c_mktsegment").alias("OriginRegion"), F.col("c_name").alias("DestinationAirport"), F.lit("DOMESTIC").alias("DestinationRegion"),
+        F.col("c_nationkey").cast("int").alias("NumDaysOut"), F.when(~(first & (fault == 1)), F.col("c_nationkey") * 100).alias("Distance"),
+        F.lit("aeroplan").alias("Source"))
+    text = F.to_json(route)
+    text = (F.when(first & (fault == 2), F.regexp_replace(text, '"NumDaysOut":[0-9]+', '"NumDaysOut":"soon"'))
+            .when(first & (fault == 5), F.regexp_replace(text, '"OriginAirport":"[^"]*"', '"OriginAirport":12')).otherwise(text))
+    # Twenty routes a page at most.
+    landed = c.select(page.alias("page"), fault.alias("fault"), text.alias("t")).groupBy("page", "fault").agg(
+        F.concat(F.lit("["), F.concat_ws(",", F.collect_list("t")), F.lit("]")).alias("text"), F.count(F.lit(1)).alias("n"))
+    text = F.when(F.col("fault") == 3, F.concat(F.lit('{"data":'), "text", F.lit("}"))).when(
+        F.col("fault") == 4, F.expr("substring(text, 1, length(text) - 3)")).otherwise(F.col("text"))
+    told = landed.select("n", J.route_reasons(text).alias("r"))
+    reason = F.explode(F.when(F.size("r") == 0, F.array(F.lit("valid"))).otherwise(F.col("r")))
+    return told.select("n", reason.alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("routes"))

@@ -165,6 +165,26 @@ def calendar_reasons(text: Column) -> Column:
     return F.array_compact(F.array(*(F.when(F.coalesce(cond, F.lit(False)), F.lit(reason)) for cond, reason in told)))
 
 
+def route_reasons(text: Column) -> Column:
+    """P5 for a landed array of routes: what is wrong with it, over all its
+    routes (empty: nothing).  All fields of a route are required; one bad
+    route rejects the whole page."""
+    v = F.try_parse_json(text)
+    is_list = F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    items = F.when(is_list, F.try_variant_get(v, "$", "array<variant>"))
+    some = lambda test: F.coalesce(F.exists(items, test), F.lit(False))
+    no_object = some(lambda x: ~F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)))
+    told = [(v.isNull(), "json"), (v.isNotNull() & ~is_list, "type:routes"), (no_object, "type:routes[]")]
+    def field_is(test, name: str, kind: str) -> Column:
+        return some(lambda x: test(*variant_field(x, name, kind)))
+
+    for f in S.ROUTE.fields:
+        kind = "int" if isinstance(f.dataType, T.IntegerType) else "text"
+        missing = field_is(lambda value, wrong: value.isNull() & ~wrong, f.name, kind) & ~no_object
+        told += [(missing, f"missing:routes[].{f.name}"), (field_is(lambda value, wrong: wrong, f.name, kind), f"type:routes[].{f.name}")]
+    return F.array_compact(F.array(*(F.when(F.coalesce(cond, F.lit(False)), F.lit(reason)) for cond, reason in told)))
+
+
 def request_params(**params) -> dict:
     """Drop unset parameters; dates become ISO text."""
     import datetime as _dt

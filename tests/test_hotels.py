@@ -145,3 +145,17 @@ def test_hotel_job_over_a_folder(spark, scratch):
     assert hotels == {1: (f"{site}/h/1", None, "t & t"), 4: (f"{site}/h/4", 9, "t & t")}
     again = run_hotel_folder(spark, str(landed), root, site)
     assert again["hotels"]["rows_written"] == 0 and again["availability"]["rows_written"] == 0
+
+
+ROUTE = {"ID": "r", "OriginAirport": "OSL", "OriginRegion": "Nordics", "DestinationAirport": "BGO", "DestinationRegion": "Nordics",
+         "NumDaysOut": 60, "Distance": "330", "Source": "nosuch"}
+
+
+@pytest.mark.parametrize("text, reasons", [
+    (json.dumps([ROUTE, ROUTE]), []), ("[]", []), (json.dumps(ROUTE), ["type:routes"]), ("[{", ["json"]), (json.dumps([ROUTE, 4]), ["type:routes[]"]),
+    (json.dumps([ROUTE, {k: v for k, v in ROUTE.items() if k != "ID"}, ROUTE | {"NumDaysOut": 1.5, "Source": None}]),
+     ["missing:routes[].ID", "type:routes[].NumDaysOut", "missing:routes[].Source"]),
+])
+def test_route_rules_reach_every_route(spark, text, reasons):
+    got = spark.createDataFrame([(text,)], "t string").select(J.route_reasons(F.col("t")).alias("r")).first()
+    assert list(got.r) == reasons

@@ -125,3 +125,16 @@ def test_dedup_stores_what_a_failed_drain_left(spark, scratch, monkeypatch):
             ingest.dedup_stream(spark, landed, out, ckpt, keys=["ID"])
     assert ingest.dedup_stream(spark, landed, out, ckpt, keys=["ID"])["rows"] == 4
     assert spark.read.parquet(out).count() == 4
+
+
+def test_landed_files_follow_their_input(spark, scratch):
+    from lakefold.plans.jobs import landed_once
+
+    def land():
+        source = spark.read.parquet(scratch + "/in")
+        return spark.read.json(landed_once(spark, "same:" + scratch, lambda path: source.write.json(path + "/rows"), source) + "/rows").count()
+
+    spark.range(3).write.parquet(scratch + "/in")
+    assert land() == land() == 3
+    spark.range(2).write.mode("append").parquet(scratch + "/in")
+    assert land() == 5

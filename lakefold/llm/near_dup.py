@@ -262,13 +262,32 @@ def _mixed(members: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
 def _linked_rest(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Round two in larger nodes: links between different components, as
     edges to the smallest of those joined in the node.  The blocks of a very
-    large one meet each other in cells of bounded sets."""
+    large one meet each other in cells of bounded sets.  Members that the
+    sketches pair with nothing outside their component are left out first."""
+
+    def open_pairs(frame: pd.DataFrame, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of rows a to b, one cell, that may link different components; how many places agree."""
+        label, n, block = (frame[c].to_numpy()[a:b] for c in ("label", "n", "block"))
+        sk = np.frombuffer(b"".join(frame["sketch"].iloc[a:b]), np.uint8).reshape(-1, _PLACES)
+        agree = _agree(sk, n, s)
+        near = (agree >= s.floor_agree) & (label[:, None] != label[None, :])
+        if frame["i"].iloc[a] != frame["j"].iloc[a]:
+            near &= block[:, None] != block[None, :]
+        x, y = np.nonzero(np.triu(near, 1))
+        return x, y, agree[x, y]
+
+    def some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _groups(batches, ["node", "i", "j"]):
+            at = _bounds(frame, ["node", "i", "j"])
+            keep = [np.zeros(0, np.int64)]
+            for a, b in zip(at[:-1], at[1:]):
+                x, y, _ = open_pairs(frame, a, b)
+                keep.append(a + np.unique(np.concatenate([x, y])))
+            yield frame.iloc[np.concatenate(keep)]
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _groups(batches, ["node", "i", "j"]):
-            fp, label, n, block = (frame[c].to_numpy() for c in ("fp", "label", "n", "block"))
-            across = frame["i"].to_numpy() != frame["j"].to_numpy()
-            sk = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, _PLACES)
+            fp, label = frame["fp"].to_numpy(), frame["label"].to_numpy()
             items = [np.frombuffer(x, np.uint64) for x in frame["items"]]
             at = _bounds(frame, ["node", "i", "j"])
             out = []
@@ -281,12 +300,8 @@ def _linked_rest(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
                         x = root[x]
                     return x
 
-                agree = _agree(sk[a:b], n[a:b], s)
-                near = (agree >= s.floor_agree) & (label[a:b, None] != label[None, a:b])
-                if across[a]:
-                    near &= block[a:b, None] != block[None, a:b]
-                x, y = np.nonzero(np.triu(near, 1))
-                order = np.argsort(-agree[x, y], kind="stable")  # the closest first: most others then need no look
+                x, y, agree = open_pairs(frame, a, b)
+                order = np.argsort(-agree, kind="stable")  # the closest first: most others then need no look
                 for i, j in zip((a + x[order]).tolist(), (a + y[order]).tolist()):
                     u, v = top(int(label[i])), top(int(label[j]))
                     if u != v and _close(items[i], items[j], s):
@@ -298,8 +313,10 @@ def _linked_rest(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                          "block", "fp", "label", "n", "sketch")
-    flat = cells.join(sets, "fp").repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "fp")
-    return flat.mapInPandas(link, "a long, b long").distinct()
+    dealt = lambda df: df.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "fp")
+    # Only members with such a pair are sent their sets.
+    cells = dealt(cells).mapInPandas(some, "node long, i int, j int, block int, fp long, label long, n long, sketch binary")
+    return dealt(cells.join(sets, "fp")).mapInPandas(link, "a long, b long").distinct()
 
 
 def _proposed_rest(rows: DataFrame, s: Settings) -> DataFrame:

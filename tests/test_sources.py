@@ -27,10 +27,10 @@ def test_page_envelope_empty_and_with_more(spark):
 
 
 def test_route_array(spark):
-    arr = json.dumps([{"ID": "r1", "OriginAirport": "SFO", "NumDaysOut": 3, "Distance": 100, "Source": "aeroplan"},
-                      {"ID": "r2", "OriginAirport": "LAX"}])
+    arr = json.dumps([{"ID": "r1", "OriginAirport": "TRD", "NumDaysOut": 3, "Distance": 100, "Source": "aeroplan"},
+                      {"ID": "r2", "OriginAirport": "BOO"}])
     out = J.routes(texts(spark, [arr]), "text").collect()
-    assert [(r.ID, r.OriginAirport, r.NumDaysOut) for r in out] == [("r1", "SFO", 3), ("r2", "LAX", None)]
+    assert [(r.ID, r.OriginAirport, r.NumDaysOut) for r in out] == [("r1", "TRD", 3), ("r2", "BOO", None)]
 
 
 def test_trip_envelope_unwrap(spark):
@@ -43,15 +43,15 @@ def test_trip_envelope_unwrap(spark):
 
 def test_calendar_two_dates_empty_map_and_empty_list(spark):
     cal = json.dumps({"count": 2, "currency_code": "USD", "results": {
-        "2025-03-15": {"lowestRate": 350.0, "lowestPointsRate": None, "available": True},
-        "2025-03-16": {"lowestRate": None, "lowestPointsRate": 20000}}})
+        "2032-11-08": {"lowestRate": 187.25, "lowestPointsRate": None, "available": True},
+        "2032-11-09": {"lowestRate": None, "lowestPointsRate": 31500}}})
     empty_map = json.dumps({"count": 0, "results": {}})
     empty_list = json.dumps({"count": 0, "results": []})
     df = spark.createDataFrame([(1, cal), (2, empty_map), (3, empty_list)], "nid long, text string")
     rows = flatten_hotel_availability(J.calendar_rows(df, "text", "nid", True))
     assert rows.columns == S.HOTEL_AVAILABILITY.fieldNames()
     got = sorted((r.nid, r.date, r.lowest_rate, r.lowest_points_rate, r.available) for r in rows.collect())
-    assert got == [(1, "2025-03-15", 350.0, None, True), (1, "2025-03-16", None, 20000, False)]
+    assert got == [(1, "2032-11-08", 187.25, None, True), (1, "2032-11-09", None, 31500, False)]
 
 
 def test_points_and_cash_split(spark):
@@ -99,8 +99,8 @@ def test_embedded_script_counts(spark):
 
 
 def test_request_params_drop_unset_and_iso_dates():
-    p = J.request_params(source="aeroplan", cabin=None, start_date=dt.date(2025, 3, 15), end_date=None, take=5000)
-    assert p == {"source": "aeroplan", "start_date": "2025-03-15", "take": 5000}
+    p = J.request_params(source="aeroplan", cabin=None, start_date=dt.date(2032, 11, 8), end_date=None, take=5000)
+    assert p == {"source": "aeroplan", "start_date": "2032-11-08", "take": 5000}
 
 
 def test_numeric_entities_and_plain_values(spark):

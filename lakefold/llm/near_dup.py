@@ -38,6 +38,7 @@ from lakefold.llm.textnum import mix, slices, word_hashes
 
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 _PLACES = 128
+_FEW = 200_000  # rows of a table of keys that is broadcast at most
 
 
 @dataclass(frozen=True)
@@ -421,6 +422,12 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """A stored table of two or three numbers a row, broadcast if its rows are
+    few, so that the documents need not be moved to meet it."""
+    return F.broadcast(keys) if keys.count() <= _FEW else keys
+
+
 def _labelled(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(doc_id, h, n, fp) of each row, and (fp, label, component_id) of each
     shingle set: the sets of one label are linked."""
@@ -477,7 +484,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
 
     wanted = wanted.withColumnsRenamed({"doc_id": "_id", "h": "_h"})
     keyed = _keyed(docs).select("doc_id", "h", "text")
-    texts = keyed.join(wanted, (keyed["h"] == wanted["_h"]) & keyed["doc_id"].eqNullSafe(wanted["_id"]))
+    texts = keyed.join(_few(wanted), (keyed["h"] == wanted["_h"]) & keyed["doc_id"].eqNullSafe(wanted["_id"]))
     sets = texts.select("fp", "text").mapInPandas(of, "fp long, items binary")
     return sets.dropDuplicates(["fp"])
 
@@ -492,9 +499,17 @@ def deduplicate(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     rows, named = _labelled(docs, s)
     rows = rows.filter("doc_id IS NOT NULL").join(named.select("fp", "label"), "fp", "left")
     group = F.struct(F.col("label").isNull().alias("alone"), F.coalesce("label", "doc_id").alias("of"))
-    best = rows.groupBy(group.alias("g")).agg(F.min(F.struct("doc_id", "h")).alias("row"))
-    best = stored(best.select(F.col("row.doc_id").alias("_llm_id"), F.col("row.h").alias("_llm_h")).distinct(), "kept")
+    rows = stored(rows.select(group.alias("g"), "doc_id", "h"), "groups")
+    best = rows.groupBy("g").agg(F.min(F.struct("doc_id", "h")).alias("row"))
+    # What goes is told by id and text; most documents are in neither of these tables.
+    gone = rows.join(best, "g").filter((F.col("doc_id") != F.col("row.doc_id")) | (F.col("h") != F.col("row.h")))
+    gone = stored(gone.select(F.col("doc_id").alias("_llm_id"), F.col("h").alias("_llm_h")).distinct(), "gone")
+    again = rows.groupBy(F.col("doc_id").alias("_llm_id"), F.col("h").alias("_llm_h")).agg(F.count(F.lit(1)).alias("k"))
+    again = stored(again.filter("k > 1").drop("k"), "again")
     keyed = docs.withColumns({"_llm_d": F.col("doc_id").cast("long"), "_llm_t": F.xxhash64("text")})
-    same = (keyed["_llm_d"] == best["_llm_id"]) & (keyed["_llm_t"] == best["_llm_h"])
-    one = keyed.join(best, same, "left_semi").dropDuplicates(["_llm_d", "_llm_t"])
-    return one.unionByName(keyed.filter(F.col("_llm_d").isNull())).select(*docs.columns)
+    same = lambda t: (keyed["_llm_d"] == t["_llm_id"]) & (keyed["_llm_t"] == t["_llm_h"])
+    keyed = keyed.join(_few(gone), same(gone), "left_anti")
+    if not again.isEmpty():
+        once = keyed.join(_few(again), same(again), "left_semi").dropDuplicates(["_llm_d", "_llm_t"])
+        keyed = keyed.join(_few(again), same(again), "left_anti").unionByName(once)
+    return keyed.select(*docs.columns)

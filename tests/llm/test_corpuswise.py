@@ -116,6 +116,17 @@ def test_texts_of_one_id_link_each_by_itself(spark):
     assert [i for i, _ in kept] == [1, 1, 5, 6] and kept[:2] == [(1, "a"), (1, "b")]  # two groups, both named 1
 
 
+def test_dedup_moves_documents_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = near_rows()[::3]
+    rows = [(i, t, "s") for i, t in rows] + [(i, t, "again") for i, t in rows[:9]] + [(None, rows[0][1], "none")]
+    docs = docs_frame(spark, extended(rows))
+    want = sorted(map(str, near_dup.deduplicate(docs).drop("source").collect()))
+    monkeypatch.setattr(near_dup, "_FEW", 0)
+    assert sorted(map(str, near_dup.deduplicate(docs).drop("source").collect())) == want
+    one = plain_components([(i, t) for i, t, _ in rows if i is not None])
+    assert len(want) == 1 + sum(i == c for i, (_, c) in one.items())
+
+
 def test_nodes_of_many_shingles_confirm_links_in_cells(spark):
     rng = random.Random(11)
     base = words_of(rng, 120)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -134,3 +135,34 @@ def test_flight_pipeline_keeps_rejects_and_default_layout(spark, scratch):
     assert r.ID == "rec9" and list(r._reasons) == ["value:Source"]
     t = ArchiveTable(spark, scratch + "/t")
     assert t.info()["metadata"]["partition_by"] == S.FLIGHT_PARTITIONS and t.info()["metadata"]["keys"] == S.FLIGHT_KEYS
+
+
+def test_landed_pages_are_compressed_in_bounded_files_and_read_back(spark, scratch, monkeypatch):
+    from lakefold.plans import jobs
+
+    monkeypatch.setattr(jobs, "_PAGES_A_FILE", 2, raising=False)
+    records = spark.createDataFrame([_rec(i, str(i), Source="united") for i in range(9)], S.AVAILABILITY_RECORD)
+    jobs.land_pages(records, scratch + "/landed", page_size=1)
+    files = [f for _, _, names in os.walk(scratch + "/landed") for f in names if f.startswith("part-")]
+    pages = jobs.read_landed_pages(spark, scratch + "/landed")
+    assert all(f.endswith(".json.gz") for f in files) and len(files) >= pages.count() / 2
+    assert sum(len(r.data) for r in pages.collect()) == 9
+    assert run_flight_pipeline(spark, scratch + "/landed", scratch + "/t", **KEYED)["rows_inserted"] == 9
+
+
+def test_pages_become_rows_and_are_not_cached_whole(spark, scratch, monkeypatch):
+    """Empty and unreadable pages are a row each; nothing stays cached while the batch is saved."""
+    from pyspark.sql import DataFrame
+
+    from lakefold.plans import jobs
+
+    def refuse(self, *a):
+        raise AssertionError("cached")
+
+    _land(scratch + "/landed/run=3/program=a", [_page(0, [_rec(1, "1"), _rec(2, "2")], True), _page(1, [], True), "{\"data\": [oops"])
+    rows = jobs.page_rows(jobs.read_landed_pages(spark, scratch + "/landed")).collect()
+    assert sorted((r._pos, r.ID, r.n_records, r._told) for r in rows if r._pos is not None) == [(0, "rec1", 2, None), (1, "rec2", 2, None)]
+    assert [r._told for r in rows if r._pos is None and r._raw] == [["corrupt:page"]] and len(rows) == 4
+    monkeypatch.setattr(DataFrame, "persist", refuse)
+    st = run_flight_pipeline(spark, scratch + "/landed", scratch + "/t", **KEYED)
+    assert (st["rows_inserted"], st["rejects"], st["pages_fetched"]) == (2, 1, 1)

@@ -299,6 +299,20 @@ def _phrase(words: pa.Array, ids) -> bytes:
     return b" ".join(words[k].as_py() for k in ids if k)
 
 
+_SMALL = 1 << 30  # bytes of phrases that 32-bit offsets hold with room to spare
+
+
+def _added(t: pa.Table) -> pa.Table:
+    """The counts of each phrase added up.  Arrow groups texts of 32-bit
+    offsets at a small part of the cost of others, which are left for what
+    is too large for them."""
+    wide, small = t.schema.field("phrase").type, t["phrase"].nbytes < _SMALL
+    if small:
+        t = t.set_column(0, "phrase", t["phrase"].cast(pa.binary()))
+    t = t.group_by("phrase", use_threads=False).aggregate([("f", "sum")])
+    return pa.table({"phrase": t["phrase"].cast(wide) if small else t["phrase"], "f": t["f_sum"]})
+
+
 _RUN = "part int, lang string, low binary, n int, data binary, lengths binary, ids binary, counts binary"
 _COUNTS = "lang string, phrase string, words int, f long"
 
@@ -360,8 +374,7 @@ def merged(found: DataFrame, s: Settings, tasks: int) -> DataFrame:
                                                words.cast(pa.int32()), t["f"].combine_chunks()], ["lang", "phrase", "words", "f"])
 
         def added() -> pa.Table:
-            t = pa.concat_tables(held).group_by("phrase").aggregate([("f", "sum")])
-            return t.select(["phrase", "f_sum"]).rename_columns(["phrase", "f"])
+            return _added(pa.concat_tables(held))
 
         limit = 16 * chunk
         for b in batches:

@@ -103,3 +103,17 @@ def test_trie_bursts_and_spills_whole_subtrees():
     assert {int(x) >> 42 for x in k} == {3} and t.size == len(keys) - len(k)  # the largest subtree went whole
     rest, more = t.spill(0)
     assert dict(zip(np.append(k, rest).tolist(), np.append(c, more).tolist())) == want and t.size == 0
+
+
+@pytest.mark.parametrize("bytes_", [0, 1 << 30])
+def test_counts_add_up_alike_in_narrow_and_wide_offsets(monkeypatch, bytes_):
+    import pyarrow as pa
+
+    from lakefold.llm import collocations as C
+
+    monkeypatch.setattr(C, "_SMALL", bytes_)
+    t = pa.concat_tables([pa.table({"phrase": pa.array(p, pa.large_binary()), "f": pa.array(f, pa.int64())})
+                          for p, f in (([b"", b"a b", b"\xff c"], [9, 1, 2]), ([b"a b", b"z"], [5, 1 << 40]), ([], []))])
+    got = C._added(t)
+    assert got.schema.field("phrase").type == pa.large_binary()
+    assert dict(zip(*got.to_pydict().values())) == {b"": 9, b"a b": 6, b"\xff c": 2, b"z": 1 << 40}

@@ -28,7 +28,8 @@ from lakefold.llm.common import crc_of_id
 from lakefold.llm.textnum import class_rates, encode, labelled_sample, slices, subwords
 
 _TOKENS = re.compile(r"\w+").findall
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 100_000  # of each Python worker, all of which share an executor's memory
+_SLICE = 1_000_000      # characters that are split into words at once
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,7 @@ def _sigmoid(x):
 def _bags(texts: list[str], s: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
     """Each text's buckets, and how many of its subwords fall in each (65,535 stands for more)."""
     bags = []
-    for _, part in slices(texts, 1_000_000):
+    for _, part in slices(texts, _SLICE):
         codes, offsets, words = encode([t.lower() for t in part], _TOKENS)
         number, bucket = subwords(words, s.low, s.high, s.buckets)
         bucket = bucket[np.argsort(number, kind="stable")].astype(np.int32)
@@ -134,7 +135,7 @@ def score_texts(texts, model: Model, cache: dict[str, tuple[float, int]] | None
     """Probability of class 1 of each whole text (None counts as "")."""
     cache = {} if cache is None else cache
     out = np.empty(len(texts))
-    for at, part in slices(texts):
+    for at, part in slices(texts, _SLICE):
         codes, offsets, words = encode([t.lower() for t in part], _TOKENS)
         new = [w for w in words if w not in cache]
         if len(cache) + len(new) > _CACHE_WORDS:
@@ -184,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
         if not parts:
             return
         rows = pd.concat(parts).sort_values("doc_id", kind="stable")
+        parts.clear()
         model = fit(rows["text"].tolist(), rows["y"].to_numpy(int), s, rate)
         yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
 

@@ -304,3 +304,18 @@ def test_licence_report_with_repeats_and_nothing(spark):
 def test_other_licences_are_not_taken_for_these(text):
     finder = licenses.Finder(licenses.NOTICES, licenses.Settings())
     assert finder.find(text) == [] and finder.find(f"Some words. {text} More words.") == []
+
+
+def test_toxicity_scores_do_not_follow_slices_or_cached_words(monkeypatch):
+    import numpy as np
+
+    from lakefold.llm import toxicity as tox
+
+    texts = [" ".join(f"w{(7 * i + j) % 90}" for j in range(i)) for i in range(60)] + [None, ""]
+    model = tox.Model(np.linspace(-1, 1, 1 << 10).astype(np.float32), 0.1, 3, 6)
+    want = tox.score_texts(texts, model)
+    monkeypatch.setattr(tox, "_SLICE", 40)
+    monkeypatch.setattr(tox, "_CACHE_WORDS", 64)
+    kept = {}
+    assert np.allclose(tox.score_texts(texts, model, kept), want, rtol=0, atol=1e-12) and len(kept) <= 64
+    assert tox.score_texts(texts, model, {}).tolist() == tox.score_texts(texts, model, {}).tolist()

@@ -166,3 +166,61 @@ def test_pages_become_rows_and_are_not_cached_whole(spark, scratch, monkeypatch)
     monkeypatch.setattr(DataFrame, "persist", refuse)
     st = run_flight_pipeline(spark, scratch + "/landed", scratch + "/t", **KEYED)
     assert (st["rows_inserted"], st["rejects"], st["pages_fetched"]) == (2, 1, 1)
+
+
+def test_pages_land_and_merge_in_slices(spark, scratch, monkeypatch):
+    """Slices hold all records once; cursors stay 0, 1, ... and only a program's last page says so."""
+    from lakefold.plans import jobs
+    from lakefold.storage import table
+
+    monkeypatch.setattr(jobs, "_SLICE_RECORDS", 10)
+    monkeypatch.setattr(table, "_SLICE_ROWS", 8)
+    records = spark.createDataFrame([_rec(i, str(i), Source=("united", "alaska")[i % 2]) for i in range(30)], S.AVAILABILITY_RECORD)
+    asked = []
+
+    def part(k, n):
+        asked.append((k, n))
+        return records.filter(jobs.derive.slice_of("ID", n) == k)
+
+    jobs.land_pages(records, scratch + "/landed", page_size=5, part=part)
+    assert asked == [(0, 3), (1, 3), (2, 3)]
+    pages = jobs.read_landed_pages(spark, scratch + "/landed").collect()
+    for program in ("united", "alaska"):
+        own = sorted((p.cursor, p.hasMore) for p in pages if p.program == program)
+        assert [c for c, _ in own] == sorted({c for c, _ in own}) and [more for _, more in own] == [True] * (len(own) - 1) + [False]
+    assert sorted(r.ID for p in pages for r in p.data) == sorted(f"rec{i}" for i in range(30))
+    st = run_flight_pipeline(spark, scratch + "/landed", scratch + "/t", **KEYED)
+    assert (st["rows_inserted"], st["rows_written"], st["api_records"]) == (30, 30, 30)
+    assert sorted(_state(spark, scratch + "/t")) == sorted(f"rec{i}" for i in range(30))
+    again = run_flight_pipeline(spark, scratch + "/landed", scratch + "/t", **KEYED)
+    assert (again["rows_unchanged"], again["rows_written"]) == (30, 0)
+
+
+def test_fold_reads_the_batch_in_place(spark, scratch):
+    """Only keys, order and hash are shuffled, and a record that stands twice
+    at one page and place (of two programs) is taken once."""
+    from lakefold.plans import jobs
+
+    page = [_page(0, [_rec(1, "1"), _rec(2, "2")], True), _page(1, [_rec(1, "9")], False)]
+    for program in "ab":
+        _land(f"{scratch}/landed/run=0/program={program}", page)
+    rows = jobs.placed(jobs.scratch_table(jobs.page_rows(jobs.read_landed_pages(spark, scratch + "/landed")), "pages"))
+    batch, told, rejects, facts = jobs.flight_batch(rows, keys=["ID"])
+    plan = batch._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan
+    assert sorted((r.ID, r.YMileageCost) for r in batch.collect()) == [("rec1", "9"), ("rec2", "2")]
+    assert sorted(r[S.CONTENT_HASH] for r in batch.collect()) == sorted(r[S.CONTENT_HASH] for r in told.collect())
+    assert rejects.count() == 0 and facts.count() == 4
+
+
+def test_shuffled_files_go_when_a_query_ends(spark, scratch):
+    from lakefold.session import shuffles_end_with_queries
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = local.getAllBlocks().size()
+    with shuffles_end_with_queries(spark):
+        spark.range(1000).repartition(3).write.parquet(scratch + "/a")
+        assert local.getAllBlocks().size() <= held
+    assert spark.conf.get(name, None) == before

@@ -361,3 +361,27 @@ def test_pipeline_stages(spark):
             assert all(tuple(r) == tuple(before[r.doc_id]) for r in after)
         docs = spark.createDataFrame(after, out.schema)
     assert docs.columns[-1] == "copy" and docs.filter("copy > 2").count() == 0
+
+
+def test_long_queries_score_exactly_what_their_bounds_let_through():
+    """Same rows and scores as block by block, ties and earlier shards' best included, whatever is a row of the matrix."""
+    r = np.random.default_rng(7)
+    n, words = 90, 400
+    rows = [np.unique(r.zipf(1.3, 120) % words) for _ in range(n)]
+    rows[50:60] = [rows[3]] * 10  # equal documents: ties go by id
+    doc = np.repeat(np.arange(n), [len(x) for x in rows])
+    term = np.concatenate(rows).astype(np.int64)
+    order = np.lexsort((doc, term))
+    terms, sizes = np.unique(term, return_counts=True)
+    lengths = np.array([len(x) for x in rows], np.int32)
+    counts = r.integers(1, 4, words)[term[order]].astype(np.int32)
+    idf = np.log(1 + (n - sizes + 0.5) / (sizes + 0.5))
+    queries = [(t, idf[np.searchsorted(terms, t)]) for t in map(np.sort, rows[:40])]
+    queries += [(np.arange(1000, 1020), np.ones(20)), (terms[:3], idf[:3]), (terms[:0], idf[:0])]
+    for dense, most, k in ((16, 4096, 10), (1, 4096, 3), (1000, 5, 10), (16, 4096, 200)):
+        s = bm25.Settings(dense=dense, rows=most, k=k, block=8)
+        shard = bm25.Shard(np.arange(n)[::-1].copy(), lengths, terms, sizes.astype(np.int32), doc[order].astype(np.int32), counts, lengths.mean(), s)
+        assert len(shard.matrix) <= most
+        for tops in ([[] for _ in queries], [[(-5.0, 1000 + i) for i in range(k)] for _ in queries]):
+            want = [shard.best(t, w, top) for (t, w), top in zip(queries, tops)]
+            assert shard.best_of(queries, tops) == want

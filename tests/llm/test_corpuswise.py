@@ -385,3 +385,52 @@ def test_long_queries_score_exactly_what_their_bounds_let_through():
         for tops in ([[] for _ in queries], [[(-5.0, 1000 + i) for i in range(k)] for _ in queries]):
             want = [shard.best(t, w, top) for (t, w), top in zip(queries, tops)]
             assert shard.best_of(queries, tops) == want
+
+
+def test_shards_hold_documents_of_like_words_and_find_the_same(spark):
+    rng = random.Random(3)
+    vocab = [[f"{p}{k}" for k in range(80)] for p in ("a", "b")]
+    rows = [(k, " ".join(rng.choices(vocab[k % 2], [1 / (j + 1) for j in range(80)], k=rng.randint(20, 60)))) for k in range(400)]
+    docs = docs_frame(spark, extended([(i, t, "s") for i, t in rows])).repartition(3)
+    s = bm25.Settings(shard_docs=64, shard_postings=2000, block=8, k=5)
+    index = bm25.stored(bm25.build(docs, s), "index")
+    ids = [np.frombuffer(r.ids, np.int64) for r in index.filter("term IS NULL").collect()]
+    assert sorted(np.concatenate(ids).tolist()) == list(range(400))
+    assert len(ids) > 6 and all(len(set((x % 2).tolist())) == 1 and len(x) <= 64 for x in ids)
+    asked = docs["doc_id"] % 20 == 0
+    got = collections.defaultdict(list)
+    for r in bm25.search(index, bm25.queries_of(docs.filter(asked), index, 400, s), s).orderBy("query", "rank").collect():
+        got[r["query"]].append((-round(r.score, 9), r.doc_id))
+    assert dict(got) == plain_search(rows, range(0, 400, 20), s)
+
+
+def test_first_scores_are_reached_and_floors_lose_nothing():
+    """What the first shards promise a query is no more than their k-th best, and with it as a floor the best are the same."""
+    r = np.random.default_rng(11)
+    n, words = 200, 300
+    rows = [np.unique(r.zipf(1.2, r.integers(5, 150)) % words) for _ in range(n)]
+    rows[60:75] = [rows[9]] * 15
+    doc = np.repeat(np.arange(n), [len(x) for x in rows])
+    term = np.concatenate(rows).astype(np.int64)
+    order = np.lexsort((doc, term))
+    terms, sizes = np.unique(term, return_counts=True)
+    lengths = np.array([len(x) for x in rows], np.int32)
+    idf = np.log(1 + (n - sizes + 0.5) / (sizes + 0.5))
+    asked = [(t, idf[np.searchsorted(terms, t)]) for t in map(np.sort, rows[:60])]
+    block = bm25.Asked.of(np.arange(60), [len(t) for t, _ in asked], [t for t, _ in asked], [w for _, w in asked])
+    for few, dense, chunk in ((32, 16, 65_536), (1, 16, 50), (10_000, 4, 50), (32, 1000, 7)):
+        s = bm25.Settings(few=few, dense=dense, chunk=chunk, block=8, product=7)
+        shard = bm25.Shard(np.arange(n), lengths, terms, sizes.astype(np.int32), doc[order].astype(np.int32), np.ones(len(doc), np.int32), lengths.mean(), s)
+        want = [shard.best(t, w) for t, w in asked]
+        kth = np.array([-top[9][0] if len(top) > 9 else 0.0 for top in want])
+        one, floor = [[] for _ in asked], np.zeros(60)
+        shard.search(block, one, floor, final=False)
+        assert (floor <= kth).all() and (floor >= kth * (1 - 1e-3)).all()
+        assert all(len(a) == len(b) and all(-x <= -y for (x, _), (y, _) in zip(a, b)) for a, b in zip(one, want))
+        for start in (floor, kth * (1 - 1e-12), kth):
+            found, least = [[] for _ in asked], start.copy()
+            shard.search(block, found, least)
+            assert found == want
+        again, least = [[] for _ in asked], floor.copy()
+        shard.search(block, again, least, final=False)  # now few documents are open
+        assert (least <= kth).all() and all(-x <= -y for a, b in zip(again, want) for (x, _), (y, _) in zip(a, b))

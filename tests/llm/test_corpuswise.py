@@ -431,6 +431,8 @@ def test_first_scores_are_reached_and_floors_lose_nothing():
             found, least = [[] for _ in asked], start.copy()
             shard.search(block, found, least)
             assert found == want
+        other = [(t, w * r.uniform(0, 2, len(t))) for t, w in asked]  # every query weighs its terms in its own way
+        assert shard.best_of(other, [[] for _ in asked]) == [shard.best(t, w) for t, w in other]
         again, least = [[] for _ in asked], floor.copy()
         shard.search(block, again, least, final=False)  # now few documents are open
         assert (least <= kth).all() and all(-x <= -y for a, b in zip(again, want) for (x, _), (y, _) in zip(a, b))

@@ -8,6 +8,11 @@ labelled table of ``pii_table`` and adds spans that the patterns miss
 Decoding: a token that lies in no stretch whose labels could win anything
 over "none" is certainly "none" on the best path.  Such tokens cut the chain
 exactly; what lies between them is decoded by Viterbi in numpy batches.
+
+A span counts only if its text is plausible, and such a text holds a digit or
+the words of an address spelt out.  So only the parts of a text around these
+are read, each as far as tokens that are "none" whatever stands outside the
+part; a part without such tokens has its whole text read.
 """
 
 from __future__ import annotations
@@ -40,6 +45,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_DIGITS = re.compile(r"[0-9]")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -77,7 +83,10 @@ def _ips(text: str) -> Iterator[tuple[int, int]]:
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the patterns' matches, by start and kind."""
-    found = [(a, b, 0) for a, b in _emails(text)] + [(a, b, 1) for a, b in _ips(text)]
+    found = [(a, b, 0) for a, b in _emails(text)]
+    if _DIGITS.search(text) is None:  # the others' matches hold digits
+        return [(a, b, KINDS[k]) for a, b, k in sorted(found)]
+    found += [(a, b, 1) for a, b in _ips(text)]
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
         if 14 <= len(digits) <= 19 and _luhn(digits):
@@ -138,28 +147,44 @@ class Scores:
         self.table = f.weights[:, pairs[:, 0]] + f.weights[:, pairs[:, 1]]
         self.table[:, 0] = 2 * f.weights[:, 0]  # as in training: both features of a place outside are number 0
 
-    def open(self, padded: np.ndarray, own: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def open(self, padded: np.ndarray, own: np.ndarray, offsets: np.ndarray, cut: np.ndarray | None = None) -> np.ndarray:
         """Tokens whose best label could be another than "none".
 
         A stretch of other labels on the best path wins something over "none"
         all along it: the tokens' gains, each with the best step into it, and
         the step out of it, add up to 0 at least.  A token that lies in no
-        stretch of which that holds is "none"."""
+        stretch of which that holds is "none".
+
+        ``cut``: whether the text goes on before (row 0) and behind (row 1)
+        each sequence.  The outer tokens of such a side, whose neighbours are
+        unknown, are not looked at (and not open); a stretch that comes from
+        there or goes on there counts with the best step that any label allows."""
         s = self.field.steps
         into, out = (s - s[0, 0]).max(0), float((s[1:, 0] - s[0, 0]).max())
         e = self.at(padded, own)
         e -= e[:, :1]
         gain = (e + into)[:, 1:].max(1)
-        first, last = offsets[:-1][np.diff(offsets) > 0], offsets[1:][np.diff(offsets) > 0] - 1
-        gain[first] = (e[first] + np.maximum(into, 0))[:, 1:].max(1)  # no step into a text's first token
-        gain[last] += max(0.0, -out)                                  # and none out of its last
+        if cut is None:
+            cut = np.zeros((2, len(offsets) - 1), bool)
+        start, end = offsets[:-1] + _REACH * cut[0], offsets[1:] - _REACH * cut[1]
+        some = end > start
+        first, last, cut = start[some], end[some] - 1, cut[:, some]
+        own_first, own_last = first[~cut[0]], last[~cut[1]]
+        gain[own_first] = (e[own_first] + np.maximum(into, 0))[:, 1:].max(1)  # no step into a text's first token
+        gain[first[cut[0]]] = (e[first[cut[0]]] + (s - s[:, :1]).max(0))[:, 1:].max(1)
+        gain[own_last] += max(0.0, -out)                                      # and none out of its last
+        gain[last[cut[1]]] += max(0.0, float((s[1:] - s[0]).max()) - out)
+        seen = np.zeros(len(own) + 1, np.int8)
+        np.add.at(seen, first, 1)
+        np.add.at(seen, last + 1, -1)
+        seen = np.cumsum(seen[:-1]) > 0
         line = np.full(len(padded), -1e5)  # places between texts end every stretch
-        line[own + _REACH] = gain
+        line[own[seen] + _REACH] = gain[seen]
         total = np.cumsum(line)
         ahead = np.cumsum(line[::-1])
         upto = (total - np.append(0, np.minimum.accumulate(total)[:-1]))[own + _REACH]
         onward = (ahead - np.append(0, np.minimum.accumulate(ahead)[:-1]))[::-1][own + _REACH]
-        return upto + onward - gain + out >= -1e-5
+        return seen & (upto + onward - gain + out >= -1e-5)
 
     def at(self, padded: np.ndarray, where: np.ndarray) -> np.ndarray:
         return self.field.bias + sum(self.table[p][padded[where + p]] for p in range(2 * _REACH + 1))
@@ -292,11 +317,37 @@ def decode(scores, open_: np.ndarray, field: Field, ends: np.ndarray) -> np.ndar
     return labels
 
 
-_DIGITS = re.compile(r"[0-9]")
 # An address spelt out has a word for the @ and, after it, one for a dot.
 _AT, _DOT = r"(?:@|at|arroba|[\[(] ?(?:at|arroba) ?[\])])", r"(?:\.|dot|punkt|punto|point|[\[(] ?(?:dot|punkt|punto) ?[\])])"
 _SPELT = re.compile(rf"(?i)[\w+-]+(?: ?{_DOT} ?[\w+-]+)* ?{_AT} ?[\w-]+(?: ?{_DOT} ?[\w-]+)+")
 
+# What every plausible text holds: a number, or the words for the @ and, after it, for a dot.
+_NUMBER = re.compile(r"[0-9][0-9]*")
+_SPELT_PART = re.compile(r"[@aA](?:(?<=@)|[tT]|[rR][rR][oO][bB][aA]) ?[\])]? ?[\w-]+ ?(?:[\[(] ?)?(?i:\.|dot|punkt|punto|point)(?: ?[\])])? ?[\w-]")
+_MARGINS = 48, 400  # characters on each side of it that are read, before the whole text is
+
+
+def _parts(text: str, margin: int) -> list[list[int]]:
+    """(start, end, first, last) of the parts of the text, from space to space,
+    with all that a plausible span can hold between ``first`` and ``last``."""
+    cores = [m.span() for m in _NUMBER.finditer(text)]
+    cores += [m.span() for m in _SPELT_PART.finditer(text)]
+    parts: list[list[int]] = []
+    end = 0  # of the last part
+    for a, b in sorted(cores):
+        start = 0
+        if a - margin > end:
+            start = text.rfind(" ", end, a - margin) + 1
+        if parts and start <= end:
+            parts[-1][3] = max(parts[-1][3], b)
+        else:
+            parts.append([start, 0, a, b])
+        if b + margin > end:
+            end = text.find(" ", b + margin)
+            end = len(text) if end < 0 else end
+        parts[-1][1] = end
+    return parts
+
 
 def _plausible(kind: str, part: str) -> bool:
     digits = len(_DIGITS.findall(part))
@@ -310,6 +361,16 @@ def _plausible(kind: str, part: str) -> bool:
     return _SPELT.fullmatch(part) is not None
 
 
+def _by_sequence(labels: np.ndarray, offsets: np.ndarray) -> dict[int, list[int]]:
+    """The labelled tokens of each sequence that has any."""
+    hit = np.flatnonzero(labels)
+    of = np.searchsorted(offsets, hit, side="right") - 1
+    by: dict[int, list[int]] = {}
+    for k, h in zip(of.tolist(), (hit - offsets[of]).tolist()):
+        by.setdefault(k, []).append(h)
+    return by
+
+
 class Tagger:
     """Spans of texts; remembers the types of tokens."""
 
@@ -317,8 +378,9 @@ class Tagger:
         self.field, self.remember, self.scores = field, remember, Scores(field)
         self.known: dict[str, int] = {}
 
-    def labels(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Best labels of all tokens, and the texts' offsets among them."""
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Types of all tokens with places outside around each text, where the
+        tokens stand in these (less the reach), and the texts' offsets."""
         codes, offsets, words = encode(texts, _TOKEN.findall)
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > self.remember:
@@ -331,25 +393,58 @@ class Tagger:
         padded = np.zeros(len(codes) + _REACH * (len(texts) + 1), int)
         if len(codes):
             padded[own + _REACH] = np.array([self.known[w] for w in words], int)[codes]
+        return padded, own, offsets
+
+    def labels(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Best labels of all tokens, and the texts' offsets among them."""
+        padded, own, offsets = self._encoded(texts)
         return decode(lambda at: self.scores.at(padded, own[at]), self.scores.open(padded, own, offsets), self.field, offsets[1:]), offsets
 
+    def part_labels(self, parts: list[str], cut: np.ndarray, before: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Labels of all tokens of parts of texts, the parts' offsets, and which
+        parts are ``sure``: their labels are those of the whole text, but for
+        what lies in the first ``before`` and the last ``behind`` tokens."""
+        padded, own, offsets = self._encoded(parts)
+        open_ = self.scores.open(padded, own, offsets, cut)
+        # A token that is looked at and not open is "none", so it parts what is inside from what is unknown.
+        shut = ~open_
+        for side in range(_REACH):
+            shut[np.minimum(offsets[:-1] + side, len(shut) - 1)[cut[0]]] = False
+            shut[np.maximum(offsets[1:] - 1 - side, 0)[cut[1]]] = False
+        total = np.append(0, np.cumsum(shut))
+        n = np.diff(offsets)
+        lead, rest = offsets[:-1] + np.clip(before, 0, n), offsets[1:] - np.clip(behind, 0, n)
+        sure = (~cut[0] | (total[lead] > total[offsets[:-1]])) & (~cut[1] | (total[offsets[1:]] > total[rest]))
+        return decode(lambda at: self.scores.at(padded, own[at]), open_, self.field, offsets[1:]), offsets, sure
+
     def spans(self, texts) -> list[list[tuple[int, int, str, bool]]]:
         """(start, end, kind, base) of each text, by start and kind."""
-        out: list[list[tuple[int, int, str, bool]]] = []
-        for _, part in slices(texts, 2_000_000):
-            labels, offsets = self.labels(part)
-            hit = np.flatnonzero(labels)
-            docs = np.searchsorted(offsets, hit, side="right") - 1
-            by: dict[int, list[int]] = {}
-            for d, h in zip(docs.tolist(), (hit - offsets[docs]).tolist()):
-                by.setdefault(d, []).append(h)
-            for d, text in enumerate(part):
-                base = [(a, b, k, True) for a, b, k in base_spans(text)]
-                if d in by:
-                    places = [m.span() for m in _TOKEN.finditer(text)]
-                    base += self._added(text, by[d], labels[offsets[d]:offsets[d + 1]], places, base)
-                out.append(sorted(base, key=lambda s: (s[0], KINDS.index(s[2]), s[1])))
-        return out
+        texts = [t if isinstance(t, str) else "" for t in texts]
+        out = [[(a, b, k, True) for a, b, k in base_spans(t)] for t in texts]
+        found: dict[int, list] = {}
+        todo = range(len(texts))
+        for margin in (*_MARGINS, None):
+            parts = [(d, *p) for d in todo for p in _parts(texts[d], len(texts[d]) if margin is None else margin)]
+            unsure: set[int] = set()
+            for at, some in slices([texts[d][a:b] for d, a, b, _, _ in parts], 200_000):
+                of = parts[at:at + len(some)]
+                cut = np.array([[a > 0 for _, a, _, _, _ in of], [b < len(texts[d]) for d, _, b, _, _ in of]])
+                # Neither the token that a core may start in nor the one it may end in counts.
+                before = np.array([len(_TOKEN.findall(texts[d], a, first)) - 1 if a else 0 for d, a, _, first, _ in of])
+                behind = np.array([len(_TOKEN.findall(texts[d], last, b)) - 1 if b < len(texts[d]) else 0 for d, _, b, _, last in of])
+                labels, offsets, sure = self.part_labels(some, cut, before, behind)
+                unsure.update(of[k][0] for k in np.flatnonzero(~sure).tolist())
+                for k, hits in _by_sequence(labels, offsets).items():
+                    found.setdefault(of[k][0], []).append((of[k][1], some[k], hits, labels[offsets[k]:offsets[k + 1]]))
+            for d in unsure:
+                found.pop(d, None)
+            todo = sorted(unsure)
+        for d, runs in found.items():
+            base = list(out[d])
+            for a, part, hits, labels in runs:
+                places = [(a + m.start(), a + m.end()) for m in _TOKEN.finditer(part)]
+                out[d] += self._added(texts[d], hits, labels, places, base)
+        return [sorted(s, key=lambda s: (s[0], KINDS.index(s[2]), s[1])) for s in out]
 
     @staticmethod
     def _added(text, hits, labels, places, base):

@@ -152,6 +152,25 @@ def test_field_learns_its_table_and_adds_spans():
     assert tagger.spans(["the cat looked at a dog on the mat at noon", None, ""]) == [[], [], []]
 
 
+def test_only_parts_are_read_and_spans_are_those_of_whole_texts(texts, monkeypatch):
+    rng = random.Random(4)
+    words = [w for t in texts if t for w in t.split()]
+    lines = [re.sub(r"\{\w+\|([^}]*)\}", r"\1", x) for x in pii.TABLE]
+    odd = []
+    for _ in range(600):
+        bits = [rng.choice([rng.choice(lines), " ".join(rng.sample(words, rng.randint(1, 60))), "".join(rng.choices("a.@ 12()[]%_٣", k=9))])
+                for _ in range(rng.randint(1, 9))]
+        odd.append(rng.choice([" ", "\n", " . "]).join(bits))
+    tagger, read = pii.Tagger(pii.default_field()), []
+    monkeypatch.setattr(tagger, "part_labels", lambda parts, *a, f=tagger.part_labels: read.append(sum(map(len, parts))) or f(parts, *a))
+    got, n = tagger.spans(texts), sum(read)
+    assert n < 0.5 * sum(len(t) for t in texts if t)  # all of it was read before
+    got += tagger.spans(odd)
+    monkeypatch.setattr(pii, "_MARGINS", ())  # whole texts
+    assert got == pii.Tagger(pii.default_field()).spans(texts + odd)
+    assert sum(not base for spans in got for *_, base in spans) > 300
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, "mail a.b@c.de now", 17, "k"), (None, None, None, "k"), (2, "", 0, "k"), (2, "", 0, "k")],
                                  "doc_id long, text string, n_chars long, spans string")

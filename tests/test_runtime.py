@@ -224,3 +224,35 @@ def test_shuffled_files_go_when_a_query_ends(spark, scratch):
         spark.range(1000).repartition(3).write.parquet(scratch + "/a")
         assert local.getAllBlocks().size() <= held
     assert spark.conf.get(name, None) == before
+
+
+def test_changed_rows_are_read_in_parts_of_whole_files(spark, scratch, monkeypatch):
+    """However many parts there are, a stored file belongs to one of them; landing reads its input few times."""
+    from pyspark.sql import functions as F
+
+    from lakefold.functions.hashing import add_metadata
+    from lakefold.operators.merge import ACTION
+    from lakefold.operators.shape import flatten_availability
+    from lakefold.plans import jobs
+
+    monkeypatch.setattr(jobs, "_SLICE_RECORDS", 2)
+    monkeypatch.setattr(jobs, "_ROWS_A_FILE", 2)
+    records = spark.createDataFrame([_rec(i, str(i), Source="united") for i in range(30)], S.AVAILABILITY_RECORD)
+    asked = []
+    jobs.land_pages(records, scratch + "/landed", page_size=1, part=lambda k, n: asked.append(n) or records.filter(jobs.derive.slice_of("ID", n) == k))
+    assert asked == [8] * 8
+    rows = jobs.placed(jobs.scratch_table(jobs.page_rows(jobs.read_landed_pages(spark, scratch + "/landed")), "pages", 2))
+    flights, latest, _, _ = jobs.folded(rows, keys=["ID"])
+    hashes = {r.ID: r[S.CONTENT_HASH] for r in add_metadata(flatten_availability(records)).collect()}
+    assert {r.ID: r[S.CONTENT_HASH] for r in flights.collect()} == hashes  # made once, when pages are parsed
+    changed = latest.withColumn(ACTION, F.when(F.col("ID") == "rec3", "update").otherwise("insert")).filter("ID != 'rec4'")
+    parts = [p.collect() for p in jobs.marked_rows(flights, changed)]
+    assert len(parts) >= 15 and all(parts)
+    assert sorted(r.ID for p in parts for r in p) == sorted(set(hashes) - {"rec4"})
+    assert [r.ID for p in parts for r in p if r[ACTION] == "update"] == ["rec3"]
+    files = {r.ID: r._file for r in flights.select("ID", "_file").collect()}
+    of = [{files[r.ID] for r in p} for p in parts]
+    assert sum(map(len, of)) == len(set().union(*of))
+    st = run_flight_pipeline(spark, scratch + "/landed", scratch + "/t", **KEYED)
+    assert (st["rows_inserted"], st["rows_written"]) == (30, 30)
+    assert {r.ID: r[S.CONTENT_HASH] for r in ArchiveTable(spark, scratch + "/t").current(["ID", S.CONTENT_HASH]).collect()} == hashes

@@ -1,6 +1,7 @@
 """Streams that fail half way, and dedup whose state is bounded."""
 
 import datetime as dt
+import json
 
 import pytest
 
@@ -169,3 +170,13 @@ def test_packed_rows_hold_no_names_and_lose_nothing(spark, scratch):
     assert not any(name in r.row for r in packed.collect() for name in ("MileageCost", "Airport"))
     back = ingest.unpacked_rows(packed.withColumn("late", F.lit(False)), rows.schema).drop("late")
     assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_pages_of_few_files_are_dealt_out(spark, scratch):
+    """A micro-batch of fewer files than cores is parsed by more tasks than it has files."""
+    landed, ckpt = scratch + "/landed", scratch + "/ckpt"
+    _land(landed, ["\n".join(json.dumps(_page(k, [_rec(k, "1")], True)) for k in range(16))])
+    st = ingest.ingest_stream(spark, landed, scratch + "/t", ckpt, files_per_batch=1, **KEYED)
+    assert st["rows_inserted"] == 16 and st["pages_fetched"] == 16
+    rows = ingest.staged_rows(spark, ckpt)
+    assert rows.filter("batch = 0").select("_metadata.file_path").distinct().count() > 1

@@ -180,3 +180,33 @@ def test_pages_of_few_files_are_dealt_out(spark, scratch):
     assert st["rows_inserted"] == 16 and st["pages_fetched"] == 16
     rows = ingest.staged_rows(spark, ckpt)
     assert rows.filter("batch = 0").select("_metadata.file_path").distinct().count() > 1
+
+
+def test_dedup_moves_keys_and_places_only(spark, scratch, monkeypatch):
+    """State is the keys that the watermark has not passed, as a folder a
+    micro-batch; a batch that fails before its watermark is written is done again on the same state."""
+    landed, out, ckpt = scratch + "/landed", scratch + "/out", scratch + "/ckpt"
+    timeless = [_rec(70, "x", UpdatedAt=None), _rec(70, "x", UpdatedAt=None)]  # without time or key part: late, and stored once
+    _land(landed, [_page(d, [_day(d, "1", d), _day(d, "1", d)], True) for d in range(4)] + [_page(4, [_day(3, "1", 3), *timeless], True)])
+
+    def drain():
+        return ingest.dedup_stream(spark, landed, out, ckpt, delay="2 days", files_per_batch=1)
+
+    with monkeypatch.context() as m:
+        real, calls = ingest.join_null_safe, []
+
+        def once(*a, **k):
+            calls.append(1)
+            if len(calls) == 2:
+                raise Boom
+            return real(*a, **k)
+
+        m.setattr(ingest, "join_null_safe", once)
+        with pytest.raises(Exception):
+            drain()
+    st = drain()
+    assert (st["rows"], st["late_rows"], st["late_repeats"]) == (5, 1, 0)
+    keys = spark.read.option("basePath", ckpt + "/state-keys").parquet(ckpt + "/state-keys/batch=4")
+    assert set(keys.columns) == {"RouteID", "UpdatedAt", S.CONTENT_HASH, "_event", "batch"}
+    assert keys.count() == st["state_rows"] == 2  # days 2 and 3
+    assert sorted(r.ID for r in spark.read.parquet(out).collect()) == ["rec0", "rec1", "rec2", "rec3", "rec70"]

@@ -374,7 +374,7 @@ def _by_sequence(labels: np.ndarray, offsets: np.ndarray) -> dict[int, list[int]
 class Tagger:
     """Spans of texts; remembers the types of tokens."""
 
-    def __init__(self, field: Field, remember: int = 400_000):
+    def __init__(self, field: Field, remember: int = 100_000):
         self.field, self.remember, self.scores = field, remember, Scores(field)
         self.known: dict[str, int] = {}
 

@@ -91,7 +91,9 @@ def fit(texts: list[str], y: np.ndarray, s: Settings, prior: float | None = None
         return Model(np.zeros(s.buckets, np.float32), odds, s.low, s.high)
     bags = _bags(texts, s)
     rng = np.random.default_rng(s.seed)
-    emb = rng.normal(0, 0.01, (s.buckets, s.dim)).astype(np.float32)
+    # One row a dimension: every pass over the buckets then runs along memory.
+    emb = np.ascontiguousarray(rng.normal(0, 0.01, (s.buckets, s.dim)).astype(np.float32).T)
+    grad, held = np.empty_like(emb), np.empty_like(emb)
     soft, bias = np.zeros((s.dim, 2), np.float32), np.zeros(2, np.float32)
     soft[:, 1] = rng.normal(0, 1.0, s.dim)
     soft[:, 0] = -soft[:, 1]
@@ -108,16 +110,17 @@ def fit(texts: list[str], y: np.ndarray, s: Settings, prior: float | None = None
             part = np.concatenate([bags[d][1] * np.float32(s.gain / bags[d][1].sum()) for d in rows])  # average, times the gain
             sizes = np.array([len(bags[d][0]) for d in rows])
             first = np.append(0, np.cumsum(sizes))[:-1]
-            pooled = np.add.reduceat(emb[subs] * part[:, None], first, axis=0)
+            pooled = np.add.reduceat(emb[:, subs] * part, first, axis=1).T
             logit = pooled @ soft + bias
             p = np.exp(logit - logit.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             err = ((p - classes[rows]) * weight[rows][:, None]).astype(np.float32)
-            d_sub = np.repeat(err @ soft.T, sizes, axis=0) * part[:, None]
-            grad = np.stack([np.bincount(subs, d_sub[:, j], s.buckets) for j in range(s.dim)], 1).astype(np.float32)
-            grad += s.decay * emb
-            g_emb += (grad ** 2).mean(1)
-            emb -= step * grad / np.sqrt(g_emb)[:, None]
+            for j, d_doc in enumerate((err @ soft.T).T):
+                grad[j] = np.bincount(subs, np.repeat(d_doc, sizes) * part, s.buckets)
+            grad += np.multiply(emb, np.float32(s.decay), out=held)
+            g_emb += np.square(grad, out=held).mean(0)
+            grad *= np.float32(step)
+            emb -= np.divide(grad, np.sqrt(g_emb), out=grad)
             d_soft, d_bias = pooled.T @ err, err.sum(0)
             g_soft += d_soft ** 2
             g_bias += d_bias ** 2
@@ -125,7 +128,7 @@ def fit(texts: list[str], y: np.ndarray, s: Settings, prior: float | None = None
             bias -= (step * d_bias / np.sqrt(g_bias)).astype(np.float32)
     # The classes weighed alike in training: the assumed rate moves the bias.
     prior_odds = math.log(max(rate, 1e-6) / max(1 - rate, 1e-6))
-    return Model((s.gain * (emb @ (soft[:, 1] - soft[:, 0]))).astype(np.float32), float(bias[1] - bias[0]) + prior_odds, s.low, s.high)
+    return Model((s.gain * (emb.T @ (soft[:, 1] - soft[:, 0]))).astype(np.float32), float(bias[1] - bias[0]) + prior_odds, s.low, s.high)
 
 
 _CACHES: dict[str, dict[str, tuple[float, int]]] = {}

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakefold.llm.common import give_back
 from lakefold.llm.pii_table import TABLE
 from lakefold.llm.textnum import encode, slices
 
@@ -480,6 +481,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "spans", fiel
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             got = _tagger(shared, key).spans(texts.tolist())
+            give_back()
             yield pd.Series([[{"kind": k, "start": a, "end": b, "base": base} for a, b, k, base in s] for s in got])
 
     return docs.withColumn(out, find(F.col(text_col)))
@@ -517,6 +519,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             got = _tagger(shared, key).spans(texts.tolist())
+            give_back()
             yield pd.Series([masked(t, s) if isinstance(t, str) else None for t, s in zip(texts, got)], dtype=object)
 
     out = docs.withColumn("_llm_masked", mask(F.col(text_col)))

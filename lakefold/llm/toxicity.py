@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakefold.llm.common import crc_of_id
+from lakefold.llm.common import crc_of_id, give_back
 from lakefold.llm.textnum import class_rates, encode, labelled_sample, slices, subwords
 
 _TOKENS = re.compile(r"\w+").findall
@@ -165,7 +165,9 @@ def score(text: Column, model: Model, spark) -> Column:
             _CACHES.clear()
             _CACHES[key] = {}
         for texts in batches:
-            yield pd.Series(score_texts(texts.tolist(), shared.value, _CACHES[key]))
+            got = pd.Series(score_texts(texts.tolist(), shared.value, _CACHES[key]))
+            give_back()
+            yield got
 
     return scored(text)
 
@@ -190,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
         rows = pd.concat(parts).sort_values("doc_id", kind="stable")
         parts.clear()
         model = fit(rows["text"].tolist(), rows["y"].to_numpy(int), s, rate)
+        give_back()
         yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
 
     got = sample.repartition(1).mapInPandas(learn, "weights binary, bias double").first()
